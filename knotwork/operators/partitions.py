@@ -147,9 +147,9 @@ def partition_strategy(spark: SparkSession, catalog: DataFrame) -> DataFrame:
 def partition_distribution(df: DataFrame) -> DataFrame:
     """Rows per label and partition, their percentage and the label total."""
     counts = df.groupBy("label", "part").agg(F.count("*").alias("n"))
-    totals = counts.groupBy("label").agg(F.sum("n").alias("total"))
+    total = F.sum("n").over(Window.partitionBy("label"))
     share = F.coalesce(F.round(F.try_divide(F.lit(100.0) * F.col("n"), F.col("total")), 1), F.lit(0.0))
-    return counts.join(totals, "label").select("label", "part", "n", share.alias("pct"), "total")
+    return counts.withColumn("total", total).select("label", "part", "n", share.alias("pct"), "total")
 
 
 def share_of_total(df: DataFrame, group: str) -> DataFrame:
@@ -176,10 +176,12 @@ def partition_info(df: DataFrame, spec: DataFrame) -> DataFrame:
 def table_sizes(spark: SparkSession, path: str) -> DataFrame:
     """Rows and bytes per label of a stored graph table, largest first."""
     stored = spark.read.parquet(path)
-    rows = stored.groupBy("label").agg(F.count("*").alias("rows"))
-    files = stored.select("label", "_metadata.file_path", "_metadata.file_size").distinct()
-    sizes = files.groupBy("label").agg(F.sum("file_size").alias("bytes"), F.count("*").alias("files"))
-    return rows.join(sizes, "label").orderBy(F.desc("bytes"), "label")
+    files = stored.select("label", "_metadata.file_path", "_metadata.file_size").groupBy(
+        "label", "file_path", "file_size"
+    ).agg(F.count("*").alias("n"))
+    return files.groupBy("label").agg(
+        F.sum("n").alias("rows"), F.sum("file_size").alias("bytes"), F.count("*").alias("files")
+    ).orderBy(F.desc("bytes"), "label")
 
 
 # --- life cycle -----------------------------------------------------------

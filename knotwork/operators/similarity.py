@@ -21,12 +21,14 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from knotwork.operators.skew import ROWS_PER_FRAGMENT, fragment_join
+from knotwork.operators.skew import fragment_join
 from knotwork.session import written
 
 METRICS = ("jaccard", "overlap", "weighted_jaccard", "cosine")
 EPS = 1e-9
 SET_CHUNK = 4096
+PAIRS_PER_TASK = 2e7
+DIRECT_BELOW = 64
 
 
 # --- degrees and weights --------------------------------------------------
@@ -156,18 +158,24 @@ def _prefix(entries: DataFrame, bound: Column | None, name: str) -> DataFrame:
     return kept.select("neighbor", F.col("profile").alias(name), F.col("mass").alias(f"m{name}"), "m", "degree")
 
 
-def _meet(small: DataFrame, large: DataFrame, metric: str, cutoff: float, min_shared: int, order: Column) -> DataFrame:
+def _meet(
+    small: DataFrame, large: DataFrame, metric: str, cutoff: float, min_shared: int, order: Column, direct: bool = False
+) -> DataFrame:
     """Candidates (x, y): x has a neighbour in the larger set's prefix, y in the smaller one's.
 
-    A popular neighbour is cut into fragments of x; its y entries are repeated
-    once per fragment, so no task holds all nodes of one neighbour. Without
+    A popular neighbour is cut into fragments of x, each good for about
+    PAIRS_PER_TASK pairs; its y entries are repeated once per fragment, so no
+    task holds all pairs of one neighbour. Without
     bounds every shared neighbour is met, and ``s`` is the exact shared mass.
     """
-    low, high = _bounds(metric, cutoff, min_shared)
-    cuts = F.ceil(F.col("degree") / ROWS_PER_FRAGMENT).cast("int")
+    low, high = (None, None) if direct else _bounds(metric, cutoff, min_shared)
+    degree = F.col("degree").cast("double")
+    cuts = F.least(degree, F.ceil(degree * degree / PAIRS_PER_TASK)).cast("int")
     xs = _prefix(large, high, "x").withColumn("frag", F.pmod(F.xxhash64("x"), cuts).cast("int")).drop("degree")
     ys = _prefix(small, low, "y").withColumn("frag", F.explode(F.sequence(F.lit(0), cuts - 1))).drop("degree", "m")
-    met = xs.join(ys, ["neighbor", "frag"]).filter(order)
+    # few input bytes make many pairs, so the configured parallelism is kept
+    keys, tasks = ["neighbor", "frag"], int(xs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = xs.repartition(tasks, *keys).join(ys.repartition(tasks, *keys), keys).filter(order)
     if metric in ("jaccard", "weighted_jaccard"):
         met = met.filter(F.col("my") >= F.lit(cutoff) * F.col("mx") * (1 - EPS) - EPS)
     if low is None and high is None:
@@ -246,9 +254,15 @@ def _self_score(metric: str) -> Column:
 
 
 def _profile_scores(sets: NeighborSets, metric: str, cutoff: float, min_shared: int = 1) -> DataFrame:
-    """Scores between different profiles."""
+    """Scores between different profiles.
+
+    Where the average entry meets few others (no popular neighbours), counting
+    all meetings is cheaper than finding candidates and looking at their sets.
+    """
     smaller_first = F.struct("my", "y") < F.struct("mx", "x")
-    met = _meet(sets.entries, sets.entries, metric, cutoff, min_shared, smaller_first)
+    met_per_entry = sets.entries.agg(F.avg("degree")).first()[0] or 0.0
+    direct = met_per_entry <= DIRECT_BELOW
+    met = _meet(sets.entries, sets.entries, metric, cutoff, min_shared, smaller_first, direct)
     return _scored(met, sets, sets, metric, cutoff, min_shared)
 
 
