@@ -71,6 +71,11 @@ def as_variant_map(props: Column) -> Column:
     return F.from_json(props, "map<string,variant>")
 
 
+def typed_map(props: Column) -> Column:
+    """Top-level keys mapped to typed JSON text, so that 1 and "1" differ."""
+    return F.transform_values(as_variant_map(props), lambda _, v: F.to_json(v))
+
+
 def _is_text(v: Column) -> Column:
     return F.schema_of_variant(v) == "STRING"
 

@@ -9,7 +9,8 @@ from knotwork.session import written
 
 
 def _both(links: DataFrame) -> DataFrame:
-    return links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    there, back = F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))
+    return links.select(F.inline(F.array(there, back)))
 
 
 def _large_star(links: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from knotwork.functions.properties import as_variant_map, prop_get
+from knotwork.functions.properties import prop_get
 from knotwork.model import EDGE_LABELS, VERTEX_LABELS
 
 
@@ -111,8 +111,9 @@ def edge_expand(edges: DataFrame, vertices: DataFrame) -> DataFrame:
 
 def undirected(edges: DataFrame, start: str = "start_id", end: str = "end_id") -> DataFrame:
     """Both orientations of every edge as ``(node, neighbor)``, multiplicity kept."""
-    one = edges.select(F.col(start).alias("node"), F.col(end).alias("neighbor"))
-    return one.unionByName(edges.select(F.col(end).alias("node"), F.col(start).alias("neighbor")))
+    there = F.struct(F.col(start).alias("node"), F.col(end).alias("neighbor"))
+    back = F.struct(F.col(end).alias("node"), F.col(start).alias("neighbor"))
+    return edges.select(F.inline(F.array(there, back)))
 
 
 def dangling_edges(edges: DataFrame, vertices: DataFrame) -> DataFrame:
@@ -208,10 +209,3 @@ def neighbor_set_algebra(node_pairs: DataFrame, pairs: DataFrame, block_bits: in
         F.sort_array(F.array_intersect(a, b)).alias("shared"),
         F.sort_array(F.array_union(a, b)).alias("all"),
     )
-
-
-def vertices_with_map(vertices: DataFrame) -> DataFrame:
-    """Vertices with properties as key -> typed JSON text, for containment tests."""
-    return vertices.withColumn(
-        "_map", F.transform_values(as_variant_map(F.col("props")), lambda _, v: F.to_json(v))
-    )

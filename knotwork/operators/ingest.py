@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from knotwork.functions.properties import as_variant_map, canonical_json, property_entries
+from knotwork.functions.properties import canonical_json, property_entries, typed_map
 from knotwork.model import content_id
-from knotwork.operators.graph import vertices_with_map
 from knotwork.operators.skew import fragment_join
+from knotwork.session import written
 
 ANY_LABEL = "*"
 
@@ -135,32 +135,30 @@ def merge_subset_match(vertices: DataFrame, patterns: DataFrame) -> DataFrame:
     vertices does not multiply candidates when the pattern has anything rarer.
     An empty pattern matches every vertex of its label.
     """
-    pattern_entries = property_entries(patterns, "pattern_id", "label").drop("value_text")
+    parsed = written(
+        vertices.join(patterns.select("label").distinct(), "label", "left_semi")
+        .select("label", "id", typed_map(F.col("props")).alias("_map")),
+        "parsed",
+    )
+    need = patterns.select("pattern_id", "label", typed_map(F.col("props")).alias("_need"))
     entry_key = ["label", "key", "value"]
-    wanted = pattern_entries.select(*entry_key).distinct()
-    entries = property_entries(vertices, "label", "id").drop("value_text").join(wanted, entry_key, "left_semi")
-    rarity = entries.groupBy(*entry_key).agg(F.count("*").alias("_n"))
+    pattern_entries = need.select("pattern_id", "label", F.explode("_need").alias("key", "value"))
+    entries = parsed.select("label", "id", "_map", F.explode("_map").alias("key", "value")).join(
+        pattern_entries.select(*entry_key).distinct(), entry_key, "left_semi"
+    )
+    rarity = entries.groupBy(*entry_key).agg(F.count("*").alias("n"))
     rarest = (
-        pattern_entries.join(rarity, entry_key, "left")
-        .groupBy("pattern_id")
-        .agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "key", "value")).alias("r"))
+        pattern_entries.join(rarity, entry_key)
+        .groupBy("pattern_id").agg(F.min(F.struct("n", "key", "value")).alias("r"))
         .select("pattern_id", F.col("r.key").alias("key"), F.col("r.value").alias("value"))
     )
-    need = patterns.select(
-        "pattern_id", "label",
-        F.transform_values(as_variant_map(F.col("props")), lambda _, v: F.to_json(v)).alias("_need"),
-    )
     probes = need.join(rarest, "pattern_id")
-    holders = (
-        vertices_with_map(vertices.select("label", "id", "props")).drop("props")
-        .select("label", "id", "_map", F.explode("_map").alias("key", "value"))
-        .join(rarest.select("key", "value").distinct(), ["key", "value"], "left_semi")
-    )
+    holders = entries.join(probes.select(*entry_key).distinct(), entry_key, "left_semi")
     hit = fragment_join(holders, probes, entry_key, ["id"]).filter(
         F.forall(F.map_entries("_need"), lambda e: F.element_at(F.col("_map"), e["key"]).eqNullSafe(e["value"]))
     )
     everything = need.filter(F.size("_need") == 0)
-    whole_label = fragment_join(vertices.select("label", "id"), everything.select("label", "pattern_id"), ["label"], ["id"])
+    whole_label = fragment_join(parsed.select("label", "id"), everything.select("label", "pattern_id"), ["label"], ["id"])
     return hit.select("pattern_id", "id").unionByName(whole_label.select("pattern_id", "id"))
 
 

@@ -86,10 +86,13 @@ class NeighborSets(NamedTuple):
     A profile stands for all nodes with the same neighbours and is named by the
     smallest of them. ``m`` is the neighbour's share of the set's ``mass`` (count,
     weight or squared weight) and ``rest`` the mass from its class on.
+    ``direct`` tells that no popular neighbours exist: an average entry meets few
+    others, so counting all meetings is cheaper than finding candidates first.
     """
 
     entries: DataFrame
     members: DataFrame
+    direct: bool
 
     @property
     def profiles(self) -> DataFrame:
@@ -123,16 +126,21 @@ def neighbor_profiles(weighted: DataFrame, metric: str) -> NeighborSets:
     )
     mass = {"weighted_jaccard": F.col("total"), "cosine": F.col("squares")}.get(metric, F.col("size").cast("double"))
     own = F.col("w") * F.col("w") if metric == "cosine" else F.col("w")
+    met_per_entry = weighted.agg(F.avg("degree")).first()[0] or 0.0
+    direct = met_per_entry <= DIRECT_BELOW
     order = F.floor(F.log2("degree")).cast("int") * 32 + F.pmod(F.xxhash64("neighbor"), F.lit(32)).cast("int")
     head_sets = members.filter(F.col("node") == F.col("profile")).select("profile", mass.alias("mass"))
     banded = weighted.withColumnRenamed("node", "profile").join(head_sets, "profile").select(
         "profile", "neighbor", "degree", own.alias("m"), "mass", order.alias("band")
     )
+    if direct:
+        plain = banded.drop("band").withColumn("rest", F.col("mass"))
+        return NeighborSets(written(plain, "entries"), members, True)
     onward = Window.partitionBy("profile").orderBy(F.desc("band")).rowsBetween(Window.unboundedPreceding, 0)
     rest = banded.groupBy("profile", "band").agg(F.sum("m").alias("_m")).select(
         "profile", "band", F.sum("_m").over(onward).alias("rest")
     )
-    return NeighborSets(written(banded.join(rest, ["profile", "band"]).drop("band"), "entries"), members)
+    return NeighborSets(written(banded.join(rest, ["profile", "band"]).drop("band"), "entries"), members, False)
 
 
 def _bounds(metric: str, cutoff: float, min_shared: int) -> tuple[Column | None, Column | None]:
@@ -254,15 +262,9 @@ def _self_score(metric: str) -> Column:
 
 
 def _profile_scores(sets: NeighborSets, metric: str, cutoff: float, min_shared: int = 1) -> DataFrame:
-    """Scores between different profiles.
-
-    Where the average entry meets few others (no popular neighbours), counting
-    all meetings is cheaper than finding candidates and looking at their sets.
-    """
+    """Scores between different profiles."""
     smaller_first = F.struct("my", "y") < F.struct("mx", "x")
-    met_per_entry = sets.entries.agg(F.avg("degree")).first()[0] or 0.0
-    direct = met_per_entry <= DIRECT_BELOW
-    met = _meet(sets.entries, sets.entries, metric, cutoff, min_shared, smaller_first, direct)
+    met = _meet(sets.entries, sets.entries, metric, cutoff, min_shared, smaller_first, sets.direct)
     return _scored(met, sets, sets, metric, cutoff, min_shared)
 
 
@@ -335,7 +337,7 @@ def _expand_top(
     own = sets.profiles.select(
         F.col("profile").alias("x"), F.col("profile").alias("y"), _self_score(metric).alias("score")
     ).filter(F.col("score") >= cutoff - 1e-12)
-    directed = scores.unionByName(scores.select(F.col("y").alias("x"), F.col("x").alias("y"), "score")).unionByName(own)
+    directed = mirrored(scores, "x", "y").unionByName(own)
     best_first = [F.desc("score"), F.col("node2")]
     ranked = directed.join(firsts, "y").withColumn(
         "_r", F.row_number().over(Window.partitionBy("x").orderBy(*best_first))
@@ -354,11 +356,11 @@ def top_k_similar(scores: DataFrame, top_k: int = 5, cutoff: float | None = None
     return scores.withColumn("_r", rank).filter(F.col("_r") <= top_k).drop("_r")
 
 
-def mirrored(scores: DataFrame) -> DataFrame:
-    """Both directions of undirected scores."""
-    return scores.unionByName(
-        scores.select(F.col("node2").alias("node1"), F.col("node1").alias("node2"), "score")
-    )
+def mirrored(scores: DataFrame, one: str = "node1", two: str = "node2") -> DataFrame:
+    """Both directions of undirected scores, from a single evaluation of them."""
+    there = F.struct(F.col(one), F.col(two), F.col("score"))
+    back = F.struct(F.col(two).alias(one), F.col(one).alias(two), F.col("score"))
+    return scores.select(F.inline(F.array(there, back)))
 
 
 def similarity_desc(scores: DataFrame) -> DataFrame:
