@@ -143,8 +143,11 @@ def merge_subset_match(vertices: DataFrame, patterns: DataFrame) -> DataFrame:
     need = patterns.select("pattern_id", "label", typed_map(F.col("props")).alias("_need"))
     entry_key = ["label", "key", "value"]
     pattern_entries = need.select("pattern_id", "label", F.explode("_need").alias("key", "value"))
-    entries = parsed.select("label", "id", "_map", F.explode("_map").alias("key", "value")).join(
-        pattern_entries.select(*entry_key).distinct(), entry_key, "left_semi"
+    entries = written(
+        parsed.select("label", "id", "_map", F.explode("_map").alias("key", "value")).join(
+            pattern_entries.select(*entry_key).distinct(), entry_key, "left_semi"
+        ),
+        "entries",
     )
     rarity = entries.groupBy(*entry_key).agg(F.count("*").alias("n"))
     rarest = (
@@ -176,8 +179,8 @@ def merge_triplets(
     ends = rows.select(F.col("s_label").alias("label"), F.col("s_props").alias("props")).unionByName(
         rows.select(F.col("o_label").alias("label"), F.col("o_props").alias("props"))
     ).distinct()
-    patterns = ends.withColumn("pattern_id", content_id(F.col("label"), F.col("props")))
-    stored = merge_subset_match(vertices, patterns)
+    patterns = written(ends.withColumn("pattern_id", content_id(F.col("label"), F.col("props"))), "patterns")
+    stored = written(merge_subset_match(vertices, patterns), "bound")
     created = patterns.join(stored, "pattern_id", "left_anti")
     bound = stored.unionByName(created.select("pattern_id", F.col("pattern_id").alias("id")))
     grown = vertices.unionByName(

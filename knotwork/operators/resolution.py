@@ -9,7 +9,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from knotwork.operators.skew import fragment_join
+from knotwork.operators.skew import fragment_join, hot_keys
 
 Comparator = Callable[[Column, Column], Column]
 
@@ -18,14 +18,14 @@ def _side(df: DataFrame, prefix: str) -> DataFrame:
     return df.select(*[F.col(c).alias(f"{prefix}{c}") for c in df.columns])
 
 
-def _equi_pairs(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _equi_pairs(a: DataFrame, b: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
     """Rows of a and b with equal, non-null keys; hot keys are spread over b."""
     left, right = _side(b, "b_"), _side(a, "a_")
     for i, k in enumerate(keys):
         left = left.withColumn(f"_k{i}", F.col(f"b_{k}")).filter(F.col(f"b_{k}").isNotNull())
         right = right.withColumn(f"_k{i}", F.col(f"a_{k}")).filter(F.col(f"a_{k}").isNotNull())
     on = [f"_k{i}" for i in range(len(keys))]
-    return fragment_join(left, right, on, ["b_id"]).drop(*on)
+    return fragment_join(left, right, on, ["b_id"], hot=hot).drop(*on)
 
 
 def _agree_on(keys: Sequence[str]) -> Column:
@@ -44,9 +44,10 @@ def blocking_pairs(a: DataFrame, b: DataFrame, passes: Sequence[Sequence[str]],
     by an earlier pass is left out of later ones by looking at its keys, so no
     duplicate removal has to be shuffled.
     """
+    hot = hot_keys(b, passes)
     found = None
     for i, keys in enumerate(passes):
-        pairs = _equi_pairs(a, b, keys)
+        pairs = _equi_pairs(a, b, keys, hot.filter(F.col("set_no") == i).drop("set_no"))
         if same_table:
             pairs = pairs.filter(F.col("a_id") < F.col("b_id"))
         for earlier in passes[:i]:

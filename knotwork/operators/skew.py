@@ -7,35 +7,50 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from knotwork.session import written
+
 ROWS_PER_FRAGMENT = 100_000
 
 
+def hot_keys(df: DataFrame, key_sets: Sequence[Sequence[str]], rows_per_fragment: int | None = None) -> DataFrame:
+    """Keys with more than ``rows_per_fragment`` rows, for several key sets in one scan.
+
+    Rows are (set_no, key_hash, cuts). Counts are combined on the map side. The
+    table has at most rows / rows_per_fragment entries per key set and is stored,
+    so that joins with it are planned from its true size. A hash shared by two
+    keys only makes their rows be cut finer.
+    """
+    limit = rows_per_fragment or ROWS_PER_FRAGMENT
+    keyed = F.array(*[F.struct(F.lit(i).alias("set_no"), F.xxhash64(*keys).alias("key_hash")) for i, keys in enumerate(key_sets)])
+    counted = df.select(F.inline(keyed)).groupBy("set_no", "key_hash").agg(F.count("*").alias("n"))
+    return written(
+        counted.filter(F.col("n") > limit).select("set_no", "key_hash", F.ceil(F.col("n") / limit).cast("int").alias("cuts")),
+        "hot",
+    )
+
+
 def fragment_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: Sequence[str],
-    spread_by: Sequence[str],
-    rows_per_fragment: int = ROWS_PER_FRAGMENT,
+    left: DataFrame, right: DataFrame, keys: Sequence[str], spread_by: Sequence[str],
+    rows_per_fragment: int | None = None, hot: DataFrame | None = None,
 ) -> DataFrame:
-    """Inner equi-join in which a hot left key is spread over many tasks.
+    """Inner equi-join in which hot left keys are spread over many tasks.
 
-    A left key with more than ``rows_per_fragment`` rows is cut into fragments
-    by the hash of ``spread_by``; the matching right rows are repeated once per fragment. Every
-    pair is still formed exactly once. The list of hot keys holds at most
-    rows / rows_per_fragment entries; whether it is broadcast is decided at run
-    time from its measured size.
+    Without hot keys it is a plain join. Otherwise the rows of a hot left key are
+    cut into fragments by the hash of ``spread_by`` and the matching right rows
+    are repeated once per fragment; every pair is still formed exactly once.
+    ``hot`` is (key_hash, cuts) when the caller has counted already.
     """
     keys = list(keys)
-    hot = (
-        left.groupBy(*keys)
-        .agg(F.count("*").alias("_rows"))
-        .filter(F.col("_rows") > rows_per_fragment)
-        .select(*keys, F.ceil(F.col("_rows") / rows_per_fragment).cast("int").alias("_cuts"))
-    )
-    cut = left.join(hot, keys, "left").withColumn(
-        "_frag", F.coalesce(F.pmod(F.xxhash64(*spread_by), F.col("_cuts")).cast("int"), F.lit(0))
+    if hot is None:
+        hot = hot_keys(left, [keys], rows_per_fragment).drop("set_no")
+    if hot.isEmpty():
+        return left.join(right, keys)
+    cuts = F.coalesce("cuts", F.lit(1))
+    cut = left.withColumn("key_hash", F.xxhash64(*keys)).join(hot, "key_hash", "left").withColumn(
+        "_frag", F.pmod(F.xxhash64(*spread_by), cuts).cast("int")
     )
-    copies = right.join(hot, keys, "left").withColumn(
-        "_frag", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_cuts"), F.lit(1)) - 1))
+    copies = right.withColumn("key_hash", F.xxhash64(*keys)).join(hot, "key_hash", "left").withColumn(
+        "_frag", F.explode(F.sequence(F.lit(0), cuts - 1))
     )
-    return cut.drop("_cuts").join(copies.drop("_cuts"), [*keys, "_frag"]).drop("_frag")
+    helper = ["key_hash", "cuts"]
+    return cut.drop(*helper).join(copies.drop(*helper), [*keys, "_frag"]).drop("_frag")

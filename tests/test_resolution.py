@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from knotwork.operators import customer
 from knotwork.operators import resolution as E
 from knotwork.operators import similarity as M
+from knotwork.operators import skew
 from knotwork.operators.skew import fragment_join
 from knotwork.streaming.flows import file_feed, score_new_applications
 
@@ -32,7 +33,9 @@ def test_fragments_form_each_pair_once(spark, limit):
     assert got == want
 
 
-def test_blocking_finds_each_pair_once(spark):
+@pytest.mark.parametrize("limit", [1, 100_000])
+def test_blocking_finds_each_pair_once(spark, monkeypatch, limit):
+    monkeypatch.setattr(skew, "ROWS_PER_FRAGMENT", limit)
     schema = "id int, x string, y string"
     a = spark.createDataFrame([(1, "p", "q"), (2, "p", None), (3, None, "q")], schema)
     b = spark.createDataFrame([(10, "p", "q"), (11, "z", "q"), (12, None, None)], schema)
