@@ -159,9 +159,9 @@ def people(t: Tables) -> DataFrame:
 
 
 def applicants(t: Tables) -> DataFrame:
-    """Every seventh customer applies again: exact, typo, initial, fields missing, or somebody else."""
+    """Every customer applies again: exact, typo, initial, fields missing, or somebody else."""
     k = F.col("c_custkey")
-    chosen = t.customer.filter(k % 7 == 0).select(
+    chosen = t.customer.select(
         (k + NEW_ID).alias("id"), F.when(k % 5 == 4, k + STRANGER).otherwise(k).alias("k"), (k % 5).alias("kind")
     )
     kind = F.col("kind")
@@ -290,7 +290,7 @@ SQL_PEOPLE = f"people AS ({_sql_person('SELECT c_custkey AS id, c_custkey AS k F
 
 _APPLICANT_KEYS = (
     "SELECT c_custkey + 1000000000000 AS id, CASE WHEN c_custkey % 5 = 4 THEN c_custkey + 1000000007 "
-    "ELSE c_custkey END AS k, c_custkey % 5 AS kind FROM customer WHERE c_custkey % 7 = 0"
+    "ELSE c_custkey END AS k, c_custkey % 5 AS kind FROM customer"
 )
 
 SQL_APPLICANTS = f"""applicants AS (

@@ -67,14 +67,24 @@ def _(t: Tables) -> DataFrame:
     return o.select("o_orderkey", P.props_typed(o, ["o_custkey", "day", "big", "tags"]).alias("props"))
 
 
+def _sql_quoted(key: str) -> str:
+    return f"'{key}: ''' || replace(props ->> '$.{key}', '''', '\\''') || ''''"
+
+
+def _sql_bare(key: str) -> str:
+    return f"'{key}: ' || (props ->> '$.{key}')"
+
+
+_ID, _NAME = _sql_bare("id"), _sql_quoted("name")
+
+
 @query("props_literal_text", f"""WITH {SQL_V} SELECT id, CASE label
-       WHEN 'Product' THEN 'brand: ''' || (props ->> '$.brand') || ''', id: ' || (props ->> '$.id') || ', name: '''
-            || replace(props ->> '$.name', '''', '\\''') || ''', size: ' || (props ->> '$.size')
-       ELSE 'id: ' || (props ->> '$.id') || ', name: ''' || (props ->> '$.name') || '''' END AS literal
-       FROM v WHERE label IN ('Product', 'Supplier')""")
+       WHEN 'Product' THEN concat_ws(', ', {_sql_quoted('brand')}, {_ID}, {_NAME}, {_sql_bare('size')})
+       WHEN 'Customer' THEN concat_ws(', ', {_ID}, {_NAME}, {_sql_quoted('segment')})
+       WHEN 'Order' THEN concat_ws(', ', {_sql_quoted('created_at')}, {_ID}, {_sql_quoted('status')})
+       ELSE concat_ws(', ', {_ID}, {_NAME}) END AS literal FROM v""")
 def _(t: Tables) -> DataFrame:
-    v = X.vertices(t).filter(F.col("label").isin("Product", "Supplier"))
-    return v.select("id", P.props_literal_text(F.col("props")).alias("literal"))
+    return X.vertices(t).select("id", P.props_literal_text(F.col("props")).alias("literal"))
 
 
 @query("prop_get", "SELECT event_id, (props ->> '$.k')::BIGINT AS k FROM events")
@@ -87,11 +97,15 @@ def _(t: Tables) -> DataFrame:
     return X.order_vertices(t).select("id", P.prop_exists(F.col("props"), "created_at").alias("dated"))
 
 
-@query("prop_set", f"""WITH {SQL_V} SELECT id, json_object('id', (props ->> '$.id')::BIGINT, 'name', 'renamed')::VARCHAR AS props
-       FROM v WHERE label IN ('Supplier', 'Country')""")
+@query("prop_set", f"""WITH {SQL_V} SELECT id, CASE
+       WHEN label = 'Customer' THEN json_object('id', (props ->> '$.id')::BIGINT, 'name', 'renamed', 'segment', props ->> '$.segment')
+       WHEN label = 'Product' THEN json_object('brand', props ->> '$.brand', 'id', (props ->> '$.id')::BIGINT, 'name', 'renamed', 'size', (props ->> '$.size')::INT)
+       WHEN label = 'Order' AND props ->> '$.created_at' IS NOT NULL THEN json_object('created_at', props ->> '$.created_at',
+            'id', (props ->> '$.id')::BIGINT, 'name', 'renamed', 'status', props ->> '$.status')
+       WHEN label = 'Order' THEN json_object('id', (props ->> '$.id')::BIGINT, 'name', 'renamed', 'status', props ->> '$.status')
+       ELSE json_object('id', (props ->> '$.id')::BIGINT, 'name', 'renamed') END::VARCHAR AS props FROM v""")
 def _(t: Tables) -> DataFrame:
-    v = X.vertices(t).filter(F.col("label").isin("Supplier", "Country"))
-    return v.select("id", P.prop_set(F.col("props"), "name", F.lit("renamed")).alias("props"))
+    return X.vertices(t).select("id", P.prop_set(F.col("props"), "name", F.lit("renamed")).alias("props"))
 
 
 @query("prop_date", f"SELECT id, strftime(try_cast(props ->> '$.created_at' AS DATE), '%Y-%m-%d') AS created_at FROM ({SQL_ORDER_V})")
@@ -104,11 +118,10 @@ def _(t: Tables) -> DataFrame:
     return t.events.select("event_id", P.format_created_at(F.col("ts")).alias("created_at"))
 
 
-@query("props_explode", f"""WITH {SQL_V}, k AS (SELECT id, props, unnest(json_keys(props)) AS key FROM v WHERE label IN ('Customer', 'Product'))
+@query("props_explode", f"""WITH {SQL_V}, k AS (SELECT id, props, unnest(json_keys(props)) AS key FROM v)
        SELECT id, key, json_extract_string(props, '$.' || key) AS value, key = 'name' AS matched FROM k""")
 def _(t: Tables) -> DataFrame:
-    v = X.vertices(t).filter(F.col("label").isin("Customer", "Product")).select("id", "props")
-    return P.props_explode(v, "name")
+    return P.props_explode(X.vertices(t).select("id", "props"), "name")
 
 
 @query("display_label", f"WITH {SQL_V} SELECT id, coalesce(nullif(props ->> '$.name', ''), nullif(props ->> '$.id', ''), '') AS display FROM v")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from knotwork.functions.properties import prop_date
@@ -286,25 +286,25 @@ def _(t: Tables) -> DataFrame:
     return created.select("label", "start_id", "end_id", "props")
 
 
-_STORED_CUSTOMERS = "SELECT 'Customer' AS label, json_object('name', c_name)::VARCHAR AS props FROM customer WHERE c_custkey % 2 = 0"
+_STORED_CUSTOMERS = "SELECT 'Customer' AS label, json_object('name', c_name)::VARCHAR AS props FROM customer WHERE c_acctbal > 0"
 
 
 @query("merge_vertices", f"""SELECT label, props FROM ({_STORED_CUSTOMERS}) UNION
 SELECT 'Customer', json_object('name', c_name)::VARCHAR FROM customer JOIN orders ON o_custkey = c_custkey""")
 def _(t: Tables) -> DataFrame:
-    named = t.customer.select("c_custkey", F.lit("Customer").alias("label"), S.name_props(F.col("c_name")).alias("props"))
-    stored = named.filter(F.col("c_custkey") % 2 == 0).select("label", "props")
+    named = t.customer.select("c_custkey", "c_acctbal", F.lit("Customer").alias("label"), S.name_props(F.col("c_name")).alias("props"))
+    stored = named.filter(F.col("c_acctbal") > 0).select("label", "props")
     feed = named.join(t.orders, F.col("o_custkey") == F.col("c_custkey")).select("label", "props")
     return I.merge_vertices(stored, feed)
 
 
 @query("merge_subset_match", f"""WITH {SQL_V},
-pat AS (SELECT DISTINCT 'Product' AS label, p_brand AS brand, p_size AS size FROM part WHERE p_size <= 10)
+pat AS (SELECT DISTINCT 'Product' AS label, p_brand AS brand, p_size AS size FROM part)
 SELECT pat.brand || '/' || pat.size AS pattern_id, v.id FROM pat JOIN v ON v.label = pat.label
 AND v.props ->> '$.brand' = pat.brand AND (v.props ->> '$.size')::INT = pat.size
 UNION ALL SELECT 'any region', id FROM v WHERE label = 'Region'""")
 def _(t: Tables) -> DataFrame:
-    wanted = t.part.filter(F.col("p_size") <= 10).select("p_brand", "p_size").distinct()
+    wanted = t.part.select("p_brand", "p_size").distinct()
     patterns = wanted.select(
         F.concat("p_brand", F.lit("/"), F.col("p_size").cast("string")).alias("pattern_id"), F.lit("Product").alias("label"),
         F.to_json(F.struct(F.col("p_brand").alias("brand"), F.col("p_size").alias("size"))).alias("props"),
@@ -314,22 +314,27 @@ def _(t: Tables) -> DataFrame:
 
 
 @query("merge_triplets", f"""WITH {SQL_V},
-feed AS (SELECT p_brand AS brand, p_size AS size, s_suppkey, s_name FROM part JOIN supplier ON p_partkey % 100 = s_suppkey % 100
-         WHERE p_size > 45),
-s AS (SELECT DISTINCT s_suppkey, v.id FROM feed JOIN v ON v.label = 'Supplier' AND v.props ->> '$.name' = s_name),
-o AS (SELECT DISTINCT f.brand, f.size, v.id FROM (SELECT DISTINCT brand, size FROM feed) f JOIN v ON v.label = 'Product'
-      AND v.props ->> '$.brand' = f.brand AND (v.props ->> '$.size')::INT = f.size)
-SELECT 'SUPPLIES' AS label, s.id::VARCHAR AS start_id, o.id::VARCHAR AS end_id FROM feed JOIN s USING (s_suppkey) JOIN o USING (brand, size)""")
+feed AS (SELECT s_name, p_brand, p_name, p_size FROM lineitem JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey),
+s AS (SELECT props ->> '$.name' AS s_name, id FROM v WHERE label = 'Supplier'),
+o AS (SELECT props ->> '$.brand' AS p_brand, props ->> '$.name' AS p_name, (props ->> '$.size')::INT AS p_size, id FROM v WHERE label = 'Product')
+SELECT 'SUPPLIES' AS label, s.id::VARCHAR AS start_id, o.id::VARCHAR AS end_id FROM feed JOIN s USING (s_name) JOIN o USING (p_brand, p_name, p_size)
+UNION ALL SELECT 'SOLD_BY', o.id::VARCHAR, sha256('Shop' || chr(31) || json_object('name', s_name)::VARCHAR) FROM feed JOIN o USING (p_brand, p_name, p_size)""")
 def _(t: Tables) -> DataFrame:
-    feed = t.part.filter(F.col("p_size") > 45).join(
-        t.supplier, F.col("p_partkey") % 100 == F.col("s_suppkey") % 100
-    ).select(
-        F.lit("Supplier").alias("s_label"), S.name_props(F.col("s_name")).alias("s_props"), F.lit("SUPPLIES").alias("predicate"),
-        F.lit("{}").alias("e_props"), F.lit("Product").alias("o_label"),
-        F.to_json(F.struct(F.col("p_brand").alias("brand"), F.col("p_size").alias("size"))).alias("o_props"),
-    )
-    stored = X.vertices(t).withColumn("id", F.col("id").cast("string"))
-    _, edges = I.merge_triplets(stored, feed)
+    """Suppliers and products are stored and bound by some of their properties; shops are not and get created."""
+    bought = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+    product = F.to_json(F.struct(F.col("p_brand").alias("brand"), F.col("p_name").alias("name"), F.col("p_size").alias("size")))
+    by_name = S.name_props(F.col("s_name"))
+
+    def triplet(s_label: str, s_props: Column, predicate: str, o_label: str, o_props: Column) -> Column:
+        return F.struct(
+            F.lit(s_label).alias("s_label"), s_props.alias("s_props"), F.lit(predicate).alias("predicate"),
+            F.lit("{}").alias("e_props"), F.lit(o_label).alias("o_label"), o_props.alias("o_props"),
+        )
+
+    feed = bought.select(F.inline(F.array(
+        triplet("Supplier", by_name, "SUPPLIES", "Product", product), triplet("Product", product, "SOLD_BY", "Shop", by_name),
+    )))
+    _, edges = I.merge_triplets(X.vertices(t).withColumn("id", F.col("id").cast("string")), feed)
     return edges.select("label", "start_id", "end_id")
 
 
@@ -359,10 +364,10 @@ def _(t: Tables) -> DataFrame:
     return dated.select("id", F.col("created_at").cast("string").alias("created_at"), "was_dated")
 
 
-@query("idempotent_reingest", f"WITH {SQL_V} SELECT label, props FROM v WHERE label IN ('Supplier', 'Product')")
+@query("idempotent_reingest", f"WITH {SQL_V} SELECT label, props FROM v")
 def _(t: Tables) -> DataFrame:
     feed_path, store, state = (scratch_path(t.spark, n) for n in ("feed", "store", "state"))
-    feed = X.vertices(t).filter(F.col("label").isin("Supplier", "Product")).select("label", "props")
+    feed = X.vertices(t).select("label", "props")
     feed.write.parquet(feed_path)
     reingest_vertices(file_feed(t.spark, feed_path, feed.schema), store, state)
     feed.write.mode("append").parquet(feed_path)

@@ -38,13 +38,13 @@ def _key(df: DataFrame):
 
 @query("assign_range", f"""WITH {SQL_V} SELECT id, CASE
 WHEN label = 'Customer' THEN CASE WHEN {_KEY} < 500 THEN 'c_low' WHEN {_KEY} >= 1000 THEN 'c_high' ELSE 'c_rest' END
-WHEN label = 'Product' AND {_KEY} >= 100 AND {_KEY} < 1000 THEN 'p_mid' END AS part FROM v WHERE label IN ('Customer', 'Product')""")
+WHEN label = 'Product' AND {_KEY} >= 100 AND {_KEY} < 1000 THEN 'p_mid' END AS part FROM v""")
 def _(t: Tables) -> DataFrame:
     spec = [
         R.Range("Customer", "c_low", 0, 500), R.Range("Customer", "c_high", 1000, None),
         R.Range("Customer", "c_rest", None, None, True), R.Range("Product", "p_mid", 100, 1000),
     ]
-    v = X.vertices(t).filter(F.col("label").isin("Customer", "Product"))
+    v = X.vertices(t)
     return v.select("id", R.assign_range(_key(v), F.col("label"), spec).alias("part"))
 
 
@@ -162,14 +162,14 @@ def _(t: Tables) -> DataFrame:
     ).agg(F.count("*").alias("n"))
 
 
-@query("range_spec_check", """WITH r AS (SELECT DISTINCT p_brand AS label, p_size AS lo FROM part WHERE p_size % 5 = 0),
-b AS (SELECT label, lo, lo + CASE WHEN lo % 3 = 0 THEN 7 ELSE 4 END AS hi, lead(lo) OVER (PARTITION BY label ORDER BY lo) AS nx FROM r)
+@query("range_spec_check", """WITH r AS (SELECT DISTINCT p_brand AS label, p_size AS lo FROM part),
+b AS (SELECT label, lo, lo + 2 - (lo + 1) % 3 AS hi, lead(lo) OVER (PARTITION BY label ORDER BY lo) AS nx FROM r)
 SELECT label, CASE WHEN hi > nx THEN 'overlap' ELSE 'gap' END AS kind, least(hi, nx)::BIGINT AS "from", greatest(hi, nx)::BIGINT AS "to"
 FROM b WHERE nx IS NOT NULL AND hi <> nx""")
 def _(t: Tables) -> DataFrame:
     lo = F.col("p_size")
-    spec = t.part.filter(lo % 5 == 0).select(
+    spec = t.part.select(
         F.col("p_brand").alias("label"), lo.cast("string").alias("lo"),
-        (lo + F.when(lo % 3 == 0, 7).otherwise(4)).cast("string").alias("hi"), F.lit(False).alias("is_default"),
+        (lo + 2 - (lo + 1) % 3).cast("string").alias("hi"), F.lit(False).alias("is_default"),
     ).distinct()
     return R.range_spec_check(spec)
