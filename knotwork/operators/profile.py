@@ -41,7 +41,17 @@ def xy_bins(df: DataFrame, x: str, y: str, x_width: float, y_width: float) -> Da
 
 # --- exact quantiles ------------------------------------------------------
 
-def exact_quantiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float]) -> dict[str, dict[float, float | None]]:
+def _spans(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple]:
+    """Column -> (count, min, max)."""
+    row = df.agg(*[e for c in cols for e in (
+        F.count(c), F.min(F.col(c).cast("double")), F.max(F.col(c).cast("double")),
+    )]).first()
+    return {c: tuple(row[3 * i:3 * i + 3]) for i, c in enumerate(cols)}
+
+
+def exact_quantiles(
+    df: DataFrame, cols: Sequence[str], qs: Sequence[float], spans: dict[str, tuple] | None = None
+) -> dict[str, dict[float, float | None]]:
     """Exact, linearly interpolated quantiles.
 
     The built-in exact percentile gathers every distinct value in one task. Here
@@ -49,20 +59,17 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float]) ->
     1,024 bins of the interval that holds a rank and keeps the bin with the rank
     in it, until few values are left. A pass is a scan with a small aggregate; a
     trillion rows take three or four. Only bin counts and the last few thousand
-    distinct values reach the driver.
+    distinct values reach the driver. ``spans`` is column -> (count, min, max)
+    when the caller has them already.
     """
-    span = df.agg(*[e for c in cols for e in (
-        F.count(c).alias(f"n_{c}"), F.min(F.col(c).cast("double")).alias(f"lo_{c}"),
-        F.max(F.col(c).cast("double")).alias(f"hi_{c}"),
-    )]).first()
+    spans = spans or _spans(df, cols)
     state: dict[tuple[str, int], list] = {}
     for c in cols:
-        n = span[f"n_{c}"]
-        for q in qs:
-            if n:
-                low = math.floor(q * (n - 1))
-                for rank in {low, min(low + 1, n - 1)}:
-                    state[c, rank] = [span[f"lo_{c}"], span[f"hi_{c}"], 0, n]
+        n, least, most = spans[c]
+        for q in qs if n else ():
+            low = math.floor(q * (n - 1))
+            for rank in {low, min(low + 1, n - 1)}:
+                state[c, rank] = [least, most, 0, n]
 
     def inside(lo: float, hi: float, c: str) -> Column:
         return F.col(c).cast("double").between(lo, hi)
@@ -105,7 +112,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float]) ->
 
     out: dict[str, dict[float, float | None]] = {}
     for c in cols:
-        n = span[f"n_{c}"]
+        n = spans[c][0]
         out[c] = dict.fromkeys(qs)
         for q in qs if n else ():
             place = q * (n - 1)
@@ -124,7 +131,8 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
         F.count(c).alias(f"count_{c}"), F.avg(c).alias(f"mean_{c}"), F.stddev_samp(c).alias(f"std_{c}"),
         F.min(F.col(c).cast("double")).alias(f"min_{c}"), F.max(F.col(c).cast("double")).alias(f"max_{c}"),
     )]).first()
-    quartiles = exact_quantiles(df, cols, (0.25, 0.5, 0.75))
+    spans = {c: (row[f"count_{c}"], row[f"min_{c}"], row[f"max_{c}"]) for c in cols}
+    quartiles = exact_quantiles(df, cols, (0.25, 0.5, 0.75), spans)
     rows = [
         (c, row[f"count_{c}"], row[f"mean_{c}"], row[f"std_{c}"], row[f"min_{c}"], *quartiles[c].values(), row[f"max_{c}"])
         for c in cols
@@ -154,13 +162,16 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> Data
     cols = list(cols or numeric_columns(df))
     aggs, entries = [], []
     for i, x in enumerate(cols):
-        for y in cols[i:]:
+        one = F.try_divide(F.var_samp(F.col(x).cast("double")), F.var_samp(F.col(x).cast("double")))
+        aggs.append(one.alias(x))
+        entries.append(F.struct(F.lit(x).alias("x"), F.lit(x).alias("y"), F.col(x).alias("r")))
+        for y in cols[i + 1:]:
             both = F.col(x).isNotNull() & F.col(y).isNotNull()
             a, b = F.when(both, F.col(x).cast("double")), F.when(both, F.col(y).cast("double"))
             name = f"{x}~{y}"
             r = F.try_divide(F.covar_samp(a, b), F.stddev_samp(a) * F.stddev_samp(b))
             aggs.append(r.alias(name))
-            for p, q in {(x, y), (y, x)}:
+            for p, q in ((x, y), (y, x)):
                 entries.append(F.struct(F.lit(p).alias("x"), F.lit(q).alias("y"), F.col(f"`{name}`").alias("r")))
     return _long_form(df.agg(*aggs), entries)
 
@@ -184,7 +195,7 @@ def histogram(df: DataFrame, column: str, bins: int | str = "auto") -> DataFrame
     if n == 0:
         return df.sparkSession.createDataFrame([], "bin bigint, lo double, hi double, n bigint")
     if bins == "auto":
-        q = exact_quantiles(df, [column], (0.25, 0.75))[column]
+        q = exact_quantiles(df, [column], (0.25, 0.75), {column: (n, lo, hi)})[column]
         bins = _auto_bins(n, lo, hi, q[0.75] - q[0.25])
     step = (hi - lo) / bins
     place = F.least(F.width_bucket(v, F.lit(lo), F.lit(hi), F.lit(bins)), F.lit(bins)) if hi > lo else F.lit(1)

@@ -33,6 +33,24 @@ def write_partitioned_graph(
     writer.partitionBy(*partition_by).parquet(path)
 
 
+def write_property_index(index: DataFrame, path: str) -> None:
+    """Store the inverted property table: a folder per label, rows sorted by key and value."""
+    write_partitioned_graph(
+        index, path, partition_by=("label",), sort_within=("key", "value_text"), bloom_columns=("value_text",)
+    )
+
+
+def save_bucketed(df: DataFrame, table: str, by: str, buckets: int, path: str | None = None) -> None:
+    """Store a table bucketed and sorted by one id column.
+
+    Vertices bucketed by ``id`` and edges by ``start_id`` with the same number of
+    buckets join without a shuffle; pick the number so that a bucket fits a task.
+    """
+    spread = df.repartition(buckets, F.col(by))
+    writer = spread.write.bucketBy(buckets, by).sortBy(by).format("parquet")
+    (writer if path is None else writer.option("path", path)).saveAsTable(table)
+
+
 def rewrite_partitioned(
     spark: SparkSession, source_path: str, target_path: str, assign: Callable[[DataFrame], tuple[DataFrame, DataFrame]]
 ) -> tuple[DataFrame, DataFrame]:

@@ -90,3 +90,31 @@ def test_write_prune_and_rewrite(spark, tmp_path):
     assert new.count() == 900 and refused.count() == 100 and spark.read.parquet(path).count() == 1000
     with pytest.raises(RuntimeError):
         W.rewrite_partitioned(spark, path, str(tmp_path / "bad"), lambda df: (df.filter("id > 5"), df.filter("id < 0")))
+
+
+def test_bucketed_tables_join_without_shuffle(spark, tmp_path):
+    v = spark.range(200).select("id", F.lit("T").alias("label"))
+    e = spark.range(400).select((F.col("id") % 200).alias("start_id"), F.lit("E").alias("edge"))
+    W.save_bucketed(v, "bucketed_v", "id", 4, str(tmp_path / "v"))
+    W.save_bucketed(e, "bucketed_e", "start_id", 4, str(tmp_path / "e"))
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        joined = spark.table("bucketed_e").join(spark.table("bucketed_v"), F.col("start_id") == F.col("id"))
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == 400
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("drop table bucketed_v")
+        spark.sql("drop table bucketed_e")
+
+
+def test_property_index_is_stored_by_label(spark, tmp_path):
+    from knotwork.operators.ingest import property_index
+
+    v = spark.createDataFrame([("T", 1, '{"a":1,"b":"x"}'), ("U", 2, '{"a":2}')], "label string, id bigint, props string")
+    path = str(tmp_path / "index")
+    W.write_property_index(property_index(v), path)
+    hits = spark.read.parquet(path).filter("label = 'T' and key = 'a' and value_text = '1'")
+    assert [r["id"] for r in hits.collect()] == [1]
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(key,a)" in plan and "PartitionFilters: [isnotnull(label" in plan
