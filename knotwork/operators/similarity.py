@@ -28,6 +28,7 @@ METRICS = ("jaccard", "overlap", "weighted_jaccard", "cosine")
 EPS = 1e-9
 SET_CHUNK = 4096
 PAIRS_PER_TASK = 2e7
+MAX_FRAGMENTS = 100_000
 DIRECT_BELOW = 64
 
 
@@ -178,7 +179,7 @@ def _meet(
     """
     low, high = (None, None) if direct else _bounds(metric, cutoff, min_shared)
     degree = F.col("degree").cast("double")
-    cuts = F.least(degree, F.ceil(degree * degree / PAIRS_PER_TASK)).cast("int")
+    cuts = F.least(degree, F.ceil(degree * degree / PAIRS_PER_TASK), F.lit(MAX_FRAGMENTS)).cast("int")
     xs = _prefix(large, high, "x").withColumn("frag", F.pmod(F.xxhash64("x"), cuts).cast("int")).drop("degree")
     ys = _prefix(small, low, "y").withColumn("frag", F.explode(F.sequence(F.lit(0), cuts - 1))).drop("degree", "m")
     # few input bytes make many pairs, so the configured parallelism is kept
