@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -15,6 +16,12 @@ LEAF_ROWS = 10_000
 ZERO_BEYOND = 39.0
 
 
+def _value(column: str) -> Column:
+    """The column as a double; not-a-number counts as missing."""
+    v = F.col(column).cast("double")
+    return F.when(~F.isnan(v), v)
+
+
 def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, _NUMERIC)]
 
@@ -44,7 +51,7 @@ def xy_bins(df: DataFrame, x: str, y: str, x_width: float, y_width: float) -> Da
 def _spans(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple]:
     """Column -> (count, min, max)."""
     row = df.agg(*[e for c in cols for e in (
-        F.count(c), F.min(F.col(c).cast("double")), F.max(F.col(c).cast("double")),
+        F.count(_value(c)), F.min(_value(c)), F.max(_value(c)),
     )]).first()
     return {c: tuple(row[3 * i:3 * i + 3]) for i, c in enumerate(cols)}
 
@@ -72,13 +79,12 @@ def exact_quantiles(
                 state[c, rank] = [least, most, 0, n]
 
     def inside(lo: float, hi: float, c: str) -> Column:
-        return F.col(c).cast("double").between(lo, hi)
+        return _value(c).between(lo, hi)
 
     def counted(brackets: list[tuple[str, float, float]], width_of) -> dict:
         hits = F.array(*[
             F.when(inside(lo, hi, c), F.struct(
-                F.lit(i).alias("i"), width_of(F.col(c).cast("double"), lo, hi).alias("bin"),
-                F.col(c).cast("double").alias("v"),
+                F.lit(i).alias("i"), width_of(_value(c), lo, hi).alias("bin"), _value(c).alias("v"),
             )) for i, (c, lo, hi) in enumerate(brackets)
         ])
         rows = (
@@ -102,7 +108,10 @@ def exact_quantiles(
                 below += n
 
     def equal_bins(v: Column, lo: float, hi: float) -> Column:
-        step = (v / 2 - lo / 2) / (hi / 2 - lo / 2)
+        low, high = max(lo, -sys.float_info.max), min(hi, sys.float_info.max)
+        if not high / 2 - low / 2 > 0:
+            return F.when(v > lo, F.lit(1.0)).otherwise(F.lit(0.0))
+        step = (F.greatest(F.least(v, F.lit(high)), F.lit(low)) / 2 - low / 2) / (high / 2 - low / 2)
         return F.least(F.floor(step * BINS_PER_PASS), F.lit(BINS_PER_PASS - 1)).cast("double")
 
     while wide := [k for k, (lo, hi, _, n) in state.items() if lo < hi and n > LEAF_ROWS]:
@@ -118,7 +127,7 @@ def exact_quantiles(
             place = q * (n - 1)
             low = math.floor(place)
             a, b = state[c, low][0], state[c, min(low + 1, n - 1)][0]
-            out[c][q] = a + (b - a) * (place - low)
+            out[c][q] = a if place == low or a == b else a + (b - a) * (place - low)
     return out
 
 
@@ -128,8 +137,8 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """count, mean, sample std, min, quartiles and max of every numeric column."""
     cols = list(cols or numeric_columns(df))
     row = df.agg(*[e for c in cols for e in (
-        F.count(c).alias(f"count_{c}"), F.avg(c).alias(f"mean_{c}"), F.stddev_samp(c).alias(f"std_{c}"),
-        F.min(F.col(c).cast("double")).alias(f"min_{c}"), F.max(F.col(c).cast("double")).alias(f"max_{c}"),
+        F.count(_value(c)).alias(f"count_{c}"), F.avg(_value(c)).alias(f"mean_{c}"),
+        F.stddev_samp(_value(c)).alias(f"std_{c}"), F.min(_value(c)).alias(f"min_{c}"), F.max(_value(c)).alias(f"max_{c}"),
     )]).first()
     spans = {c: (row[f"count_{c}"], row[f"min_{c}"], row[f"max_{c}"]) for c in cols}
     quartiles = exact_quantiles(df, cols, (0.25, 0.5, 0.75), spans)
@@ -162,12 +171,12 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> Data
     cols = list(cols or numeric_columns(df))
     aggs, entries = [], []
     for i, x in enumerate(cols):
-        one = F.try_divide(F.var_samp(F.col(x).cast("double")), F.var_samp(F.col(x).cast("double")))
+        one = F.try_divide(F.var_samp(_value(x)), F.var_samp(_value(x)))
         aggs.append(one.alias(x))
         entries.append(F.struct(F.lit(x).alias("x"), F.lit(x).alias("y"), F.col(x).alias("r")))
         for y in cols[i + 1:]:
-            both = F.col(x).isNotNull() & F.col(y).isNotNull()
-            a, b = F.when(both, F.col(x).cast("double")), F.when(both, F.col(y).cast("double"))
+            both = _value(x).isNotNull() & _value(y).isNotNull()
+            a, b = F.when(both, _value(x)), F.when(both, _value(y))
             name = f"{x}~{y}"
             r = F.try_divide(F.covar_samp(a, b), F.stddev_samp(a) * F.stddev_samp(b))
             aggs.append(r.alias(name))
@@ -189,7 +198,7 @@ def _auto_bins(n: int, lo: float, hi: float, iqr: float) -> int:
 
 def histogram(df: DataFrame, column: str, bins: int | str = "auto") -> DataFrame:
     """Counts in equal bins, empty ones included; the last bin is closed."""
-    v = F.col(column).cast("double")
+    v = _value(column)
     row = df.agg(F.count(v), F.min(v), F.max(v)).first()
     n, lo, hi = row
     if n == 0:
@@ -216,7 +225,7 @@ def kde(df: DataFrame, column: str, points: int = 200) -> DataFrame:
     grid step and each value meets a few points. Sums are combined before the
     shuffle, which carries one row per grid point and task.
     """
-    v = F.col(column).cast("double")
+    v = _value(column)
     n, lo, hi, std = df.agg(F.count(v), F.min(v), F.max(v), F.stddev_samp(v)).first()
     if not n or not std:
         return df.sparkSession.createDataFrame([], "point bigint, x double, density double")
@@ -255,7 +264,7 @@ def box_stats(df: DataFrame, column: str) -> DataFrame:
             [], "q1 double, median double, q3 double, whisker_lo double, whisker_hi double, outliers bigint"
         )
     reach = 1.5 * (q[0.75] - q[0.25])
-    v = F.col(column).cast("double")
+    v = _value(column)
     near = v.between(q[0.25] - reach, q[0.75] + reach)
     return df.agg(
         F.min(F.when(near, v)).alias("whisker_lo"), F.max(F.when(near, v)).alias("whisker_hi"),

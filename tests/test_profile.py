@@ -53,6 +53,16 @@ def test_exact_quantiles(spark, monkeypatch, kind):
     assert D.exact_quantiles(df.filter("v is null"), ["v"], (0.5,))["v"][0.5] is None
 
 
+def test_quantiles_with_infinite_and_missing_values(spark, monkeypatch):
+    monkeypatch.setattr(D, "LEAF_ROWS", 2)
+    inf, nan = float("inf"), float("nan")
+    values = [-inf, -inf, 1.0, 2.0, 3.0, 1.7e308, inf, inf, inf, nan, None]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = D.exact_quantiles(df, ["v"], (0.0, 0.25, 0.5, 0.75, 1.0))["v"]
+    assert list(got.values()) == [-inf, 1.0, 3.0, inf, inf]
+    assert D.describe(df.filter("v is null or isnan(v) or abs(v) < 10")).first()["count"] == 3
+
+
 def test_distributions(flat):
     fares = [r[1] for r in ROWS]
     h = D.histogram(flat, "fare").orderBy("bin").collect()
