@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from knotwork.session import written
@@ -18,11 +20,15 @@ def hot_keys(df: DataFrame, key_sets: Sequence[Sequence[str]], rows_per_fragment
     Rows are (set_no, key_hash, cuts). Counts are combined on the map side. The
     table has at most rows / rows_per_fragment entries per key set and is stored,
     so that joins with it are planned from its true size. A hash shared by two
-    keys only makes their rows be cut finer.
+    keys only makes their rows be cut finer. Null keys join nothing and are left out.
     """
     limit = rows_per_fragment or ROWS_PER_FRAGMENT
-    keyed = F.array(*[F.struct(F.lit(i).alias("set_no"), F.xxhash64(*keys).alias("key_hash")) for i, keys in enumerate(key_sets)])
-    counted = df.select(F.inline(keyed)).groupBy("set_no", "key_hash").agg(F.count("*").alias("n"))
+    def keyed(set_no: int, keys: Sequence[str]) -> Column:
+        present = reduce(and_, [F.col(k).isNotNull() for k in keys])
+        return F.when(present, F.struct(F.lit(set_no).alias("set_no"), F.xxhash64(*keys).alias("key_hash")))
+
+    rows = df.select(F.inline(F.array_compact(F.array(*[keyed(i, keys) for i, keys in enumerate(key_sets)]))))
+    counted = rows.groupBy("set_no", "key_hash").agg(F.count("*").alias("n"))
     return written(
         counted.filter(F.col("n") > limit).select("set_no", "key_hash", F.ceil(F.col("n") / limit).cast("int").alias("cuts")),
         "hot",
