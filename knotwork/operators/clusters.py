@@ -16,7 +16,7 @@ def _both(links: DataFrame) -> DataFrame:
 def _large_star(links: DataFrame) -> DataFrame:
     """Hang every larger neighbour of a node on the smallest one it knows."""
     both = _both(links)
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+    least = written(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "least")
     return both.filter(F.col("b") > F.col("a")).join(least, "a").select(
         F.col("b").alias("a"), F.col("m").alias("b")
     ).distinct()
@@ -25,7 +25,7 @@ def _large_star(links: DataFrame) -> DataFrame:
 def _small_star(links: DataFrame) -> DataFrame:
     """Hang a node and its smaller neighbours on the smallest of them."""
     down = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
+    least = written(down.groupBy("a").agg(F.min("b").alias("m")), "least")
     joined = down.join(least, "a")
     return (
         joined.filter(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -34,22 +34,25 @@ def _small_star(links: DataFrame) -> DataFrame:
     )
 
 
-def entity_clusters(links: DataFrame, nodes: DataFrame | None = None, max_rounds: int = 40) -> DataFrame:
+def entity_clusters(links: DataFrame, nodes: DataFrame | None = None, max_rounds: int | None = None) -> DataFrame:
     """``(id, cluster)`` with the smallest member as cluster name.
 
     ``links`` is (a, b). Large-star and small-star rounds (Kiveris et al., 2014)
     halve long chains, so a component of diameter d takes about log d rounds
     instead of d. A node's links are only ever reduced to their minimum, never
-    gathered. Each round is a table in the shared folder; two numbers per round
-    come to the driver.
+    gathered. The minima are stored before they are joined back, so that both sides
+    of that join are plain shuffles, which adaptive execution can split at a hub.
+    Each round is a table in the shared folder; two numbers per round come to the
+    driver. A long chain goes on until it settles unless ``max_rounds`` is given.
     """
     current = written(
         links.select("a", "b").filter(F.col("a") != F.col("b"))
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
         "links",
     )
-    seen = None
-    for _ in range(max_rounds):
+    seen, rounds = None, 0
+    while max_rounds is None or rounds < max_rounds:
+        rounds += 1
         current = written(_small_star(_large_star(current)), "links")
         state = tuple(current.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
         if state == seen:
