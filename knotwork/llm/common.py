@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import knotwork
+
 #: Stands for a null id in join keys; rows keep their null.
 NULL_ID = -(2**63)
 BYTES_PER_BATCH = 8 << 20
@@ -29,28 +34,29 @@ def slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int =
             yield batch.slice(start, step)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors once per application; they need not have it installed."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = Path(knotwork.__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="knotwork-code-")) / "knotwork_code.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(root.rglob("*.py")):
+            out.write(source, source.relative_to(root.parent).as_posix())
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
+
+
 def arrow_map(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``mapInArrow`` with this package on the executors."""
+    ship(df.sparkSession)
     return df.mapInArrow(work, schema)
 
 
 def record(**columns: pa.Array | list) -> pa.RecordBatch:
     arrays = [c if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c) for c in columns.values()]
     return pa.RecordBatch.from_arrays(arrays, names=list(columns))
-
-
-class BoundedCache(dict):
-    """A dictionary whose missing keys are computed one by one or in bulk, emptied when it holds ``limit`` entries."""
-
-    def __init__(self, compute: Callable[[list], list], limit: int = 400_000) -> None:
-        super().__init__()
-        self.compute, self.limit = compute, limit
-
-    def fill(self, keys: Iterable) -> None:
-        """Make every key present."""
-        keys = set(keys)
-        new = [k for k in keys if k not in self]
-        if len(self) + len(new) > self.limit and len(self):
-            self.clear()
-            new = list(keys)
-        if new:
-            self.update(zip(new, self.compute(new)))

@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from knotwork.llm.common import NULL_ID, record, slices, whole_text
+from knotwork.llm.common import NULL_ID, arrow_map, record, slices, whole_text
 from knotwork.operators.clusters import entity_clusters
 from knotwork.session import written
 
@@ -52,7 +52,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             yield record(doc_id=part.column("doc_id"), text_key=part.column("text_key"), fp=pa.array(found, pa.int64()))
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(whole_text()).alias("text_key"), whole_text().alias("text"))
-    return rows.mapInArrow(work, "doc_id bigint, text_key bigint, fp bigint")
+    return arrow_map(rows, work, "doc_id bigint, text_key bigint, fp bigint")
 
 
 def _byte(fp: Column, position: int) -> Column:

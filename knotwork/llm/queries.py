@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from knotwork.llm import neardup
+from knotwork.llm import neardup, packing, piece_ids, token_files
+from knotwork.session import scratch_path
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -16,12 +18,29 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def op5_elias_fano_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    docs, target = _table(spark, folder, "documents"), scratch_path(spark, "token-files")
+    manifest = token_files.write_id_files(docs, target, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return token_files.read_id_files(manifest)
+
+
+def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+
+
+def op8_sentencepiece_words(spark: SparkSession, folder: str) -> DataFrame:
+    return piece_ids.encode_decode(_table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = neardup.near_duplicate_groups(_table(spark, folder, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 QUERIES: dict[str, Run] = {
+    "op5_elias_fano_token_files": op5_elias_fano_token_files,
+    "op6_best_fit_packing": op6_best_fit_packing,
+    "op8_sentencepiece_words": op8_sentencepiece_words,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 ORACLES: dict[str, str] = {}
