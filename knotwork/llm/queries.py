@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from knotwork.llm import neardup, packing, piece_ids, token_files
+from knotwork.llm import fingerprints, neardup, packing, piece_ids, token_files
 from knotwork.session import scratch_path
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,11 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def op2_simhash_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    found = fingerprints.edited_fingerprints(_table(spark, folder, "documents"))
+    return fingerprints.with_near_counts(found).drop("hi", "lo")
+
+
 def op5_elias_fano_token_files(spark: SparkSession, folder: str) -> DataFrame:
     docs, target = _table(spark, folder, "documents"), scratch_path(spark, "token-files")
     manifest = token_files.write_id_files(docs, target, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
@@ -38,6 +43,7 @@ def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Run] = {
+    "op2_simhash_fingerprints": op2_simhash_fingerprints,
     "op5_elias_fano_token_files": op5_elias_fano_token_files,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op8_sentencepiece_words": op8_sentencepiece_words,
