@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from knotwork.llm import fingerprints, neardup, packing, piece_ids, token_files
+from knotwork.llm import fingerprints, neardup, packing, piece_ids, secret_tags, token_files
 from knotwork.session import scratch_path
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,10 @@ def op8_sentencepiece_words(spark: SparkSession, folder: str) -> DataFrame:
     return piece_ids.encode_decode(_table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op9_secret_scan_crf(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_tags.scan(_table(spark, folder, "documents"))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = neardup.near_duplicate_groups(_table(spark, folder, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -47,6 +51,7 @@ QUERIES: dict[str, Run] = {
     "op5_elias_fano_token_files": op5_elias_fano_token_files,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op8_sentencepiece_words": op8_sentencepiece_words,
+    "op9_secret_scan_crf": op9_secret_scan_crf,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 ORACLES: dict[str, str] = {}
