@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from knotwork.llm import fingerprints, neardup, packing, piece_ids, secret_tags, token_files, toxicity
+from knotwork.llm import fingerprints, neardup, packing, piece_ids, quality, secret_tags, token_files, toxicity
 from knotwork.session import scratch_path
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,11 @@ def op2_simhash_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.with_near_counts(found).drop("hi", "lo")
 
 
+def op3_quality_co_training(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return quality.score(docs, quality.train(docs, _table(spark, folder, "labels")))
+
+
 def op4_toxicity_string_kernel(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     return toxicity.score(docs, toxicity.train(docs, _table(spark, folder, "labels")))
@@ -53,6 +58,7 @@ def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Run] = {
     "op2_simhash_fingerprints": op2_simhash_fingerprints,
+    "op3_quality_co_training": op3_quality_co_training,
     "op4_toxicity_string_kernel": op4_toxicity_string_kernel,
     "op5_elias_fano_token_files": op5_elias_fano_token_files,
     "op6_best_fit_packing": op6_best_fit_packing,

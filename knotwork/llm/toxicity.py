@@ -27,9 +27,10 @@ LANDMARKS = 96  # for each class
 SAMPLE_DOCUMENTS = 3000  # for each class
 SAMPLE_CHARACTERS = 20_000  # of a document in the training sample
 PHRASE = 16
-CLEAN_PHRASES = 12_000
+CLEAN_PHRASES = 8_000
 CHUNK = 1 << 18
 HELD_OUT_OF = 5
+FEW_TEXTS = 1500
 
 _OFFSETS = [(c, DECAY ** (c[-1] - LETTERS + 1)) for c in combinations(range(1, SPAN), LETTERS - 1)]
 _SENTENCE = re.compile(r"[^.!?\n]+")
@@ -197,24 +198,39 @@ def _gapped(phrase: str, chance: random.Random) -> str:
     return f" {''.join(letters)} "[: PHRASE + 2]
 
 
-def fit(examples: list[tuple[str, int]], rounds: int = 4) -> Model:
-    """Train on labelled texts.
+def fit(examples: list[tuple[str, int]]) -> Model:
+    """Train on labelled texts, and fit the curve on scores of texts that the machine was not trained on.
 
-    A clean text's phrases are all clean. Of a toxic text it is not known which
-    phrase is toxic: at first the one that speaks most for the class, then in
-    each round the one that the machine scores highest. Gapped copies of the
-    toxic phrases are learned too, and the windows of clean texts that score
-    worst are added to the clean phrases. The curve is fitted on the half of the texts
-    that the machine was not trained on.
+    With few texts that is done crosswise, and the machine then learns from all of them.
     """
     examples = sorted(examples)
     chance = random.Random(11)
     chance.shuffle(examples)
     if len({y for _, y in examples}) < 2:  # nothing to tell apart
         return Model(np.zeros(1 << 20, dtype=np.float32), 0.0, -5.0 if not examples or examples[0][1] == 0 else 5.0)
-    train, rest = examples[::2], examples[1::2]
-    if len({y for _, y in train}) < 2 or len({y for _, y in rest}) < 2:
-        train = rest = examples
+    halves = examples[::2], examples[1::2]
+    if any(len({y for _, y in half}) < 2 for half in halves):
+        halves = examples, examples
+    first = machine(halves[0])
+    parts = [(first.largest(t for t, _ in halves[1]), halves[1])]
+    if len(examples) < FEW_TEXTS:
+        parts.append((machine(halves[1]).largest(t for t, _ in halves[0]), halves[0]))
+        first = machine(examples)
+    found, y = np.concatenate([f for f, _ in parts]), np.array([y for _, half in parts for _, y in half])
+    first.slope, first.shift = _curve(found, y)
+    return first
+
+
+def machine(train: list[tuple[str, int]], rounds: int = 4) -> Model:
+    """The support vector machine without its curve.
+
+    A clean text's phrases are all clean. Of a toxic text it is not known which
+    phrase is toxic: at first the one that speaks most for the class, then in
+    each round the one that the machine scores highest. Gapped copies of the
+    toxic phrases are learned too, and the windows of clean texts that score
+    worst are added to the clean phrases.
+    """
+    chance = random.Random(13)
     bags = [(sorted(set(phrases(t))), y) for t, y in train]
     toxic, clean = (Counter(p for bag, y in bags if y == k for p in bag) for k in (1, 0))
     n_toxic, n_clean = (sum(y == k for _, y in bags) for k in (1, 0))
@@ -251,23 +267,19 @@ def fit(examples: list[tuple[str, int]], rounds: int = 4) -> Model:
             model = Model(landmarks.collapse(w), 1.0, 0.0)
             found = sorted({model.strongest(t) for t, label in train if not label and t}, reverse=True)
             x_clean = np.vstack([x_clean, landmarks.embed([p for value_of, p in found if value_of + bias > -1])])
-    model = Model(landmarks.collapse(w), 1.0, 0.0)
-    found = model.largest(t for t, _ in rest)
-    model.slope, model.shift = _curve(found, np.array([y for _, y in rest]))
-    return model
+    return Model(landmarks.collapse(w), 1.0, 0.0)
 
 
 def _curve(found: np.ndarray, y: np.ndarray, rounds: int = 200) -> tuple[float, float]:
-    """Logistic regression on one number with weighted classes and Platt's softened targets."""
+    """Logistic regression on one number with Platt's softened targets."""
     spread = found.std() or 1.0
     x = np.stack([(found - found.mean()) / spread, np.ones(len(found))], axis=1)
     up, down = (y == 1).sum(), (y == 0).sum()
     target = np.where(y == 1, (up + 1) / (up + 2), 1 / (down + 2))
-    share = np.where(y == 1, 0.5 / max(up, 1), 0.5 / max(down, 1)) * len(y)
     w = np.zeros(2)
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -35, 35)))
-        step = np.linalg.solve(x.T @ (x * (share * p * (1 - p))[:, None]) + 1e-3 * np.eye(2), x.T @ (share * (p - target)) + 1e-3 * w)
+        step = np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + 1e-3 * np.eye(2), x.T @ (p - target) + 1e-3 * w)
         w -= np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-8:
             break
