@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from knotwork.llm import fingerprints, neardup, packing, piece_ids, quality, secret_tags, token_files, toxicity
+from knotwork.llm import fingerprints, neardup, neighbours, packing, piece_ids, quality, secret_tags, token_files, toxicity
 from knotwork.session import scratch_path
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,10 @@ def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
 
 
+def op7_nn_descent_search(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest(_table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op8_sentencepiece_words(spark: SparkSession, folder: str) -> DataFrame:
     return piece_ids.encode_decode(_table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -62,6 +66,7 @@ QUERIES: dict[str, Run] = {
     "op4_toxicity_string_kernel": op4_toxicity_string_kernel,
     "op5_elias_fano_token_files": op5_elias_fano_token_files,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_nn_descent_search": op7_nn_descent_search,
     "op8_sentencepiece_words": op8_sentencepiece_words,
     "op9_secret_scan_crf": op9_secret_scan_crf,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
