@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from knotwork.llm import fingerprints, neardup, neighbours, packing, piece_ids, quality, secret_tags, token_files, toxicity
+from knotwork.llm import chat, fingerprints, neardup, neighbours, packing, piece_ids, quality, secret_tags, token_files, toxicity
 from knotwork.session import scratch_path
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,10 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def op1_chat_role_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.repair(_table(spark, folder, "conversations")).drop("place")
+
+
 def op2_simhash_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     found = fingerprints.edited_fingerprints(_table(spark, folder, "documents"))
     return fingerprints.with_near_counts(found).drop("hi", "lo")
@@ -61,6 +65,7 @@ def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Run] = {
+    "op1_chat_role_repair": op1_chat_role_repair,
     "op2_simhash_fingerprints": op2_simhash_fingerprints,
     "op3_quality_co_training": op3_quality_co_training,
     "op4_toxicity_string_kernel": op4_toxicity_string_kernel,
