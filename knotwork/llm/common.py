@@ -23,6 +23,17 @@ def whole_text(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until no column of ``df`` has them."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = BYTES_PER_BATCH) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that Python holds about ``limit`` bytes of text at a time, and one row at least."""
     for batch in batches:

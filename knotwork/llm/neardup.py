@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from knotwork.llm.common import NULL_ID, arrow_map, record, slices, whole_text
+from knotwork.llm.common import NULL_ID, arrow_map, free_names, record, slices, whole_text
 from knotwork.operators.clusters import entity_clusters
 from knotwork.session import written
 
@@ -145,11 +145,12 @@ def near_duplicate_groups(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 def keep_one_of_each_group(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """The documents with one row per near-duplicate group: its smallest doc_id (null last), then the smallest text hash."""
+    no, key = free_names(docs, "_id", "_key")
     found = near_duplicate_groups(docs, radius)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key"))
     kept = found.groupBy("root").agg(first.alias("first")).select(
-        F.coalesce("first.doc_id", F.lit(NULL_ID)).alias("_id"), F.col("first.text_key").alias("_key"),
+        F.coalesce("first.doc_id", F.lit(NULL_ID)).alias(no), F.col("first.text_key").alias(key),
     )
     kept = written(kept, "kept")
-    rows = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NULL_ID)), "_key": F.xxhash64(whole_text())})
-    return rows.join(kept, ["_id", "_key"]).dropDuplicates(["_id", "_key"]).drop("_id", "_key")
+    rows = docs.withColumns({no: F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NULL_ID)), key: F.xxhash64(whole_text())})
+    return rows.join(kept, [no, key]).dropDuplicates([no, key]).drop(no, key)

@@ -229,7 +229,7 @@ def search(index: Index, queries: DataFrame, beam: int = BEAM, seeds: int = SEED
     """
     entries = index.nodes.orderBy(F.xxhash64("node"), "node").limit(ENTRIES).collect()
     entry_ids = np.array([r["node"] for r in entries], dtype=np.int64)
-    entry_units = np.array([r["unit"] for r in entries], dtype=np.float32).reshape(len(entries), -1)
+    entry_units = np.array([r["unit"] for r in entries], dtype=np.float32).reshape(len(entries), -1 if entries else 1)
 
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
