@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from knotwork.functions.properties import prop_get
 from knotwork.model import EDGE_LABELS, VERTEX_LABELS
+from knotwork.operators.partitions import Range, touched_partitions
+from knotwork.session import written
 
 
 # --- label registry -------------------------------------------------------
@@ -83,17 +88,18 @@ def partition_scan(df: DataFrame, label: str, part: str, limit: int | None = Non
 
 
 def range_scan(
-    df: DataFrame, label: str, col: str, lo: object, hi: object, parts: list[str] | None = None,
+    df: DataFrame, label: str, col: str, lo: object, hi: object, spec: Sequence[Range] | None = None,
     limit: int | None = None,
 ) -> DataFrame:
     """Rows with ``lo <= col < hi`` on a promoted column.
 
-    ``parts`` names the partitions the range can touch (see
-    ``partitions.years_touched``); only their folders are read.
+    ``spec`` is the range spec that the stored table was partitioned by on that
+    column: only the folders that can hold values of the range are read, the
+    default among them unless the ranges cover the whole of it.
     """
     rows = df.filter((F.col("label") == label) & (F.col(col) >= F.lit(lo)) & (F.col(col) < F.lit(hi)))
-    if parts is not None:
-        rows = rows.filter(F.col("part").isin(parts))
+    if spec is not None:
+        rows = rows.filter(F.col("part").isin(touched_partitions(spec, label, lo, hi)))
     return rows if limit is None else order_by_id_limit(rows, limit)
 
 
@@ -119,10 +125,10 @@ def undirected(edges: DataFrame, start: str = "start_id", end: str = "end_id") -
 def dangling_edges(edges: DataFrame, vertices: DataFrame) -> DataFrame:
     """Edges with at least one endpoint that is not a vertex."""
     ids = vertices.select("id")
-    marked = edges.join(ids.select(F.col("id").alias("start_id"), F.lit(True).alias("_s")), "start_id", "left").join(
-        ids.select(F.col("id").alias("end_id"), F.lit(True).alias("_e")), "end_id", "left"
-    )
-    return marked.filter(F.col("_s").isNull() | F.col("_e").isNull()).select(*edges.columns)
+    start, end = ids.withColumnRenamed("id", "start_id"), ids.withColumnRenamed("id", "end_id")
+    unstarted = edges.join(start, "start_id", "left_anti").select(*edges.columns)
+    unended = edges.join(start, "start_id", "left_semi").join(end, "end_id", "left_anti").select(*edges.columns)
+    return unstarted.unionByName(unended)
 
 
 # --- counts ---------------------------------------------------------------
@@ -162,25 +168,43 @@ def promoted_key(df: DataFrame, key: str, dtype: str = "string") -> DataFrame:
 ADJACENCY_BLOCK_BITS = 12
 
 
+def _numeric(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, T.IntegralType)
+
+
+def _blocked(df: DataFrame, by: Sequence[str], other: str, block_bits: int) -> DataFrame:
+    """Rows with the ``block`` of ``other`` within the list of ``by``.
+
+    Whole numbers are blocked by range, 2**block_bits to a block. Other ids are
+    blocked by hash, into as many blocks as the length of the list asks for at
+    half the size, so that uneven hashes stay below it.
+    """
+    if _numeric(df, other):
+        return df.withColumn("block", F.shiftright(other, block_bits).cast("bigint"))
+    df = written(df, "lists")
+    most = df.groupBy(*by).agg(F.ceil(F.count("*") / (1 << (block_bits - 1))).alias("_blocks"))
+    return df.join(most, list(by)).withColumn("block", F.pmod(F.xxhash64(other), F.col("_blocks"))).drop("_blocks")
+
+
 def adjacency(edges: DataFrame, direction: str = "out", block_bits: int = ADJACENCY_BLOCK_BITS) -> DataFrame:
     """Neighbour lists ``(id, block, neighbors[{id, n}])`` by start (out) or end (in).
 
-    A list covers one block of 2**block_bits neighbour ids and repeated edges are
-    counted, so no list exceeds that many entries even for a super-node.
+    A list covers one block of neighbour ids and repeated edges are counted, so
+    no list exceeds about 2**block_bits entries even for a super-node.
     """
     node, other = ("start_id", "end_id") if direction == "out" else ("end_id", "start_id")
     counted = edges.groupBy(F.col(node).alias("id"), F.col(other).alias("other")).agg(F.count("*").alias("n"))
     return (
-        counted.groupBy("id", F.shiftright("other", block_bits).alias("block"))
+        _blocked(counted, ["id"], "other", block_bits).groupBy("id", "block")
         .agg(F.sort_array(F.collect_list(F.struct(F.col("other").alias("id"), "n"))).alias("neighbors"))
     )
 
 
 def neighbor_blocks(pairs: DataFrame, block_bits: int = ADJACENCY_BLOCK_BITS) -> DataFrame:
     """Neighbour sets ``(node, block, neighbors)``; bounded as in ``adjacency``."""
+    distinct = pairs.select("node", "neighbor").distinct()
     return (
-        pairs.select("node", "neighbor").distinct()
-        .groupBy("node", F.shiftright("neighbor", block_bits).alias("block"))
+        _blocked(distinct, ["node"], "neighbor", block_bits).groupBy("node", "block")
         .agg(F.sort_array(F.collect_list("neighbor")).alias("neighbors"))
     )
 
@@ -193,19 +217,18 @@ def neighbor_sets(pairs: DataFrame, block_bits: int = ADJACENCY_BLOCK_BITS) -> D
 
 
 def neighbor_set_algebra(node_pairs: DataFrame, pairs: DataFrame, block_bits: int = ADJACENCY_BLOCK_BITS) -> DataFrame:
-    """Intersection and union of the neighbour sets of given ``(node1, node2)``, block by block."""
-    blocks = neighbor_blocks(pairs, block_bits)
+    """Intersection and union of the neighbour sets of given ``(node1, node2)``, block by block.
+
+    Blocks are those of the union, as in ``adjacency``: of number ranges, or by hash for other ids.
+    """
+    known = pairs.select("node", "neighbor").distinct()
 
     def side(name: str) -> DataFrame:
-        one = blocks.select(F.col("node").alias(name), "block", F.col("neighbors").alias(f"_{name}"))
-        return node_pairs.select("node1", "node2").join(one, name)
-
-    keys = ["node1", "node2", "block"]
-    empty = F.array().cast("array<bigint>")
-    both = side("node1").join(side("node2"), keys, "full")
-    a, b = F.coalesce("_node1", empty), F.coalesce("_node2", empty)
-    return both.select(
-        *keys,
-        F.sort_array(F.array_intersect(a, b)).alias("shared"),
-        F.sort_array(F.array_union(a, b)).alias("all"),
+        return node_pairs.select("node1", "node2").distinct().join(known.withColumnRenamed("node", name), name).select("node1", "node2", "neighbor")
+
+    marked = side("node1").withColumn("own", F.lit(1)).unionByName(side("node2").withColumn("own", F.lit(2)))
+    merged = marked.groupBy("node1", "node2", "neighbor").agg(F.bit_or("own").alias("own"))
+    return _blocked(merged, ["node1", "node2"], "neighbor", block_bits).groupBy("node1", "node2", "block").agg(
+        F.sort_array(F.collect_list(F.when(F.col("own") == 3, F.col("neighbor")))).alias("shared"),
+        F.sort_array(F.collect_list("neighbor")).alias("all"),
     )

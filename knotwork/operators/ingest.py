@@ -123,7 +123,7 @@ def distinct_vertices(new: DataFrame, key: str = "props") -> DataFrame:
 
 def merge_vertices(vertices: DataFrame, new: DataFrame, key: str = "props") -> DataFrame:
     """Stored vertices plus the new ones that no stored vertex of the same label and key matches."""
-    created = distinct_vertices(new, key).join(vertices.select("label", key).distinct(), ["label", key], "left_anti")
+    created = distinct_vertices(new, key).join(vertices.select("label", key), ["label", key], "left_anti")
     return vertices.unionByName(created, allowMissingColumns=True)
 
 
@@ -157,12 +157,15 @@ def merge_subset_match(vertices: DataFrame, patterns: DataFrame) -> DataFrame:
     )
     probes = need.join(rarest, "pattern_id")
     holders = entries.join(probes.select(*entry_key).distinct(), entry_key, "left_semi")
-    hit = fragment_join(holders, probes, entry_key, ["id"]).filter(
+    hit = fragment_join(holders, probes, entry_key, ["id"], ["pattern_id"]).filter(
         F.forall(F.map_entries("_need"), lambda e: F.element_at(F.col("_map"), e["key"]).eqNullSafe(e["value"]))
     )
     everything = need.filter(F.size("_need") == 0)
-    whole_label = fragment_join(parsed.select("label", "id"), everything.select("label", "pattern_id"), ["label"], ["id"])
-    return hit.select("pattern_id", "id").unionByName(whole_label.select("pattern_id", "id"))
+    found = hit.select("pattern_id", "id")
+    if everything.isEmpty():
+        return found
+    whole_label = fragment_join(vertices.select("label", "id"), everything.select("label", "pattern_id"), ["label"], ["id"], ["pattern_id"])
+    return found.unionByName(whole_label.select("pattern_id", "id"))
 
 
 def merge_triplets(

@@ -144,9 +144,12 @@ def partition_strategy(spark: SparkSession, catalog: DataFrame) -> DataFrame:
 
 # --- reports --------------------------------------------------------------
 
-def partition_distribution(df: DataFrame) -> DataFrame:
-    """Rows per label and partition, their percentage and the label total."""
+def partition_distribution(df: DataFrame, spec: DataFrame | None = None) -> DataFrame:
+    """Rows per label and partition, their percentage and the label total; with ``spec`` empty partitions too."""
     counts = df.groupBy("label", "part").agg(F.count("*").alias("n"))
+    if spec is not None:
+        declared = spec.select("label", F.col("name").alias("part")).distinct()
+        counts = counts.join(declared, ["label", "part"], "full").select("label", "part", F.coalesce("n", F.lit(0)).alias("n"))
     total = F.sum("n").over(Window.partitionBy("label"))
     share = F.coalesce(F.round(F.try_divide(F.lit(100.0) * F.col("n"), F.col("total")), 1), F.lit(0.0))
     return counts.withColumn("total", total).select("label", "part", "n", share.alias("pct"), "total")
@@ -186,10 +189,24 @@ def table_sizes(spark: SparkSession, path: str) -> DataFrame:
 
 # --- life cycle -----------------------------------------------------------
 
-def years_touched(lo: dt.date, hi: dt.date, with_default: bool = False) -> list[str]:
-    """Partitions a date range ``[lo, hi)`` can touch."""
-    last = (hi - dt.timedelta(days=1)).year
-    return [f"y{y}" for y in range(lo.year, last + 1)] + ([DEFAULT] if with_default else [])
+def touched_partitions(spec: Sequence[Range], label: str, lo: object, hi: object) -> list[str]:
+    """Partitions of a label that can hold values in ``[lo, hi)``, by the meaning of ``assign_range``.
+
+    Values outside all ranges are in the label's default, so that is named
+    whenever the ranges leave a part of ``[lo, hi)`` open.
+    """
+
+    def key(value: object) -> object:
+        return value.isoformat() if isinstance(value, dt.date) else value
+
+    lo, hi = key(lo), key(hi)
+    own = sorted((r for r in spec if r.label == label and not r.is_default), key=lambda r: key(r.lo))
+    hit = [r.name for r in own if key(r.lo) < hi and (r.hi is None or key(r.hi) > lo)]
+    reach = lo
+    for r in own:
+        if key(r.lo) <= reach and (r.hi is None or key(r.hi) > reach):
+            reach = hi if r.hi is None else key(r.hi)
+    return hit + [r.name for r in spec if r.label == label and r.is_default and reach < hi]
 
 
 def future_partitions(spec: DataFrame, as_of: dt.date, years_ahead: int = 2) -> DataFrame:
@@ -229,20 +246,35 @@ def retention_split(df: DataFrame, as_of: dt.date, keep_years: int = 3, part: st
 
 
 def range_spec_check(spec: DataFrame) -> DataFrame:
-    """Gaps and overlaps between neighbouring integer ranges of a label.
+    """Gaps and overlaps of the ranges of a label, as text bounds.
 
-    The window runs over spec rows, which are metadata.
+    Bounds are compared as whole numbers if all of a label's are, else as dates
+    in ISO form. Each range is held against the farthest end of those that begin
+    before it: what lies between is a gap, what lies before that end and before
+    its own is an overlap. An open end reaches beyond every other. The window runs
+    over spec rows, which are metadata.
     """
-    bounds = spec.filter(~F.col("is_default")).select(
-        "label", F.col("lo").try_cast("bigint").alias("lo"), F.col("hi").try_cast("bigint").alias("hi")
-    )
-    after = F.lead("lo").over(Window.partitionBy("label").orderBy("lo"))
-    pairs = bounds.select("label", "lo", "hi", after.alias("next_lo"))
-    beyond = F.col("next_lo").isNotNull() & (F.col("hi").isNull() | (F.col("hi") > F.col("next_lo")))
-    kind = F.when(beyond, F.lit("overlap")).when(F.col("hi") < F.col("next_lo"), F.lit("gap"))
+    own = Window.partitionBy("label")
+    rows = spec.filter(~F.col("is_default")).select("label", "lo", "hi")
+    whole = F.bool_and(F.col("lo").try_cast("bigint").isNotNull() & (F.col("hi").isNull() | F.col("hi").try_cast("bigint").isNotNull())).over(own)
+    rows = rows.withColumn("whole", whole)
+
+    def typed(bound: str) -> Column:
+        day = F.unix_date(F.col(bound).try_cast("date")).cast("bigint")
+        return F.when(F.col("whole"), F.col(bound).try_cast("bigint")).otherwise(day)
+
+    endless = F.lit((1 << 63) - 1)
+    rows = rows.select("label", "whole", typed("lo").alias("a"), F.coalesce(typed("hi"), endless).alias("b"))
+    before = own.orderBy("a", "b").rowsBetween(Window.unboundedPreceding, -1)
+    pairs = rows.withColumn("reach", F.max("b").over(before)).filter(F.col("reach").isNotNull())
+    kind = F.when(F.col("a") < F.col("reach"), F.lit("overlap")).when(F.col("a") > F.col("reach"), F.lit("gap"))
     found = pairs.withColumn("kind", kind).filter(F.col("kind").isNotNull())
+
+    def text(value: Column) -> Column:
+        shown = F.when(F.col("whole"), value.cast("string")).otherwise(F.date_from_unix_date(value.cast("int")).cast("string"))
+        return F.when(value < endless, shown)
+
     return found.select(
-        "label", "kind",
-        F.least("hi", "next_lo").alias("from"),
-        F.greatest("hi", "next_lo").alias("to"),
+        "label", "kind", text(F.least("a", "reach")).alias("from"),
+        text(F.when(F.col("kind") == "gap", F.col("a")).otherwise(F.least("b", "reach"))).alias("to"),
     )

@@ -8,8 +8,10 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from knotwork.operators.skew import fragment_join, hot_keys
+from knotwork.operators.skew import fragment_join, meeting_counts
+from knotwork.session import written
 
 Comparator = Callable[[Column, Column], Column]
 
@@ -18,14 +20,14 @@ def _side(df: DataFrame, prefix: str) -> DataFrame:
     return df.select(*[F.col(c).alias(f"{prefix}{c}") for c in df.columns])
 
 
-def _equi_pairs(a: DataFrame, b: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
-    """Rows of a and b with equal, non-null keys; hot keys are spread over b."""
+def _equi_pairs(a: DataFrame, b: DataFrame, keys: Sequence[str], counts: DataFrame) -> DataFrame:
+    """Rows of a and b with equal, non-null keys; hot keys are spread over both."""
     left, right = _side(b, "b_"), _side(a, "a_")
     for i, k in enumerate(keys):
         left = left.withColumn(f"_k{i}", F.col(f"b_{k}")).filter(F.col(f"b_{k}").isNotNull())
         right = right.withColumn(f"_k{i}", F.col(f"a_{k}")).filter(F.col(f"a_{k}").isNotNull())
     on = [f"_k{i}" for i in range(len(keys))]
-    return fragment_join(left, right, on, ["b_id"], hot=hot).drop(*on)
+    return fragment_join(left, right, on, ["b_id"], ["a_id"], counts=counts).drop(*on)
 
 
 def _agree_on(keys: Sequence[str]) -> Column:
@@ -44,10 +46,10 @@ def blocking_pairs(a: DataFrame, b: DataFrame, passes: Sequence[Sequence[str]],
     by an earlier pass is left out of later ones by looking at its keys, so no
     duplicate removal has to be shuffled.
     """
-    hot = hot_keys(b, passes)
+    counts = meeting_counts(b, a, passes)
     found = None
     for i, keys in enumerate(passes):
-        pairs = _equi_pairs(a, b, keys, hot.filter(F.col("set_no") == i).drop("set_no"))
+        pairs = _equi_pairs(a, b, keys, counts.filter(F.col("set_no") == i).drop("set_no"))
         if same_table:
             pairs = pairs.filter(F.col("a_id") < F.col("b_id"))
         for earlier in passes[:i]:
@@ -67,7 +69,7 @@ def applicant_candidates(
     blocks = blocking_pairs(a, b, passes).select("a_id", "b_id", F.lit(1).alias("same_block"), F.lit(0).alias("shared"))
     left = b_links.select(F.col("node").alias("b_id"), "neighbor").distinct()
     right = a_links.select(F.col("node").alias("a_id"), "neighbor").distinct()
-    linked = fragment_join(left, right, ["neighbor"], ["b_id"]).select(
+    linked = fragment_join(left, right, ["neighbor"], ["b_id"], ["a_id"]).select(
         "a_id", "b_id", F.lit(0).alias("same_block"), F.lit(1).alias("shared")
     )
     return blocks.unionByName(linked).groupBy("a_id", "b_id").agg(
@@ -191,8 +193,18 @@ def private_result(linked: DataFrame) -> DataFrame:
 
 
 def merged_profile(rows: DataFrame, clusters: DataFrame, fields: Sequence[str], recency: str) -> DataFrame:
-    """One row per cluster: for each field the newest non-null value, ties to the smaller id."""
+    """One row per cluster: for each field the newest non-null value, ties to the smaller id.
+
+    Ids that are no numbers cannot be turned around inside a maximum, so the
+    newest date of each field is found first and the smallest id of it then.
+    """
     joined = rows.join(clusters, "id")
+    if not isinstance(rows.schema["id"].dataType, T.NumericType):
+        dates = joined.groupBy("cluster").agg(*[F.max(F.when(F.col(f).isNotNull(), F.col(recency))).alias(f"_newest_{f}") for f in fields])
+        dated = joined.join(written(dates, "newest"), "cluster")
+        return dated.groupBy("cluster").agg(F.count("*").alias("records"), *[
+            F.min_by(f, F.when(F.col(f).isNotNull() & F.col(recency).eqNullSafe(F.col(f"_newest_{f}")), F.col("id"))).alias(f) for f in fields
+        ])
     newest = F.struct(F.col(recency), (-F.col("id")).alias("neg"))
     return joined.groupBy("cluster").agg(
         F.count("*").alias("records"),

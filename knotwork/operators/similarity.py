@@ -28,7 +28,6 @@ METRICS = ("jaccard", "overlap", "weighted_jaccard", "cosine")
 EPS = 1e-9
 SET_CHUNK = 4096
 PAIRS_PER_TASK = 2e7
-MAX_FRAGMENTS = 100_000
 DIRECT_BELOW = 64
 
 
@@ -164,7 +163,7 @@ def _prefix(entries: DataFrame, bound: Column | None, name: str) -> DataFrame:
     The class at the boundary is kept whole, which only adds candidates.
     """
     kept = entries if bound is None else entries.filter(F.col("rest") >= bound * (1 - EPS) - EPS)
-    return kept.select("neighbor", F.col("profile").alias(name), F.col("mass").alias(f"m{name}"), "m", "degree")
+    return kept.select("neighbor", F.col("profile").alias(name), F.col("mass").alias(f"m{name}"), "m")
 
 
 def _meet(
@@ -172,19 +171,14 @@ def _meet(
 ) -> DataFrame:
     """Candidates (x, y): x has a neighbour in the larger set's prefix, y in the smaller one's.
 
-    A popular neighbour is cut into fragments of x, each good for about
-    PAIRS_PER_TASK pairs; its y entries are repeated once per fragment, so no
-    task holds all pairs of one neighbour. Without
-    bounds every shared neighbour is met, and ``s`` is the exact shared mass.
+    The pairs of a popular neighbour, counted by the entries that are left in the
+    prefixes, form a grid of cells of about PAIRS_PER_TASK pairs each; there are as
+    many tasks as that takes. Without bounds every shared neighbour is met, and
+    ``s`` is the exact shared mass.
     """
     low, high = (None, None) if direct else _bounds(metric, cutoff, min_shared)
-    degree = F.col("degree").cast("double")
-    cuts = F.least(degree, F.ceil(degree * degree / PAIRS_PER_TASK), F.lit(MAX_FRAGMENTS)).cast("int")
-    xs = _prefix(large, high, "x").withColumn("frag", F.pmod(F.xxhash64("x"), cuts).cast("int")).drop("degree")
-    ys = _prefix(small, low, "y").withColumn("frag", F.explode(F.sequence(F.lit(0), cuts - 1))).drop("degree", "m")
-    # few input bytes make many pairs, so the configured parallelism is kept
-    keys, tasks = ["neighbor", "frag"], int(xs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    met = xs.repartition(tasks, *keys).join(ys.repartition(tasks, *keys), keys).filter(order)
+    xs, ys = _prefix(large, high, "x"), _prefix(small, low, "y").drop("m")
+    met = fragment_join(xs, ys, ["neighbor"], ["x"], ["y"], pairs_per_fragment=PAIRS_PER_TASK, many_pairs=True).filter(order)
     if metric in ("jaccard", "weighted_jaccard"):
         met = met.filter(F.col("my") >= F.lit(cutoff) * F.col("mx") * (1 - EPS) - EPS)
     if low is None and high is None:
@@ -195,22 +189,48 @@ def _meet(
 def _shared_mass(candidates: DataFrame, xs: NeighborSets, ys: NeighborSets, weighted: bool) -> DataFrame:
     """Exact shared count or mass of each candidate, from whole sets.
 
-    Sets travel as arrays cut into chunks by neighbour hash; the number of chunks
-    follows the largest set, so an array stays near SET_CHUNK entries.
+    Sets travel as arrays. A set of more than SET_CHUNK entries is cut by
+    neighbour hash into a power of two of chunks, as many as it needs by itself.
+    A pair is compared chunk by chunk of its finer side, each against that chunk
+    of the coarser side which holds the same hashes.
     """
     if "s" in candidates.columns:
         return candidates
     limit = SET_CHUNK // 8 if weighted else SET_CHUNK
-    largest = xs.members.unionByName(ys.members).agg(F.max("size")).scalar()
-    chunk = F.pmod(F.xxhash64("neighbor"), F.greatest(F.lit(1), F.ceil(largest / limit)))
 
-    def chunks(entries: DataFrame, name: str, with_mass: bool) -> DataFrame:
-        grouped = entries.groupBy(F.col("profile").alias(name), chunk.alias("chunk"))
+    def large(sets: NeighborSets, name: str) -> DataFrame:
+        bits = F.ceil(F.log2(F.col("size") / limit)).cast("int")
+        return sets.profiles.filter(F.col("size") > limit).select(F.col("profile").alias(name), bits.alias(f"bits_{name}"))
+
+    large_x, large_y = written(large(xs, "x"), "large"), written(large(ys, "y"), "large")
+    cut_x, cut_y = not large_x.isEmpty(), not large_y.isEmpty()
+
+    def part(hashed: Column, bits: Column) -> Column:
+        return hashed.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("bigint"), bits) - 1)
+
+    def chunks(entries: DataFrame, name: str, with_mass: bool, bits: DataFrame | None) -> DataFrame:
+        rows = entries.withColumnRenamed("profile", name)
+        if bits is not None:
+            rows = rows.join(bits, name, "left")
+            rows = rows.withColumn(f"chunk_{name}", part(F.xxhash64("neighbor"), F.coalesce(f"bits_{name}", F.lit(0))))
+        else:
+            rows = rows.withColumn(f"chunk_{name}", F.lit(0).cast("bigint"))
+        grouped = rows.groupBy(name, f"chunk_{name}")
         if not with_mass:
             return grouped.agg(F.collect_list("neighbor").alias(f"set_{name}"))
         return grouped.agg(F.map_from_entries(F.collect_list(F.struct("neighbor", "m"))).alias(f"map_{name}"))
 
-    sets, other = chunks(xs.entries, "x", False), chunks(ys.entries, "y", weighted)
+    sets = chunks(xs.entries, "x", False, large_x if cut_x else None)
+    other = chunks(ys.entries, "y", weighted, large_y if cut_y else None)
+    for name, bits, cut in (("x", large_x, cut_x), ("y", large_y, cut_y)):
+        candidates = candidates.join(bits, name, "left") if cut else candidates.withColumn(f"bits_{name}", F.lit(0))
+    both = [F.coalesce(f"bits_{name}", F.lit(0)) for name in ("x", "y")]
+    if cut_x or cut_y:
+        last = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.greatest(*both)) - 1
+        candidates = candidates.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+    else:
+        candidates = candidates.withColumn("_part", F.lit(0).cast("bigint"))
+    candidates = candidates.select("x", "y", part(F.col("_part"), both[0]).alias("chunk_x"), part(F.col("_part"), both[1]).alias("chunk_y"))
     if weighted:
         shared = F.aggregate(
             F.array_intersect("set_x", F.map_keys("map_y")), F.lit(0.0),
@@ -219,7 +239,7 @@ def _shared_mass(candidates: DataFrame, xs: NeighborSets, ys: NeighborSets, weig
     else:
         shared = F.size(F.array_intersect("set_x", "set_y")).cast("double")
     return (
-        candidates.join(sets, "x").join(other, ["y", "chunk"])
+        candidates.join(sets, ["x", "chunk_x"]).join(other, ["y", "chunk_y"])
         .groupBy("x", "y").agg(F.sum(shared).alias("s"))
     )
 
@@ -315,7 +335,7 @@ def _expand_all(scores: DataFrame, sets: NeighborSets, metric: str, cutoff: floa
     twins = sets.members.filter((F.col("members") > 1) & (_self_score(metric) >= cutoff - 1e-12)).select(
         F.col("profile").alias("x"), F.col("node").alias("a"), _self_score(metric).alias("score")
     )
-    within = fragment_join(twins, twins.select("x", F.col("a").alias("b")), ["x"], ["a"]).filter(
+    within = fragment_join(twins, twins.select("x", F.col("a").alias("b")), ["x"], ["a"], ["b"]).filter(
         F.col("a") < F.col("b")
     )
     both = across.unionByName(within.select("a", "b", "score"))
@@ -407,7 +427,7 @@ def best_existing(new: DataFrame, existing: Existing, cutoff: float = 0.45) -> D
     )
     new_large = _meet(b.entries, a.entries, metric, cutoff, 1, F.col("my") < F.col("mx"))
     scored = _scored(new_small.unionByName(new_large), a, b, metric, cutoff, 1)
-    best = scored.groupBy("x").agg(F.max(F.struct("score", (-F.col("y")).alias("neg"))).alias("b"))
+    best = scored.groupBy("x").agg(F.min(F.struct((-F.col("score")).alias("below"), "y")).alias("b"))
     return a.membership.join(best.withColumnRenamed("x", "profile"), "profile").select(
-        F.col("node").alias("node1"), (-F.col("b.neg")).alias("node2"), F.col("b.score").alias("score")
+        F.col("node").alias("node1"), F.col("b.y").alias("node2"), (-F.col("b.below")).alias("score")
     )

@@ -246,6 +246,13 @@ def _(t: Tables) -> DataFrame:
     return G.adjacency(X.edges(t), "out").select("id", "block", F.array_join(text, ",").alias("neighbors"))
 
 
+@query("adjacency_text", f"""WITH {SQL_E} SELECT 'v' || start_id AS id, 'v' || end_id AS other, count(*) AS n FROM e GROUP BY ALL""")
+def _(t: Tables) -> DataFrame:
+    """Lists of text ids; their blocks are by hash, so the entries are compared."""
+    named = X.edges(t).select(*[F.concat(F.lit("v"), F.col(c).cast("string")).alias(c) for c in ("start_id", "end_id")])
+    return G.adjacency(named, "out").select("id", F.inline("neighbors").alias("other", "n"))
+
+
 @query("neighbor_sets", f"""WITH {SQL_USER_PROPS}, d AS (SELECT node, count(*) AS degree FROM up GROUP BY node)
        SELECT node, neighbor >> 12 AS block, string_agg(neighbor, ',' ORDER BY neighbor) AS neighbors, any_value(degree) AS degree
        FROM up JOIN d USING (node) GROUP BY node, block""")

@@ -185,11 +185,13 @@ def _(t: Tables) -> DataFrame:
     return placed.select("label", "part", "id")
 
 
-@query("table_sizes")
+@query("table_sizes", f"""WITH {SQL_V} SELECT label, count(*) AS rows, true AS has_bytes, true AS has_files FROM v GROUP BY label""")
 def _(t: Tables) -> DataFrame:
+    """Rows per label; bytes and files depend on the writer, so only that there are some is compared."""
     path = scratch_path(t.spark, "graph")
     W.write_partitioned_graph(X.vertices(t), path, partition_by=("label",))
-    return R.table_sizes(t.spark, path)
+    sizes = R.table_sizes(t.spark, path)
+    return sizes.select("label", "rows", (F.col("bytes") > 0).alias("has_bytes"), (F.col("files") > 0).alias("has_files"))
 
 
 @query("partition_scan", f"WITH {_PART_SQL} SELECT id, props FROM p WHERE part = 'y2000'")
@@ -199,14 +201,27 @@ def _(t: Tables) -> DataFrame:
     return partition_scan(t.spark.read.parquet(path), "Order", "y2000").select("id", "props")
 
 
-@query("range_scan_pruned", f"""WITH {_PART_SQL} SELECT id, props FROM p WHERE props ->> '$.created_at' >= '1999-11-15'
+@query("range_scan_pruned", f"""WITH {_PART_SQL} SELECT id, props FROM p WHERE props ->> '$.created_at' >= '1997-03-01'
 AND props ->> '$.created_at' < '2000-02-01'""")
 def _(t: Tables) -> DataFrame:
+    """The range begins before the partitioned years, so the default partition belongs to it."""
     path = scratch_path(t.spark, "graph")
     W.write_partitioned_graph(_dated_orders(t), path)
-    lo, hi = dt.date(1999, 11, 15), dt.date(2000, 2, 1)
+    spec = R.year_ranges("Order", range(X.AS_OF.year - 2, X.AS_OF.year + 2), with_default=True)
     stored = t.spark.read.parquet(path)
-    return range_scan(stored, "Order", "created_at", lo, hi, R.years_touched(lo, hi)).select("id", "props")
+    return range_scan(stored, "Order", "created_at", dt.date(1997, 3, 1), dt.date(2000, 2, 1), spec).select("id", "props")
+
+
+@query("range_scan_id_pruned", f"""SELECT id, props FROM ({SQL_ORDER_V}) WHERE external_id::BIGINT >= 400 AND external_id::BIGINT < 2500""")
+def _(t: Tables) -> DataFrame:
+    """Orders in id ranges with a default behind them; the wanted ids lie in two ranges and in the default."""
+    path = scratch_path(t.spark, "graph")
+    spec = [*R.id_ranges("Order", [(0, 500), (500, 1000), (1000, 2000)]), R.Range("Order", R.DEFAULT, None, None, True)]
+    key = F.col("external_id").cast("bigint")
+    placed, _ = R.assign_partition(X.order_vertices(t).withColumn("key", key), F.col("key"), spec)
+    W.write_partitioned_graph(placed, path)
+    return range_scan(t.spark.read.parquet(path), "Order", "key", 400, 2500, spec).select("id", "props")
+
 
 
 SQL_JACCARD_UP = f"""{SQL_USER_PROPS}, deg AS (SELECT node, count(*) AS d FROM up GROUP BY node),
@@ -309,7 +324,7 @@ def _(t: Tables) -> DataFrame:
         F.concat("p_brand", F.lit("/"), F.col("p_size").cast("string")).alias("pattern_id"), F.lit("Product").alias("label"),
         F.to_json(F.struct(F.col("p_brand").alias("brand"), F.col("p_size").alias("size"))).alias("props"),
     )
-    empty = t.region.limit(1).select(F.lit("any region").alias("pattern_id"), F.lit("Region").alias("label"), F.lit("{}").alias("props"))
+    empty = t.region.select(F.lit("any region").alias("pattern_id"), F.lit("Region").alias("label"), F.lit("{}").alias("props")).distinct()
     return I.merge_subset_match(X.vertices(t), patterns.unionByName(empty))
 
 

@@ -76,9 +76,11 @@ def _(t: Tables) -> DataFrame:
     return placed.select("id", "part").unionByName(refused.select("id", F.lit("rejected").alias("part")))
 
 
-@query("hash_partition")
+@query("hash_partition", f"""WITH {SQL_V} SELECT 8::BIGINT AS parts, count(*) AS n, true AS even FROM v""")
 def _(t: Tables) -> DataFrame:
-    return R.hash_partition(X.vertices(t), 8).groupBy("part").agg(F.count("*").alias("n"))
+    """Number of parts, rows in all, and whether no part has more than twice another's share."""
+    parts = R.hash_partition(X.vertices(t), 8).groupBy("part").agg(F.count("*").alias("n"))
+    return parts.agg(F.count("*").alias("parts"), F.sum("n").alias("n"), (F.max("n") <= 2 * F.min("n")).alias("even"))
 
 
 @query("fill_missing_date", f"""SELECT id, CASE WHEN list_contains(json_keys(props), 'created_at') THEN props
@@ -102,6 +104,14 @@ def _(t: Tables) -> DataFrame:
     return R.partition_distribution(_by_year(t))
 
 
+@query("partition_distribution_empty", f"""WITH p AS (SELECT {VERTEX_YEARS_SQL} AS part FROM ({SQL_ORDER_V})),
+d(part) AS (VALUES ('y1999'), ('y2000'), ('y2001'), ('y2002'), ('default')), c AS (SELECT part, count(*) AS n FROM p GROUP BY part),
+j AS (SELECT part, coalesce(n, 0) AS n FROM d FULL JOIN c USING (part))
+SELECT 'Order' AS label, part, n, round(100.0 * n / sum(n) OVER (), 1)::DOUBLE AS pct, (sum(n) OVER ())::BIGINT AS total FROM j""")
+def _(t: Tables) -> DataFrame:
+    return R.partition_distribution(_by_year(t), R.spec_frame(t.spark, _order_spec()))
+
+
 @query("share_of_total", "SELECT event_type, count(*) AS n, round(count(*)::DOUBLE / sum(count(*)) OVER (), 6) AS share FROM events GROUP BY event_type")
 def _(t: Tables) -> DataFrame:
     return R.share_of_total(t.events, "event_type")
@@ -163,9 +173,10 @@ def _(t: Tables) -> DataFrame:
 
 
 @query("range_spec_check", """WITH r AS (SELECT DISTINCT p_brand AS label, p_size AS lo FROM part),
-b AS (SELECT label, lo, lo + 2 - (lo + 1) % 3 AS hi, lead(lo) OVER (PARTITION BY label ORDER BY lo) AS nx FROM r)
-SELECT label, CASE WHEN hi > nx THEN 'overlap' ELSE 'gap' END AS kind, least(hi, nx)::BIGINT AS "from", greatest(hi, nx)::BIGINT AS "to"
-FROM b WHERE nx IS NOT NULL AND hi <> nx""")
+b AS (SELECT label, lo, lo + 2 - (lo + 1) % 3 AS hi FROM r),
+m AS (SELECT *, max(hi) OVER (PARTITION BY label ORDER BY lo, hi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM b)
+SELECT label, CASE WHEN lo < reach THEN 'overlap' ELSE 'gap' END AS kind, least(lo, reach)::VARCHAR AS "from",
+(CASE WHEN lo < reach THEN least(hi, reach) ELSE lo END)::VARCHAR AS "to" FROM m WHERE reach IS NOT NULL AND lo <> reach""")
 def _(t: Tables) -> DataFrame:
     lo = F.col("p_size")
     spec = t.part.select(

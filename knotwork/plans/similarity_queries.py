@@ -49,6 +49,26 @@ def _(t: Tables) -> DataFrame:
     return M.shared_neighbor_pairs(X.customer_parts(t), min_shared=4)
 
 
+@query("shared_neighbor_pairs_all", f"""WITH {SQL_USER_PROPS} SELECT a.node AS node1, b.node AS node2, count(*) AS shared
+FROM up a JOIN up b ON a.neighbor = b.neighbor AND a.node < b.node GROUP BY ALL""")
+def _(t: Tables) -> DataFrame:
+    return M.shared_neighbor_pairs(X.user_props(t), min_shared=1)
+
+
+@query("neighbor_set_algebra_text", f"""WITH {SQL_JACCARD_UP}, p AS (SELECT node1, node2 FROM jac WHERE score >= 0.45 - 1e-12),
+x AS (SELECT node1, node2, neighbor, 1 AS l, 0 AS r FROM p JOIN up ON node = node1 UNION ALL SELECT node1, node2, neighbor, 0, 1 FROM p JOIN up ON node = node2),
+m AS (SELECT node1, node2, neighbor, sum(l) AS l, sum(r) AS r FROM x GROUP BY ALL)
+SELECT 'u' || node1 AS node1, 'u' || node2 AS node2, count(*) FILTER (l > 0 AND r > 0) AS shared, count(*) AS "all" FROM m GROUP BY node1, node2""")
+def _(t: Tables) -> DataFrame:
+    """Sets of text neighbours of text nodes; their blocks are by hash, so sizes are added up over them."""
+    pairs = X.user_props(t)
+    near = M.node_similarity(pairs, cutoff=CUTOFF).select(*[F.concat(F.lit("u"), c).alias(c) for c in ("node1", "node2")])
+    named = pairs.select(F.concat(F.lit("u"), "node").alias("node"), F.concat(F.lit("n"), "neighbor").alias("neighbor"))
+    return G.neighbor_set_algebra(near, named).groupBy("node1", "node2").agg(
+        F.sum(F.size("shared")).cast("bigint").alias("shared"), F.sum(F.size("all")).cast("bigint").alias("all")
+    )
+
+
 @query("neighbor_set_algebra", f"""WITH {SQL_JACCARD_UP}, p AS (SELECT node1, node2 FROM jac WHERE score >= 0.45 - 1e-12),
 x AS (SELECT node1, node2, neighbor, 1 AS l, 0 AS r FROM p JOIN up ON node = node1 UNION ALL SELECT node1, node2, neighbor, 0, 1 FROM p JOIN up ON node = node2),
 m AS (SELECT node1, node2, neighbor, sum(l) AS l, sum(r) AS r FROM x GROUP BY ALL)
@@ -263,18 +283,13 @@ _IDS = f"{SQL_PEOPLE}, {SQL_APPLICANTS}, {sql_identifiers('pi', 'people')}, {sql
 
 
 @query("applicant_candidates", f"""WITH {_BLOCKS}, {sql_identifiers('pi', 'people')}, {sql_identifiers('ai', 'applicants')},
-lk AS (SELECT ai.node AS a_id, pi.node AS b_id, count(*) AS shared FROM ai JOIN pi USING (neighbor) WHERE neighbor NOT LIKE 'b:%' GROUP BY ALL),
+lk AS (SELECT ai.node AS a_id, pi.node AS b_id, count(*) AS shared FROM ai JOIN pi USING (neighbor) GROUP BY ALL),
 bl AS (SELECT DISTINCT a_id, b_id FROM pairs WHERE pass_no = 1)
 SELECT coalesce(lk.a_id, bl.a_id) AS a_id, coalesce(lk.b_id, bl.b_id) AS b_id, CASE WHEN bl.a_id IS NULL THEN 0 ELSE 1 END::INT AS same_block,
 coalesce(shared, 0)::BIGINT AS shared FROM lk FULL JOIN bl ON lk.a_id = bl.a_id AND lk.b_id = bl.b_id""")
 def _(t: Tables) -> DataFrame:
     new, known = X.with_block_keys(X.applicants(t)), X.with_block_keys(X.people(t))
-
-    def strong(df: DataFrame) -> DataFrame:
-        """Kinds of business connect everybody and are no evidence to start from."""
-        return X.identifiers(df).filter(~F.col("neighbor").startswith("b:"))
-
-    return E.applicant_candidates(new, known, PASSES[:1], strong(new), strong(known))
+    return E.applicant_candidates(new, known, PASSES[:1], X.identifiers(new), X.identifiers(known))
 
 
 _BEST = f"""{_IDS}, n AS (SELECT count(DISTINCT node)::DOUBLE AS n FROM pi),
@@ -304,6 +319,19 @@ def _(t: Tables) -> DataFrame:
     return _round(_linked(t), "score")
 
 
+@query("link_or_new_text", f"WITH {_BEST} SELECT 'a' || lpad(applicant_id::VARCHAR, 12, '0') AS applicant_id, 'p' || lpad(linked_id::VARCHAR, 12, '0') AS linked_id, score, outcome FROM ({_LINKED})")
+def _(t: Tables) -> DataFrame:
+    """Text ids on both sides, of equal length so that ties go the same way."""
+
+    def named(df: DataFrame, sign: str, column: str) -> DataFrame:
+        return df.withColumn(column, F.concat(F.lit(sign), F.lpad(F.col(column).cast("string"), 12, "0")))
+
+    new = X.applicants(t)
+    known = M.prepare_existing(named(X.identifiers(X.people(t)), "p", "node"), "cosine")
+    best = M.best_existing(named(X.identifiers(new), "a", "node"), known, THRESHOLD)
+    return _round(E.link_or_new(named(new.select("id"), "a", "id"), best, THRESHOLD), "score")
+
+
 @query("private_result", f"WITH {_BEST} SELECT applicant_id, linked_id IS NOT NULL AS known, score FROM ({_LINKED})")
 def _(t: Tables) -> DataFrame:
     return _round(E.private_result(_linked(t)), "score")
@@ -357,18 +385,35 @@ def _profile_sql(field: str) -> str:
     return (f"(SELECT {field} FROM rows r WHERE r.cluster = c.cluster AND {field} IS NOT NULL ORDER BY seen DESC, id LIMIT 1) AS {field}")
 
 
-@query("merged_profile", f"""WITH RECURSIVE {_CLUSTERS}, {SQL_PEOPLE},
+_MERGED = f"""WITH RECURSIVE {_CLUSTERS}, {SQL_PEOPLE},
 rows AS (SELECT p.id, cluster, last_name, CASE WHEN p.id % 3 <> 0 THEN phone END AS phone, CASE WHEN p.id % 5 <> 0 THEN email END AS email, p.id % 10 AS seen
   FROM people p JOIN cl ON cl.id = p.id),
 f AS (SELECT cluster, count(*) AS records, first(last_name ORDER BY seen DESC, id) FILTER (last_name IS NOT NULL) AS last_name,
   first(phone ORDER BY seen DESC, id) FILTER (phone IS NOT NULL) AS phone, first(email ORDER BY seen DESC, id) FILTER (email IS NOT NULL) AS email
-  FROM rows GROUP BY cluster) SELECT * FROM f""")
-def _(t: Tables) -> DataFrame:
+  FROM rows GROUP BY cluster) SELECT * FROM f"""
+
+
+def _profile_rows(t: Tables) -> DataFrame:
     k = F.col("id")
-    rows = X.people(t).withColumns({
+    return X.people(t).withColumns({
         "phone": F.when(k % 3 != 0, F.col("phone")), "email": F.when(k % 5 != 0, F.col("email")), "seen": k % 10,
     })
-    return E.merged_profile(rows, _clusters(t), ["last_name", "phone", "email"], "seen")
+
+
+@query("merged_profile", _MERGED)
+def _(t: Tables) -> DataFrame:
+    return E.merged_profile(_profile_rows(t), _clusters(t), ["last_name", "phone", "email"], "seen")
+
+
+@query("merged_profile_text", _MERGED.replace("SELECT * FROM f", "SELECT 'c' || lpad(cluster::VARCHAR, 12, '0') AS cluster, * EXCLUDE (cluster) FROM f"))
+def _(t: Tables) -> DataFrame:
+    """The same with ids as text of equal length, so that their order is that of the numbers."""
+
+    def named(df: DataFrame, *columns: str) -> DataFrame:
+        return df.withColumns({c: F.concat(F.lit("c"), F.lpad(F.col(c).cast("string"), 12, "0")) for c in columns})
+
+    clusters = named(_clusters(t), "id", "cluster")
+    return E.merged_profile(named(_profile_rows(t), "id"), clusters, ["last_name", "phone", "email"], "seen")
 
 
 # --- customer views -------------------------------------------------------

@@ -23,9 +23,13 @@ def test_property_ranges_have_holes(spark):
     assert sorted(r["part"] for r in placed.collect()) == ["id_1", "id_1", "id_1001"]
     assert refused.count() == 3
     check = R.range_spec_check(R.spec_frame(spark, R.id_ranges("City", R.PROPERTY_ID_BOUNDS))).collect()
-    assert [tuple(r) for r in check] == [("City", "gap", 1000, 1001)]
+    assert [tuple(r) for r in check] == [("City", "gap", "1000", "1001")]
     overlap = R.spec_frame(spark, R.id_ranges("City", [(0, 10), (5, None)]))
-    assert [tuple(r)[1:3] for r in R.range_spec_check(overlap).collect()] == [("overlap", 5)]
+    assert [tuple(r)[1:3] for r in R.range_spec_check(overlap).collect()] == [("overlap", "5")]
+    nested = R.spec_frame(spark, R.id_ranges("City", [(0, 100), (1, 5), (50, 60)]))
+    assert sorted(tuple(r)[1:] for r in R.range_spec_check(nested).collect()) == [("overlap", "1", "5"), ("overlap", "50", "60")]
+    dates = R.spec_frame(spark, R.year_ranges("City", [2023, 2025]))
+    assert [tuple(r)[1:] for r in R.range_spec_check(dates).collect()] == [("gap", "2024-01-01", "2025-01-01")]
 
 
 def test_years(spark):
@@ -34,7 +38,13 @@ def test_years(spark):
     assert [r[0] for r in days.select(R.year_partition(F.col("day"), as_of)).collect()] == ["default", "y2024", "y2027", "default"]
     placed, refused = R.year_partition_strict(days, F.col("day"), R.STRICT_YEARS)
     assert placed.count() == 1 and refused.count() == 3
-    assert R.years_touched(dt.date(2023, 5, 1), dt.date(2025, 1, 1)) == ["y2023", "y2024"]
+    spec = R.year_ranges("P", [2023, 2024, 2025], with_default=True)
+    touched = lambda a, b: R.touched_partitions(spec, "P", dt.date(*a), dt.date(*b))
+    assert touched((2023, 5, 1), (2025, 1, 1)) == ["y2023", "y2024"]
+    assert touched((2022, 5, 1), (2023, 1, 2)) == ["y2023", "default"] and touched((2025, 5, 1), (2026, 1, 2)) == ["y2025", "default"]
+    assert touched((2019, 1, 1), (2020, 1, 1)) == ["default"]
+    ids = R.id_ranges("P", [(0, 10), (20, 30), (30, None)])
+    assert R.touched_partitions(ids, "P", 5, 25) == ["id_0", "id_20"] and R.touched_partitions(ids, "P", 100, 200) == ["id_30"]
 
 
 def test_retention(spark):
@@ -73,12 +83,18 @@ def test_write_prune_and_rewrite(spark, tmp_path):
     path = str(tmp_path / "graph")
     W.write_partitioned_graph(dated, path, bloom_columns=("id",))
     stored = spark.read.parquet(path)
+    spec = R.year_ranges("Order", range(2022, 2026), with_default=True)
     lo, hi = dt.date(2024, 2, 1), dt.date(2024, 3, 1)
-    scan = G.range_scan(stored, "Order", "created_at", lo, hi, R.years_touched(lo, hi))
+    scan = G.range_scan(stored, "Order", "created_at", lo, hi, spec)
     assert scan.count() == 29
+    for a, b in (("2021-01-01", "2022-06-01"), ("2021-05-01", "2026-05-01"), ("2025-01-01", "2031-01-01"), ("2030-01-01", "2031-01-01")):
+        days = dt.date.fromisoformat(a), dt.date.fromisoformat(b)
+        pruned, plain = (G.range_scan(stored, "Order", "created_at", *days, s) for s in (spec, None))
+        assert pruned.count() == plain.count()
     plan = scan._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(label" in plan and "part#" in plan and "PushedFilters: [IsNotNull(created_at)" in plan
-    assert all("part=y2024" in f for f in scan.inputFiles()) or len(scan.inputFiles()) >= 1
+    read = scan.select(F.col("_metadata.file_path")).distinct().collect()
+    assert read and all("part=y2024" in r[0] for r in read)
     sizes = R.table_sizes(spark, path).first()
     assert sizes["rows"] == 1000 and sizes["bytes"] > 0
     page = G.table_page(stored, "Order", 3, "y2024").collect()

@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -98,6 +99,48 @@ def test_groups_and_sorting(spark, flat):
     assert [r[0] for r in D.sorted_arrays(arrays, "x").collect()] == [[3, 9, 10, 27, 38, 43, 82], [-80, -10, 1, 60, 70, 85]]
 
 
+def test_missing_and_infinite_numbers(spark):
+    nan, inf = float("nan"), float("inf")
+    df = spark.createDataFrame([("a", 1.0), ("a", nan), ("b", None), ("b", 3.0), (None, inf), ("c", -inf), ("c", 2.0)], "g string, v double")
+    assert {r["column"]: r["nulls"] for r in D.null_counts(df).collect()} == {"g": 1, "v": 2}
+    assert {r["g"]: r["mean"] for r in D.group_mean(df.filter("g != 'c'"), "g", "v").collect()} == {"a": 1.0, "b": 3.0}
+    for bins in ("auto", 2):
+        rows = sorted(map(tuple, D.histogram(df, "v", bins).collect()))
+        assert rows[0] == (-1, -inf, -inf, 1) and rows[-1][1:] == (inf, inf, 1) and sum(r[3] for r in rows) == 5
+        assert rows[1][1] == 1.0 and rows[-2][2] == 3.0
+    density = D.kde(df, "v", 5).collect()
+    assert all(math.isfinite(r["x"]) and math.isfinite(r["density"]) for r in density)
+    only = D.histogram(df.filter("v = double('infinity')"), "v").collect()
+    assert [tuple(r) for r in only] == [(0, inf, inf, 1)]
+
+
+def test_correlation_with_missing_and_constant_columns(spark):
+    rows = [(float(i), float(i * i % 17) + 1e9, 5.0, None if i % 4 == 0 else float(-i)) for i in range(40)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    got = {(r["x"], r["y"]): r["r"] for r in D.correlation_matrix(df).collect()}
+    a, b = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
+    some = np.array([r[3] is not None for r in rows])
+    assert got["a", "b"] == pytest.approx(np.corrcoef(a, b)[0, 1], abs=1e-9) and got["b", "a"] == got["a", "b"]
+    assert got["a", "d"] == pytest.approx(-1.0) and got["b", "d"] == pytest.approx(np.corrcoef(b[some], -a[some])[0, 1], abs=1e-9)
+    assert got["c", "c"] is None and got["a", "c"] is None and got["a", "a"] == 1.0
+
+
+def test_quantiles_of_a_heavy_tail_take_three_scans(spark, tmp_path):
+    path = str(tmp_path / "tail")
+    spark.range(200_000).select(F.pow(F.lit(10.0), F.pmod(F.xxhash64("id"), F.lit(1_000_000)) / 50_000).alias("v")).write.parquet(path)
+    df = spark.read.parquet(path)
+    grouped = []
+    group = type(df).groupBy
+    try:
+        type(df).groupBy = lambda self, *a, **k: (grouped.append(1), group(self, *a, **k))[1]  # agg() groups too
+        got = D.exact_quantiles(df, ["v"], (0.25, 0.5, 0.99))["v"]
+    finally:
+        type(df).groupBy = group
+    assert len(grouped) <= 3
+    values = np.array([r[0] for r in df.collect()])
+    assert all(got[q] == pytest.approx(np.quantile(values, q), rel=1e-12) for q in got)
+
+
 CHAT = [
     (1, 0, "user", "primes please"),
     (1, 1, "ProblemSolverExpert", "try\n```python\nprint(2)\n```\nand\n```bash\nls\n```\nprompt_tokens=177 completion_tokens=225"),

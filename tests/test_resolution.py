@@ -24,15 +24,29 @@ def test_missing_fields_weigh_nothing(spark):
     assert abs(w[0] - math.log2(9)) < 1e-12 and abs(w[1] - math.log2(1 / 9)) < 1e-12
 
 
-@pytest.mark.parametrize("limit", [2, 100_000])
-def test_fragments_form_each_pair_once(spark, limit):
+@pytest.mark.parametrize("limit,pairs", [(2, 2e7), (100_000, 2e7), (100_000, 3.0), (7, 5.0)])
+def test_fragments_form_each_pair_once(spark, limit, pairs):
     left = spark.createDataFrame([(i, "hot" if i % 3 else f"k{i}") for i in range(90)], "id int, k string")
     right = spark.createDataFrame([(i, "hot" if i % 4 == 0 else f"k{i}") for i in range(40)], "rid int, k string")
-    got = sorted((r["id"], r["rid"]) for r in fragment_join(left, right, ["k"], ["id"], limit).collect())
+    got = sorted((r["id"], r["rid"]) for r in fragment_join(left, right, ["k"], ["id"], ["rid"], limit, pairs).collect())
     want = sorted((r["id"], r["rid"]) for r in left.join(right, "k").collect())
     assert got == want
 
 
+def test_cells_of_a_two_sided_hot_key_are_bounded(spark):
+    counts = spark.createDataFrame([(1, 10**6, 10**6), (2, 10**9, 1), (3, 10, 10**7), (4, 5, 5)], "key_hash bigint, n_left bigint, n_right bigint")
+    cuts = {r["key_hash"]: (r["cuts_left"], r["cuts_right"]) for r in skew.grid(counts).collect()}
+    assert 4 not in cuts
+    for key, left, right in ((1, 10**6, 10**6), (2, 10**9, 1), (3, 10, 10**7)):
+        l, r = cuts[key]
+        assert left / l <= skew.ROWS_PER_FRAGMENT and right / r <= skew.ROWS_PER_FRAGMENT and left / l * right / r <= skew.PAIRS_PER_FRAGMENT * 1.01
+    assert 10**6 * sum(cuts[1]) < 5e8  # copies of both sides, not the cube of the degree
+    ids = spark.range(2000).select("id", F.lit("hot").alias("k"))
+    joined = fragment_join(ids, ids.withColumnRenamed("id", "rid"), ["k"], ["id"], ["rid"], 100_000, 10_000.0, many_pairs=True)
+    sizes = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(r["count"] for r in sizes) == 4_000_000 and len(sizes) > 20 and max(r["count"] for r in sizes) < 1_000_000
+
+
 @pytest.mark.parametrize("limit", [1, 100_000])
 def test_blocking_finds_each_pair_once(spark, monkeypatch, limit):
     monkeypatch.setattr(skew, "ROWS_PER_FRAGMENT", limit)
@@ -99,6 +113,9 @@ def test_merged_profile_takes_newest_value(spark):
     )
     own = spark.createDataFrame([(1, 1), (2, 1), (3, 1)], "id bigint, cluster bigint")
     assert tuple(E.merged_profile(rows, own, ["name", "phone"], "seen").first()) == (1, 3, "old", "p2")
+    text = rows.withColumn("id", F.concat(F.lit("k"), F.col("id").cast("string")))
+    named = own.withColumn("id", F.concat(F.lit("k"), F.col("id").cast("string")))
+    assert tuple(E.merged_profile(text, named, ["name", "phone"], "seen").first()) == (1, 3, "old", "p2")
 
 
 def test_customer_views(spark):
@@ -109,7 +126,7 @@ def test_customer_views(spark):
     calls = spark.sql("select 1 as user_id, timestamp'2024-01-01 09:00:00' as ts union all select 1, timestamp'2024-01-02 08:00:00'")
     assert tuple(customer.preferred_contact_hour(calls).first()) == (1, 8, 1)
     pairs = spark.createDataFrame([(1, 7), (2, 7), (3, 7), (4, 8), (1, 9), (2, 9)], "node bigint, neighbor bigint")
-    flagged = spark.createDataFrame([(1,), (3,)], "node bigint")
+    flagged = spark.createDataFrame([(1,), (3,), (1,)], "node bigint")
     assert sorted(tuple(r) for r in customer.risk_connections(pairs, flagged).collect()) == [
         (1, 7, 1, 3), (2, 7, 2, 1), (2, 9, 1, 1), (3, 7, 1, 1)
     ]

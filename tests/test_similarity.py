@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from knotwork.operators import clusters
 from knotwork.operators import graph as G
 from knotwork.operators import similarity as M
+from knotwork.operators import skew
 
 A = ["123 Main St", "Apex Corp", "Visa Card", "john@email.com"]
 B = ["123 Main St", "Apex Corp", "555-0199"]
@@ -100,6 +101,16 @@ def test_shared_pairs(spark, monkeypatch, least):
     assert got == want
 
 
+def test_copies_of_a_hub_stay_far_below_its_pairs(spark, monkeypatch):
+    """600 nodes at one neighbour: 180,000 pairs in cells of 1,000 repeat each entry about 20 times, not 360."""
+    monkeypatch.setattr(M, "PAIRS_PER_TASK", 1000.0)
+    pairs = frame(spark, {i: {5} for i in range(600)})
+    counts = spark.createDataFrame([(1, 600, 600)], "key_hash bigint, n_left bigint, n_right bigint")
+    cuts = skew.grid(counts, pairs_per_fragment=1000.0).first()
+    assert 600 * (cuts["cuts_left"] + cuts["cuts_right"]) < 600 * 50
+    assert M.shared_neighbor_pairs(pairs).count() == 600 * 599 // 2
+
+
 def test_super_node_is_no_candidate_source(spark, monkeypatch):
     """Everybody shares one neighbour; the prefix leaves that neighbour out for all but its own profile."""
     monkeypatch.setattr(M, "DIRECT_BELOW", -1)
@@ -134,6 +145,29 @@ def test_neighbor_blocks_are_bounded(spark):
     assert sum(len(r["shared"]) for r in rows) == 5_000 and sum(len(r["all"]) for r in rows) == 10_100
 
 
+def test_text_neighbours(spark):
+    """The worked example, with its text neighbours, and text nodes."""
+    pairs = frame(spark, {1: A, 2: B}).withColumn("node", F.concat(F.lit("n"), F.col("node").cast("string")))
+    assert {r["node"]: (r["degree"], sorted(r["neighbors"])) for r in G.neighbor_sets(pairs).collect()} == {"n1": (4, sorted(A)), "n2": (3, sorted(B))}
+    both = spark.createDataFrame([("n1", "n2")], "node1 string, node2 string")
+    row = G.neighbor_set_algebra(both, pairs).first()
+    assert row["shared"] == sorted(set(A) & set(B)) and row["all"] == sorted(set(A) | set(B))
+    many = spark.range(20_000).select(F.lit("hub").alias("node"), F.concat(F.lit("x"), F.col("id").cast("string")).alias("neighbor"))
+    sizes = [len(r["neighbors"]) for r in G.neighbor_sets(many).collect()]
+    assert sum(sizes) == 20_000 and max(sizes) <= 4096
+    edges = spark.createDataFrame([("a", "b"), ("a", "b"), ("a", "c")], "start_id string, end_id string")
+    assert [(x["id"], x["n"]) for x in G.adjacency(edges).first()["neighbors"]] == [("b", 2), ("c", 1)]
+    ready = M.prepare_existing(pairs, "jaccard")
+    new = spark.createDataFrame([("q", x) for x in A], "node string, neighbor string")
+    assert tuple(M.best_existing(new, ready, 0.45).first()) == ("q", "n1", 1.0)
+
+
+def test_dangling_edges_come_once(spark):
+    edges = spark.createDataFrame([(1, 9), (9, 1), (1, 2), (9, 8)], "start_id int, end_id int")
+    vertices = spark.createDataFrame([(1,), (1,), (2,)], "id int")
+    assert sorted(tuple(r) for r in G.dangling_edges(edges, vertices).collect()) == [(1, 9), (9, 1), (9, 8)]
+
+
 def union_find(pairs, nodes):
     root = {n: n for n in nodes}
 
