@@ -14,15 +14,17 @@ from knotwork.llm.common import arrow_map
 from knotwork.session import written
 
 NEIGHBOURS = 20  # of a node in the graph
-TREES = 8  # orders of the nodes that give the first graph
+TREES = 16  # orders of the nodes that give the first graph
 SIGNS = 16
-RUN = 512  # nodes next to each other in an order that are compared
+RUN = 2048  # nodes next to each other in an order that are compared
 OFFERS = 8  # of each local join to each node
 ENOUGH = 0.03  # share of new edges below which building ends
 MOST_ROUNDS = 5
-ENTRIES = 256
-SEEDS = 8
-BEAM = 160
+ENTRIES = 1024
+SEEDS = 16
+BEAM = 80
+KEPT = 12  # neighbours that one run gives to a node
+STEP = 24  # nodes of a beam that are visited in a round
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -102,7 +104,7 @@ def first_graph(nodes: DataFrame, dimensions: int, k: int = NEIGHBOURS, trees: i
     """``(node, neighbour, sim)`` from runs of nodes in several orders.
 
     Each order sorts the nodes by the signs of random projections and then by one
-    more projection. It is cut into runs of 512, so a crowded region only gives
+    more projection. It is cut into runs of 2048, so a crowded region only gives
     more runs, never a longer one.
     """
     chance = np.random.default_rng(seed)
@@ -126,7 +128,7 @@ def first_graph(nodes: DataFrame, dimensions: int, k: int = NEIGHBOURS, trees: i
             node, x = run.column("node").to_numpy(), _halves(run.column("half"))
             sims = x @ x.T
             np.fill_diagonal(sims, -np.inf)
-            most = min(k, len(node) - 1)
+            most = min(k, KEPT, len(node) - 1)
             if most > 0:
                 near = np.argpartition(-sims, most - 1, axis=1)[:, :most]
                 yield _edges(np.repeat(node, most), node[near.ravel()], np.take_along_axis(sims, near, 1).ravel())
@@ -224,8 +226,8 @@ def search(index: Index, queries: DataFrame, beam: int = BEAM, seeds: int = SEED
     """``(query, node, sim)``: the nodes in the final beam of each query ``(query, unit)``.
 
     Every query starts at the best of a fixed number of entry nodes. In each
-    round the nodes of its beam that were not yet visited show their neighbours;
-    it ends when the beam has none left.
+    round the best 24 nodes of its beam that were not yet visited show their
+    neighbours; it ends when all of the beam were visited.
     """
     entries = index.nodes.orderBy(F.xxhash64("node"), "node").limit(ENTRIES).collect()
     entry_ids = np.array([r["node"] for r in entries], dtype=np.int64)
@@ -247,8 +249,10 @@ def search(index: Index, queries: DataFrame, beam: int = BEAM, seeds: int = SEED
     seen = written(seen.select(F.col("node").alias("query"), F.col("neighbour").alias("node"), "sim", F.lit(False).alias("done")), "seen")
     order = Window.partitionBy("query").orderBy(F.desc("sim"), "node")
     while True:
-        ranked = seen.withColumn("place", F.row_number().over(order))
-        ranked = written(ranked.withColumn("open", (F.col("place") <= beam) & ~F.col("done")).drop("place"), "ranked")
+        waiting = F.sum((~F.col("done")).cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0))
+        ranked = seen.withColumns({"place": F.row_number().over(order), "waiting": waiting})
+        is_open = (F.col("place") <= beam) & ~F.col("done") & (F.col("waiting") <= STEP)
+        ranked = written(ranked.withColumn("open", is_open).drop("place", "waiting"), "ranked")
         if ranked.filter("open").isEmpty():
             break
         shown = ranked.filter("open").join(index.graph.select("node", "neighbour"), "node").select("query", F.col("neighbour").alias("node")).distinct()
