@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,16 +50,37 @@ def match_label_project(vertices: DataFrame, label: str, *keys: str) -> DataFram
     return vertices.filter(F.col("label") == label).select(*[prop_get(F.col("props"), k).alias(k) for k in keys])
 
 
-def match_props(vertices: DataFrame, label: str, **equal: str) -> DataFrame:
-    """Vertices of a label whose properties equal the given texts."""
+def indexed_ids(index: DataFrame, label: str, equal: Mapping[str, object]) -> DataFrame:
+    """Ids of a label that have all the given property texts, from a stored property index.
+
+    Label is a folder of the index, key and value are pushed to its sorted files;
+    each wanted pair counts once for each id.
+    """
+    found = None
+    for k, v in equal.items():
+        one = index.filter((F.col("label") == label) & (F.col("key") == k) & (F.col("value_text") == str(v))).select("id")
+        found = one if found is None else found.join(one, "id", "left_semi")
+    return found
+
+
+def match_props(vertices: DataFrame, label: str, index: DataFrame | None = None, **equal: object) -> DataFrame:
+    """Vertices of a label whose properties equal the given texts; through the property index if there is one."""
     found = vertices.filter(F.col("label") == label)
+    if index is not None and equal:
+        return found.join(indexed_ids(index, label, equal), "id", "left_semi")
     for k, v in equal.items():
         found = found.filter(prop_get(F.col("props"), k) == str(v))
     return found
 
 
-def search_property(df: DataFrame, label: str, name: str, value: object, limit: int = 10) -> DataFrame:
-    """First rows by id whose property equals the value as text."""
+def search_property(df: DataFrame, label: str, name: str, value: object, limit: int = 10, index: DataFrame | None = None) -> DataFrame:
+    """First rows by id whose property equals the value as text.
+
+    With the property index the first ids are found in it, and only their rows are fetched.
+    """
+    if index is not None:
+        first = order_by_id_limit(indexed_ids(index, label, {name: value}).distinct(), limit)
+        return order_by_id_limit(df.filter(F.col("label") == label).join(first, "id", "left_semi"), limit)
     hits = df.filter((F.col("label") == label) & (prop_get(F.col("props"), name) == str(value)))
     return order_by_id_limit(hits, limit)
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -103,6 +106,47 @@ def create_edges(vertices: DataFrame, edges: DataFrame) -> tuple[DataFrame, Data
     return ok.select(*edges.columns), bad.select(*edges.columns, "reason")
 
 
+# --- bulk loading ---------------------------------------------------------
+
+def assign_ids(vertices: DataFrame) -> DataFrame:
+    """Loaded vertices with an ``id``: a digest of label, external id, content and position.
+
+    It needs no counter and no table, and is the same when a task or the whole
+    load is repeated. Rows that agree in all of these are one vertex.
+    """
+    parts = ["label", *[c for c in ("external_id", "props", "pos") if c in vertices.columns]]
+    text = [F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in parts]
+    return vertices.withColumn("id", F.sha2(F.concat_ws("\u001f", *text), 256))
+
+
+class Ingested(NamedTuple):
+    """Outcome of a bulk load."""
+
+    vertices: DataFrame
+    edges: DataFrame
+    rejects: DataFrame
+    report: DataFrame
+
+
+def bulk_ingest(vertices: DataFrame, edges: DataFrame, as_of: dt.date | None = None) -> Ingested:
+    """Vertices and edges of the readers, bound to each other, with refused edges and a report.
+
+    External ids bind to the last row that has them (by ``pos``, or else by id).
+    With ``as_of`` every vertex gets ``created_at``.
+    """
+    loaded = assign_ids(vertices)
+    if as_of is not None:
+        loaded = loaded.withColumn("created_at", F.lit(as_of))
+    loaded = written(loaded.dropDuplicates(["id"]), "loaded")
+    placed = loaded if "pos" in loaded.columns else loaded.withColumn("pos", F.lit(0).cast("bigint"))
+    texts = {f"{s}_id": F.col(f"{s}_id").cast("string") for s in ("start", "end") if f"{s}_id" in edges.columns}
+    resolved, unresolved = resolve_endpoints(edges.withColumns(texts) if texts else edges, last_wins_ids(placed))
+    bound = written(resolved, "bound")
+    accepted, dangling = create_edges(loaded, bound)
+    rejects = unresolved.unionByName(dangling, allowMissingColumns=True)
+    return Ingested(loaded, accepted, rejects, ingest_report(accepted, rejects))
+
+
 # --- merge ----------------------------------------------------------------
 
 def distinct_vertices(new: DataFrame, key: str = "props") -> DataFrame:
@@ -121,9 +165,14 @@ def distinct_vertices(new: DataFrame, key: str = "props") -> DataFrame:
     )
 
 
-def merge_vertices(vertices: DataFrame, new: DataFrame, key: str = "props") -> DataFrame:
-    """Stored vertices plus the new ones that no stored vertex of the same label and key matches."""
+def merge_vertices(vertices: DataFrame, new: DataFrame, key: str = "props", as_of: dt.date | None = None) -> DataFrame:
+    """Stored vertices plus the new ones that no stored vertex of the same label and key matches.
+
+    With ``as_of`` the created ones get it as ``created_at``; stored ones keep theirs.
+    """
     created = distinct_vertices(new, key).join(vertices.select("label", key), ["label", key], "left_anti")
+    if as_of is not None:
+        created = created.withColumn("created_at", F.lit(as_of))
     return vertices.unionByName(created, allowMissingColumns=True)
 
 

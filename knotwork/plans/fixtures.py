@@ -124,7 +124,7 @@ def customer_parts(t: Tables) -> DataFrame:
     )
 
 
-# Name parts of the messy people.
+# Name parts of the messy people.
 LAST_HEADS = ["Ander", "Bal", "Car", "Dur", "Ells", "Fos", "Gra", "Hol", "Ive", "Jen", "Kel"]
 LAST_TAILS = ["son", "ton", "berg", "man", "ley", "worth", "field"]
 FIRST_NAMES = [

@@ -13,7 +13,9 @@ from knotwork.operators.ingest import property_index
 from knotwork.plans import fixtures as X
 from knotwork.plans.fixtures import SQL_BAD_E, SQL_E, SQL_ORDER_V, SQL_USER_PROPS, SQL_V
 from knotwork.plans.registry import Tables, query
+from knotwork.session import scratch_path
 from knotwork.sources.readers import drop_reserved
+from knotwork.sources.writers import write_property_index
 
 DECLARED_SQL = """declared(name, kind) AS (VALUES
 ('Person','v'),('Company','v'),('Product','v'),('City','v'),('Country','v'),('Employee','v'),('Customer','v'),
@@ -147,6 +149,24 @@ def _(t: Tables) -> DataFrame:
     return G.search_property(X.vertices(t), "Product", "size", 7, limit=10).select("id", "props")
 
 
+def _stored_index(t: Tables) -> DataFrame:
+    path = scratch_path(t.spark, "property-index")
+    write_property_index(property_index(X.vertices(t)), path)
+    return t.spark.read.parquet(path)
+
+
+@query("match_props_indexed", f"""WITH {SQL_V} SELECT id, props FROM v WHERE label = 'Product' AND props ->> '$.size' = '7'
+       AND props ->> '$.brand' = 'Brand#11'""")
+def _(t: Tables) -> DataFrame:
+    return G.match_props(X.vertices(t), "Product", _stored_index(t), size=7, brand="Brand#11").select("id", "props")
+
+
+@query("search_property_indexed", f"""WITH {SQL_V} SELECT id, props FROM v WHERE label = 'Product' AND props ->> '$.size' = '7'
+       ORDER BY id LIMIT 10""")
+def _(t: Tables) -> DataFrame:
+    return G.search_property(X.vertices(t), "Product", "size", 7, 10, _stored_index(t)).select("id", "props")
+
+
 @query("range_scan", f"""SELECT id, props FROM ({SQL_ORDER_V}) WHERE props ->> '$.created_at' >= '1997-03-01'
        AND props ->> '$.created_at' < '1998-02-01'""")
 def _(t: Tables) -> DataFrame:

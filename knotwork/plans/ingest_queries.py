@@ -313,6 +313,39 @@ def _(t: Tables) -> DataFrame:
     return I.merge_vertices(stored, feed)
 
 
+@query("bulk_ingest", """WITH c AS (SELECT c_custkey, c_nationkey FROM customer), n AS (SELECT n_nationkey, n_regionkey FROM nation)
+SELECT 'vertex' AS kind, 'Customer' AS name, count(*) AS n FROM c UNION ALL SELECT 'vertex', 'Country', count(*) FROM n
+UNION ALL SELECT 'edge ' || n_regionkey, 'LOCATED_IN', count(*) FROM c JOIN n ON n_nationkey = c_nationkey GROUP BY n_regionkey
+UNION ALL SELECT 'report', 'accepted', count(*) FROM c JOIN n ON n_nationkey = c_nationkey
+UNION ALL SELECT 'report', 'end unresolved', count(*) FROM orders WHERE o_custkey % 7 = 0""")
+def _(t: Tables) -> DataFrame:
+    """Customers and countries with their edges, and for some orders an edge to a country that nobody loads."""
+    def vertex(df: DataFrame, label: str, key: str, props: Column) -> DataFrame:
+        return df.select(F.lit(label).alias("label"), F.col(key).cast("string").alias("external_id"), props.alias("props"))
+
+    country = F.to_json(F.struct(F.col("n_name").alias("name"), F.col("n_regionkey").alias("region")))
+    v = vertex(t.customer, "Customer", "c_custkey", F.to_json(F.struct(F.col("c_name").alias("name")))).unionByName(
+        vertex(t.nation, "Country", "n_nationkey", country))
+
+    def edge(df: DataFrame, start: Column, end: Column) -> DataFrame:
+        return df.select(
+            F.lit("LOCATED_IN").alias("label"), F.lit("Customer").alias("start_label"), start.cast("string").alias("start_ref"),
+            F.lit("Country").alias("end_label"), end.cast("string").alias("end_ref"), F.lit("{}").alias("props"),
+        )
+
+    lost = t.orders.filter(F.col("o_custkey") % 7 == 0)
+    e = edge(t.customer, F.col("c_custkey"), F.col("c_nationkey")).unionByName(edge(lost, F.col("o_custkey"), F.lit("nowhere")))
+    done = I.bulk_ingest(v, e)
+
+    def counted(df: DataFrame, kind: Column, name: Column) -> DataFrame:
+        return df.groupBy(kind.alias("kind"), name.alias("name")).agg(F.count("*").alias("n"))
+
+    region = done.vertices.filter("label = 'Country'").select(F.col("id").alias("end_id"), F.get_json_object("props", "$.region").alias("region"))
+    return counted(done.vertices, F.lit("vertex"), F.col("label")).unionByName(
+        counted(done.edges.join(region, "end_id"), F.concat(F.lit("edge "), "region"), F.col("label"))
+    ).unionByName(done.report.select(F.lit("report").alias("kind"), F.col("outcome").alias("name"), "n"))
+
+
 @query("merge_subset_match", f"""WITH {SQL_V},
 pat AS (SELECT DISTINCT 'Product' AS label, p_brand AS brand, p_size AS size FROM part)
 SELECT pat.brand || '/' || pat.size AS pattern_id, v.id FROM pat JOIN v ON v.label = pat.label

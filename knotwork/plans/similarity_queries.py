@@ -319,12 +319,12 @@ def _(t: Tables) -> DataFrame:
     return _round(_linked(t), "score")
 
 
-@query("link_or_new_text", f"WITH {_BEST} SELECT 'a' || lpad(applicant_id::VARCHAR, 12, '0') AS applicant_id, 'p' || lpad(linked_id::VARCHAR, 12, '0') AS linked_id, score, outcome FROM ({_LINKED})")
+@query("link_or_new_text", f"WITH {_BEST} SELECT 'a' || lpad(applicant_id::VARCHAR, 20, '0') AS applicant_id, 'p' || lpad(linked_id::VARCHAR, 20, '0') AS linked_id, score, outcome FROM ({_LINKED})")
 def _(t: Tables) -> DataFrame:
     """Text ids on both sides, of equal length so that ties go the same way."""
 
     def named(df: DataFrame, sign: str, column: str) -> DataFrame:
-        return df.withColumn(column, F.concat(F.lit(sign), F.lpad(F.col(column).cast("string"), 12, "0")))
+        return df.withColumn(column, F.concat(F.lit(sign), F.lpad(F.col(column).cast("string"), 20, "0")))
 
     new = X.applicants(t)
     known = M.prepare_existing(named(X.identifiers(X.people(t)), "p", "node"), "cosine")
@@ -405,12 +405,12 @@ def _(t: Tables) -> DataFrame:
     return E.merged_profile(_profile_rows(t), _clusters(t), ["last_name", "phone", "email"], "seen")
 
 
-@query("merged_profile_text", _MERGED.replace("SELECT * FROM f", "SELECT 'c' || lpad(cluster::VARCHAR, 12, '0') AS cluster, * EXCLUDE (cluster) FROM f"))
+@query("merged_profile_text", _MERGED.replace("SELECT * FROM f", "SELECT 'c' || lpad(cluster::VARCHAR, 20, '0') AS cluster, * EXCLUDE (cluster) FROM f"))
 def _(t: Tables) -> DataFrame:
     """The same with ids as text of equal length, so that their order is that of the numbers."""
 
     def named(df: DataFrame, *columns: str) -> DataFrame:
-        return df.withColumns({c: F.concat(F.lit("c"), F.lpad(F.col(c).cast("string"), 12, "0")) for c in columns})
+        return df.withColumns({c: F.concat(F.lit("c"), F.lpad(F.col(c).cast("string"), 20, "0")) for c in columns})
 
     clusters = named(_clusters(t), "id", "cluster")
     return E.merged_profile(named(_profile_rows(t), "id"), clusters, ["last_name", "phone", "email"], "seen")

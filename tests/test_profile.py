@@ -141,6 +141,7 @@ def test_quantiles_of_a_heavy_tail_take_three_scans(spark, tmp_path):
     assert all(got[q] == pytest.approx(np.quantile(values, q), rel=1e-12) for q in got)
 
 
+# The token figures of the recorded exchange.
 CHAT = [
     (1, 0, "user", "primes please"),
     (1, 1, "ProblemSolverExpert", "try\n```python\nprint(2)\n```\nand\n```bash\nls\n```\nprompt_tokens=177 completion_tokens=225"),

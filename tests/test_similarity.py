@@ -11,6 +11,7 @@ from knotwork.operators import graph as G
 from knotwork.operators import similarity as M
 from knotwork.operators import skew
 
+# The worked example of two customers.
 A = ["123 Main St", "Apex Corp", "Visa Card", "john@email.com"]
 B = ["123 Main St", "Apex Corp", "555-0199"]
 
