@@ -422,11 +422,16 @@ def best_existing(new: DataFrame, existing: Existing, cutoff: float = 0.45) -> D
         raise ValueError("a positive cutoff is needed")
     metric, b = existing.metric, existing.sets
     a = neighbor_profiles(_weigh(new, existing.weights, existing.unseen), metric)
-    new_small = _meet(a.entries, b.entries, metric, cutoff, 1, F.col("my") <= F.col("mx")).select(
+    # of the existing side only what the batch can meet is moved, and then the whole sets of candidates
+    asked = written(a.entries.select("neighbor").distinct(), "asked")
+    near = b.entries.join(asked, "neighbor", "left_semi")
+    new_small = _meet(a.entries, near, metric, cutoff, 1, F.col("my") <= F.col("mx")).select(
         F.col("y").alias("x"), F.col("x").alias("y")
     )
-    new_large = _meet(b.entries, a.entries, metric, cutoff, 1, F.col("my") < F.col("mx"))
-    scored = _scored(new_small.unionByName(new_large), a, b, metric, cutoff, 1)
+    new_large = _meet(near, a.entries, metric, cutoff, 1, F.col("my") < F.col("mx"))
+    candidates = written(new_small.unionByName(new_large), "candidates")
+    whole = b.entries.join(candidates.select(F.col("y").alias("profile")).distinct(), "profile", "left_semi")
+    scored = _scored(candidates, a, NeighborSets(whole, b.members, b.direct), metric, cutoff, 1)
     best = scored.groupBy("x").agg(F.min(F.struct((-F.col("score")).alias("below"), "y")).alias("b"))
     return a.membership.join(best.withColumnRenamed("x", "profile"), "profile").select(
         F.col("node").alias("node1"), F.col("b.y").alias("node2"), (-F.col("b.below")).alias("score")
