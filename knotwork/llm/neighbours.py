@@ -18,11 +18,10 @@ TREES = 16  # orders of the nodes that give the first graph
 SIGNS = 16
 RUN = 2048  # nodes next to each other in an order that are compared
 OFFERS = 8  # of each local join to each node
-ENOUGH = 0.03  # share of new edges below which building ends
-MOST_ROUNDS = 5
+ENOUGH = 0.001  # share of new edges below which building ends
 ENTRIES = 1024
 SEEDS = 16
-BEAM = 80
+BEAM = 160
 KEPT = 12  # neighbours that one run gives to a node
 STEP = 24  # nodes of a beam that are visited in a round
 
@@ -213,7 +212,7 @@ def build(vectors: DataFrame, k: int = NEIGHBOURS, answers: int = 5) -> Index:
     dimensions = size[0] if size else 0
     graph = written(first_graph(nodes, dimensions, k).withColumn("fresh", F.lit(True)), "graph")
     rounds = 0
-    while rounds < MOST_ROUNDS:
+    while True:  # the lists of neighbours only get nearer, so it ends
         rounds += 1
         graph = written(descend(graph, nodes, k), "graph")
         new, edges = graph.agg(F.sum(F.col("fresh").cast("long")), F.count("*")).first()
@@ -225,9 +224,10 @@ def build(vectors: DataFrame, k: int = NEIGHBOURS, answers: int = 5) -> Index:
 def search(index: Index, queries: DataFrame, beam: int = BEAM, seeds: int = SEEDS) -> DataFrame:
     """``(query, node, sim)``: the nodes in the final beam of each query ``(query, unit)``.
 
-    Every query starts at the best of a fixed number of entry nodes. In each
-    round the best 24 nodes of its beam that were not yet visited show their
-    neighbours; it ends when all of the beam were visited.
+    Every query starts at the best of a fixed number of entry nodes and, where
+    it is a node itself, at its own neighbours in the graph. In each round the
+    best 24 nodes of its beam that were not yet visited show their neighbours on
+    either end of an edge; it ends when all of the beam were visited.
     """
     entries = index.nodes.orderBy(F.xxhash64("node"), "node").limit(ENTRIES).collect()
     entry_ids = np.array([r["node"] for r in entries], dtype=np.int64)
@@ -244,9 +244,18 @@ def search(index: Index, queries: DataFrame, beam: int = BEAM, seeds: int = SEED
             ids = batch.column("query").to_numpy()
             yield _edges(np.repeat(ids, most), entry_ids[near.ravel()], np.take_along_axis(sims, near, 1).ravel())
 
+    def score(shown: DataFrame) -> DataFrame:
+        found = shown.join(index.nodes.select("node", F.col("unit").alias("there")), "node").join(queries, "query")
+        sim = dot(F.col("unit").cast("array<double>"), F.col("there").cast("array<double>")).cast("float")
+        return found.select("query", "node", sim.alias("sim"), F.lit(False).alias("done"))
+
     queries = written(queries.select("query", "unit"), "queries")
+    edges = index.graph.select("node", "neighbour")
+    edges = written(edges.unionByName(edges.select(F.col("neighbour").alias("node"), F.col("node").alias("neighbour"))).distinct(), "edges")
+    own = score(edges.join(queries.select(F.col("query").alias("node")), "node").select(F.col("node").alias("query"), F.col("neighbour").alias("node")))
     seen = arrow_map(queries, enter, "node bigint, neighbour bigint, sim float")
-    seen = written(seen.select(F.col("node").alias("query"), F.col("neighbour").alias("node"), "sim", F.lit(False).alias("done")), "seen")
+    seen = seen.select(F.col("node").alias("query"), F.col("neighbour").alias("node"), "sim", F.lit(False).alias("done"))
+    seen = written(seen.unionByName(own).groupBy("query", "node").agg(F.max("sim").alias("sim"), F.first("done").alias("done")), "seen")
     order = Window.partitionBy("query").orderBy(F.desc("sim"), "node")
     while True:
         waiting = F.sum((~F.col("done")).cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0))
@@ -255,11 +264,9 @@ def search(index: Index, queries: DataFrame, beam: int = BEAM, seeds: int = SEED
         ranked = written(ranked.withColumn("open", is_open).drop("place", "waiting"), "ranked")
         if ranked.filter("open").isEmpty():
             break
-        shown = ranked.filter("open").join(index.graph.select("node", "neighbour"), "node").select("query", F.col("neighbour").alias("node")).distinct()
+        shown = ranked.filter("open").join(edges, "node").select("query", F.col("neighbour").alias("node")).distinct()
         shown = shown.join(ranked.select("query", "node"), ["query", "node"], "left_anti")
-        scored = shown.join(index.nodes.select("node", F.col("unit").alias("there")), "node").join(queries, "query")
-        scored = scored.select("query", "node", dot(F.col("unit").cast("array<double>"), F.col("there").cast("array<double>")).cast("float").alias("sim"), F.lit(False).alias("done"))
-        seen = written(ranked.select("query", "node", "sim", (F.col("done") | F.col("open")).alias("done")).unionByName(scored), "seen")
+        seen = written(ranked.select("query", "node", "sim", (F.col("done") | F.col("open")).alias("done")).unionByName(score(shown)), "seen")
     return ranked.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= beam).select("query", "node", "sim")
 
 

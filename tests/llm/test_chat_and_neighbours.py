@@ -129,3 +129,24 @@ def test_recall_on_clustered_vectors(spark):
         sims[q] = -2
         hits += len(set(np.argsort(-sims)[:5]) & set(got[got.query_id == q].vec_id))
     assert hits / (60 * 5) >= 0.9
+
+
+def test_search_starts_at_a_query_s_own_neighbours_on_both_ends(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "ENTRIES", 1)
+    units = {i: [1.0, i / 100] for i in range(5)}
+    nodes = spark.createDataFrame([(i, v, b"") for i, v in units.items()], "node bigint, unit array<float>, half binary")
+    first = nodes.orderBy(F.xxhash64("node"), "node").first()["node"]
+    q, ahead, back, further = (i for i in units if i != first)
+    graph = spark.createDataFrame([(q, ahead), (back, q), (further, back)], "node bigint, neighbour bigint")
+    index = neighbours.Index(nodes, nodes, graph, 2, 1)
+    found = neighbours.search(index, nodes.filter(F.col("node") == q).select(F.col("node").alias("query"), "unit")).collect()
+    assert sorted(r.node for r in found) == list(units)
+
+
+def test_graph_is_built_until_few_edges_are_new(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "RUN", 8)
+    x = np.random.default_rng(3).standard_normal((1500, 12))
+    path = scratch_path(spark, "test-vectors")
+    vectors(spark, [(i, v.tolist()) for i, v in enumerate(x)]).write.parquet(path)
+    index = neighbours.build(neighbours.usable(spark.read.parquet(path)))
+    assert index.graph.filter("fresh").count() <= 0.001 * index.graph.count()
