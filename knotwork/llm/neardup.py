@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import partial, reduce
-from itertools import combinations
+from itertools import combinations, islice
 from operator import add
 
 import numpy as np
@@ -35,7 +35,7 @@ def fingerprint(text: str, words: int = 3) -> int:
     shingles = [b" ".join(found)] if len(found) < words else map(b" ".join, zip(*(found[i:] for i in range(words))))
     ones, n = np.zeros(BITS, dtype=np.int64), 0
     hashes = map(_hash, shingles)
-    while len(some := np.fromiter((h for h, _ in zip(hashes, range(HASHES_AT_ONCE))), dtype=np.uint64)):
+    while len(some := np.fromiter(islice(hashes, HASHES_AT_ONCE), dtype=np.uint64)):
         ones += np.unpackbits(some[:, None].view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
         n += len(some)
         if len(some) < HASHES_AT_ONCE:

@@ -108,6 +108,11 @@ def plain_print(text):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
+@pytest.mark.parametrize("text", ["a b " * 32_770, " ".join(f"w{i % 977}" for i in range(140_000))])
+def test_fingerprints_of_very_long_texts_count_every_shingle(text):
+    assert neardup.fingerprint(text) % 2**64 == plain_print(text)  # the first has bits at the half
+
+
 def plain_components(rows):
     prints = [plain_print(t) for _, t in rows]
     group = list(range(len(rows)))
