@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from knotwork.llm.common import NULL_ID, arrow_map, free_names, record, slices, whole_text
 from knotwork.operators.clusters import entity_clusters
+from knotwork.operators.skew import fragment_join
 from knotwork.session import written
 
 SEED = 42
@@ -23,18 +24,29 @@ RADIUS = 2
 #: Postings of at most so many fingerprints are compared pair by pair; the same bound holds for a list of one-bit variants.
 POSTING_PAIRS = 64
 HASHES_AT_ONCE = 1 << 16
+#: Shingles that a part of the texts shows to be common come last in prefixes; that only saves work, results do not depend on it.
+COMMON_IN, COMMON_FROM, MOST_COMMON = 16, 4, 100_000
 
 _hash = partial(xxhash.xxh64_intdigest, seed=SEED)
 
 
-def fingerprint(text: str, words: int = 3) -> int:
-    """Majority vote of the shingle hashes, as a signed 64-bit number; 0 for a text without words."""
+def _hashes(text: str, words: int) -> Iterator[int]:
+    """Hashes of the shingles of a text; one of fewer words is a shingle, one without words has none."""
     found = text.encode("utf-8", "surrogatepass").lower().split()
     if not found:
-        return 0
-    shingles = [b" ".join(found)] if len(found) < words else map(b" ".join, zip(*(found[i:] for i in range(words))))
+        return iter(())
+    return map(_hash, [b" ".join(found)] if len(found) < words else map(b" ".join, zip(*(found[i:] for i in range(words)))))
+
+
+def shingle_set(text: str, words: int) -> np.ndarray:
+    """The distinct shingle hashes in ascending order, as signed numbers."""
+    return np.unique(np.fromiter(_hashes(text, words), dtype=np.uint64)).view(np.int64)
+
+
+def fingerprint(text: str, words: int = 3) -> int:
+    """Majority vote of the shingle hashes, as a signed 64-bit number; 0 for a text without words."""
     ones, n = np.zeros(BITS, dtype=np.int64), 0
-    hashes = map(_hash, shingles)
+    hashes = _hashes(text, words)
     while len(some := np.fromiter(islice(hashes, HASHES_AT_ONCE), dtype=np.uint64)):
         ones += np.unpackbits(some[:, None].view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
         n += len(some)
@@ -116,7 +128,92 @@ def fingerprint_links(prints: DataFrame, radius: int = RADIUS, posting_pairs: in
     return pairs.unionByName(stars)
 
 
-def near_duplicate_groups(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+def similar_links(docs: DataFrame, similarity: float, words: int) -> DataFrame:
+    """``(a, b)`` fingerprints that connect all documents whose sets of ``words``-word shingles have a Jaccard similarity of ``similarity``.
+
+    Exact: two such sets meet in the first n - ceil(similarity n) + 1 shingles of
+    each in any common order, here common ones last. Under each shingle all sets
+    are first checked against one of them; then only pairs that this has not
+    connected are, so a large group of copies costs no pairs of its own. Of a pair
+    that reaches it, all common shingles up to the earlier end of the two prefixes
+    are in both; pairs with too few of them are not read whole.
+    """
+    texts = docs.select(whole_text().alias("text"), F.xxhash64(whole_text()).alias("text_key"))
+
+    def all_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            for text in part.column("text").to_pylist():
+                yield record(shingle=pa.array(shingle_set(text, words), pa.int64()))
+
+    part = arrow_map(texts.filter(F.pmod(F.xxhash64("text"), F.lit(COMMON_IN)) == 0), all_shingles, "shingle bigint")
+    common = part.groupBy("shingle").agg(F.count("*").alias("n")).filter(F.col("n") >= COMMON_FROM)
+    common = common.orderBy(F.desc("n"), "shingle").limit(MOST_COMMON).collect()
+    order = np.array([r["shingle"] for r in reversed(common)], dtype=np.int64)
+    ascending, place = np.sort(order), np.argsort(order)
+
+    def sets_of(texts: DataFrame, whole: bool) -> DataFrame:
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part in slices(batches):
+                key, text_key, fp, n, shingles = [], [], [], [], []
+                for text, hashed in zip(part.column("text").to_pylist(), part.column("text_key").to_pylist()):
+                    found = shingle_set(text, words)
+                    if not len(found):
+                        continue
+                    key.append(int(np.uint64(_hash(found.tobytes())).view(np.int64)))
+                    text_key.append(hashed)
+                    fp.append(0 if whole else fingerprint(text))
+                    n.append(len(found))
+                    if not whole and len(ascending):
+                        at = np.minimum(np.searchsorted(ascending, found), len(ascending) - 1)
+                        often = ascending[at] == found
+                        found = np.concatenate([found[~often], found[often][np.argsort(place[at[often]])]])
+                    most = len(found) if whole else len(found) - int(np.ceil(similarity * len(found) - 1e-9)) + 1
+                    shingles.append(found[:most])
+                yield record(key=pa.array(key, pa.int64()), text_key=pa.array(text_key, pa.int64()), fp=pa.array(fp, pa.int64()), n=pa.array(n, pa.int32()), shingles=pa.array(shingles, pa.list_(pa.int64())))
+
+        return arrow_map(texts, work, "key bigint, text_key bigint, fp bigint, n int, shingles array<bigint>")
+
+    sets = written(sets_of(texts, False), "shingle-prefixes")
+    named = written(sets.groupBy("key").agg(F.min("fp").alias("fp"), F.min("text_key").alias("text_key")), "set-names")
+    same = sets.select("key", F.col("fp").alias("b")).join(named.select("key", F.col("fp").alias("a")), "key").select("a", "b")
+    entries = written(sets.dropDuplicates(["key"]).select("key", "n", F.explode("shingles").alias("shingle")), "prefix-entries")
+    heads = written(
+        entries.groupBy("shingle").agg(F.count("*").alias("sets"), F.min(F.struct("key", "n")).alias("head")).filter("sets > 1").drop("sets"), "shingle-heads",
+    )
+    met = written(entries.join(heads, "shingle"), "met")
+    may_reach = F.least("n_a", "n_b") >= F.lit(similarity - 1e-9) * F.greatest("n_a", "n_b")
+
+    def enough(pairs: DataFrame) -> DataFrame:
+        needed = F.lit((similarity - 1e-9) / (1 + similarity)) * (F.col("n_a") + F.col("n_b")) - F.ceil(F.lit(similarity) * F.greatest("n_a", "n_b")) + 1
+        return pairs.filter(may_reach).groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("c")).filter(F.col("c") >= needed - 1e-6).select("a", "b")
+
+    def reaching(pairs: DataFrame) -> DataFrame:
+        keys = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+        wanted = texts.join(named.join(keys, "key").select("text_key"), "text_key", "left_semi").dropDuplicates(["text_key"])
+        bodies = written(sets_of(wanted, True).select("key", "shingles").dropDuplicates(["key"]), "shingle-sets")
+        there = pairs.join(bodies.select(F.col("key").alias("a"), F.col("shingles").alias("in_a")), "a")
+        there = there.join(bodies.select(F.col("key").alias("b"), F.col("shingles").alias("in_b")), "b")
+        shared = F.size(F.array_intersect("in_a", "in_b"))
+        return there.filter(shared >= F.lit(similarity - 1e-9) * (F.size("in_a") + F.size("in_b") - shared)).select("a", "b")
+
+    first = met.select(F.col("head.key").alias("a"), F.col("key").alias("b"), F.col("head.n").alias("n_a"), F.col("n").alias("n_b"))
+    first = written(enough(first.filter("a != b")), "pairs-with-heads")
+    linked = written(reaching(first), "links-with-heads")
+    grouped = written(entity_clusters(linked).select(F.col("id").alias("key"), "cluster"), "linked-sets")
+    apart = written(met.select("shingle", "key", "n").join(grouped, "key", "left").withColumn("cluster", F.coalesce("cluster", "key")), "sets-apart")
+    # where all sets under a shingle are connected already there is nothing left to find
+    open_ = apart.groupBy("shingle").agg(F.min("cluster").alias("x"), F.max("cluster").alias("y")).filter("x != y").select("shingle")
+    apart = written(apart.join(open_, "shingle", "left_semi"), "sets-to-compare")
+    one, other = (apart.select("shingle", *(F.col(c).alias(f"{c}_{x}") for c in ("key", "n", "cluster"))) for x in "ab")
+    rest = fragment_join(one, other, ["shingle"], ["key_a"], ["key_b"]).filter((F.col("key_a") < F.col("key_b")) & (F.col("cluster_a") != F.col("cluster_b")) & may_reach)
+    rest = enough(rest.select(F.col("key_a").alias("a"), F.col("key_b").alias("b"), "n_a", "n_b")).join(first, ["a", "b"], "left_anti")
+    links = linked.unionByName(reaching(written(rest, "pairs-apart")))
+    links = links.join(named.select(F.col("key").alias("a"), F.col("fp").alias("fp_a")), "a").join(named.select(F.col("key").alias("b"), F.col("fp").alias("fp_b")), "b")
+    links = links.select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b")).unionByName(same).filter("a != b")
+    return links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def near_duplicate_groups(docs: DataFrame, radius: int = RADIUS, similarity: float | None = None, words: int = 5) -> DataFrame:
     """One row per document: ``(doc_id, text_key, fp, root, component_id)``.
 
     ``component_id`` is the smallest doc_id that is reachable over links of at
@@ -124,10 +221,13 @@ def near_duplicate_groups(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     fingerprints. Null texts count as empty; texts without words share the
     fingerprint zero. Null ids are never smallest; a group of nothing else has
     a null component. Repeated rows are each returned. Extra columns are ignored.
+    With ``similarity``, documents whose sets of ``words``-word shingles reach it are linked too.
     """
     prints = written(fingerprints(docs), "fingerprints")
     distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
     links = fingerprint_links(distinct.select("fp"), radius)
+    if similarity is not None:
+        links = links.unionByName(similar_links(docs, similarity, words))
     linked = written(entity_clusters(links).select(F.col("id").alias("fp"), F.col("cluster").alias("root")), "linked-fingerprints")
     least = written(
         distinct.join(linked, "fp").groupBy("root").agg(F.min("least").alias("component_id")), "groups",
@@ -143,10 +243,10 @@ def near_duplicate_groups(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     return prints.join(groups, "fp")
 
 
-def keep_one_of_each_group(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+def keep_one_of_each_group(docs: DataFrame, radius: int = RADIUS, similarity: float | None = None, words: int = 5) -> DataFrame:
     """The documents with one row per near-duplicate group: its smallest doc_id (null last), then the smallest text hash."""
     no, key = free_names(docs, "_id", "_key")
-    found = near_duplicate_groups(docs, radius)
+    found = near_duplicate_groups(docs, radius, similarity, words)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key"))
     kept = found.groupBy("root").agg(first.alias("first")).select(
         F.coalesce("first.doc_id", F.lit(NULL_ID)).alias(no), F.col("first.text_key").alias(key),

@@ -1,6 +1,8 @@
 """The pipeline stage by stage on the smallest tables."""
 
+import random
 from collections import Counter
+from itertools import combinations
 
 from pyspark.sql import functions as F
 
@@ -77,6 +79,27 @@ def test_stages_on_odd_rows(spark):
     assert packed.groupby("sequence_id").length.sum().max() <= packing.CAPACITY
 
 
+def test_near_dedup_drops_edited_copies(spark):
+    chance = random.Random(4)
+    texts = []
+    for i in range(12):
+        words = [f"w{chance.randrange(3000)}" for _ in range(chance.choice([60, 100, 200]))]
+        for j in range(5):
+            copy = list(words)
+            for place in chance.sample(range(len(copy)), j):
+                copy[place] = f"x{i}_{j}_{place}"
+            texts.append(" ".join(copy))
+    sets = [{tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)} for t in texts]
+    group = list(range(len(texts)))
+    for a, b in combinations(range(len(texts)), 2):
+        if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+            group = [group[a] if g == group[b] else g for g in group]
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    kept = {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, FOLDER).collect()}
+    assert kept == {group.index(g) for g in group} and len(kept) < len(texts)
+
+
 def test_stages_on_an_empty_table(spark):
     docs = with_odd_rows(spark, spark.read.parquet(f"{FOLDER}/documents.parquet")).limit(0)
     for name, stage in corpus_pipeline.STAGES[:-1]:
