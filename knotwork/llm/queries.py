@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from knotwork.llm import chat, divergence, fingerprints, importance, neardup, neighbours, packing, piece_ids, quality, secret_tags, token_files, toxicity
+from knotwork.llm import chat, divergence, fingerprints, importance, neardup, neighbours, packing, piece_ids, quality, secret_tags, setsketch, token_files, toxicity
 from knotwork.session import scratch_path
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -107,6 +107,32 @@ SELECT doc_id, n_features, weight, score, CASE WHEN place <= drawn THEN place EN
 """
 
 
+def op12_setsketch_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return setsketch.near_duplicates(_table(spark, folder, "documents"), words=3, similarity=0.85)
+
+
+OP12_SQL = r"""
+WITH RECURSIVE words AS (
+    SELECT row_number() OVER () AS no, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), shingled AS MATERIALIZED (
+    SELECT no, doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s
+    FROM words
+), shingles AS MATERIALIZED (SELECT no, len(s) AS n, unnest(s) AS g FROM shingled),
+links AS MATERIALIZED (
+    SELECT a.no AS a, b.no AS b FROM shingles a JOIN shingles b ON a.g = b.g AND a.no <> b.no
+    GROUP BY a.no, b.no HAVING 100 * count(*) >= 85 * (any_value(a.n) + any_value(b.n) - count(*))
+), reached AS (
+    SELECT no, doc_id AS least FROM shingled
+    UNION
+    SELECT l.a, r.least FROM reached r JOIN links l ON l.b = r.no
+), components AS (SELECT no, min(least) AS component_id FROM reached GROUP BY no)
+SELECT doc_id, len(s) AS n_shingles, component_id, doc_id = component_id AS kept FROM shingled JOIN components USING (no)
+"""
+
+
 def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.audit(_table(spark, folder, "documents"))
 
@@ -159,6 +185,11 @@ QUERIES: dict[str, Run] = {
     "op9_secret_scan_crf": op9_secret_scan_crf,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
     "op11_importance_resampling": op11_importance_resampling,
+    "op12_setsketch_near_dedup": op12_setsketch_near_dedup,
     "op13_source_divergence": op13_source_divergence,
 }
-ORACLES: dict[str, str] = {"op11_importance_resampling": OP11_SQL, "op13_source_divergence": OP13_SQL}
+ORACLES: dict[str, str] = {
+    "op11_importance_resampling": OP11_SQL,
+    "op12_setsketch_near_dedup": OP12_SQL,
+    "op13_source_divergence": OP13_SQL,
+}
