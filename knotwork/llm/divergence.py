@@ -117,6 +117,7 @@ def _pair_values(groups: DataFrame, counts: DataFrame, kept: DataFrame) -> DataF
     sizes = groups.select("lang", "vocabulary").distinct().join(sources, "lang").filter("vocabulary > 0 AND sources > 1").select(
         "lang", F.ceil(F.col("vocabulary") / BLOCK_TERMS).alias("term_blocks"), F.ceil(F.col("sources") / BLOCK_SOURCES).alias("source_blocks"),
     )
+    sizes = written(sizes, "block-sizes")  # a row per language
     term_block = F.pmod(F.xxhash64("term"), "term_blocks").alias("term_block")
     source_block = F.pmod(F.xxhash64("source"), "source_blocks").alias("source_block")
     others, blank = F.explode(F.expr("sequence(0L, source_blocks - 1)")).alias("other"), F.lit(None)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import partial, reduce
 from itertools import combinations, islice
-from operator import add
+from operator import add, xor
 
 import numpy as np
 import pyarrow as pa
@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from knotwork.llm.common import NULL_ID, arrow_map, free_names, record, slices, whole_text
+from knotwork.llm.setsketch import SetSketch, set_clusters, sketches
 from knotwork.operators.clusters import entity_clusters
-from knotwork.operators.skew import fragment_join
 from knotwork.session import written
 
 SEED = 42
@@ -24,8 +24,11 @@ RADIUS = 2
 #: Postings of at most so many fingerprints are compared pair by pair; the same bound holds for a list of one-bit variants.
 POSTING_PAIRS = 64
 HASHES_AT_ONCE = 1 << 16
-#: Shingles that a part of the texts shows to be common come last in prefixes; that only saves work, results do not depend on it.
-COMMON_IN, COMMON_FROM, MOST_COMMON = 16, 4, 100_000
+#: Four byte positions of each index entry, and in how many entries a pair within the radius meets at least.
+POSITIONS = [p for p in combinations(range(BYTES), 4) if not reduce(xor, p)]
+GUARANTEED = min(sum(not {a, b} & set(p) for p in POSITIONS) for a, b in combinations(range(BYTES), 2))
+#: Registers for similarities of 0.8: a pair of that similarity misses all bands with a probability of 0.0001.
+SKETCH = SetSketch(bands=40, rows=7)
 
 _hash = partial(xxhash.xxh64_intdigest, seed=SEED)
 
@@ -38,11 +41,6 @@ def _hashes(text: str, words: int) -> Iterator[int]:
     return map(_hash, [b" ".join(found)] if len(found) < words else map(b" ".join, zip(*(found[i:] for i in range(words)))))
 
 
-def shingle_set(text: str, words: int) -> np.ndarray:
-    """The distinct shingle hashes in ascending order, as signed numbers."""
-    return np.unique(np.fromiter(_hashes(text, words), dtype=np.uint64)).view(np.int64)
-
-
 def fingerprint(text: str, words: int = 3) -> int:
     """Majority vote of the shingle hashes, as a signed 64-bit number; 0 for a text without words."""
     ones, n = np.zeros(BITS, dtype=np.int64), 0
@@ -71,53 +69,44 @@ def _byte(fp: Column, position: int) -> Column:
     return F.shiftrightunsigned(fp, 8 * position).bitwiseAND(F.lit(255))
 
 
-def postings(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """``(positions, bytes, fp)``: index entries under the bytes at several positions at once.
+def postings(prints: DataFrame) -> DataFrame:
+    """``(positions, bytes, fp)``: index entries under the bytes at four positions at once.
 
-    Two fingerprints within ``radius`` bits differ in at most ``radius`` of the
-    eight byte positions. The positions are dealt into radius + 2 groups, so at
-    least two whole groups agree, and the pair meets under the entry of those
-    two. Entries of a single byte would each hold 1/256 of all fingerprints and
-    make the number of pairs quadratic.
+    The positions are the 14 sets of four whose numbers have no bit left in their
+    exclusive or; every two positions lie in three of them, so that whichever two
+    are left out, three sets remain. Entries of a single byte would each hold
+    1/256 of all fingerprints and make the number of pairs quadratic.
     """
-    groups = [list(part) for part in np.array_split(np.arange(BYTES), radius + 2)]
     entries = []
-    for no, chosen in enumerate(combinations(groups, 2)):
-        key = reduce(add, [F.shiftleft(_byte(F.col("fp"), int(p)), 8 * i) for i, p in enumerate(chosen[0] + chosen[1])])
+    for no, chosen in enumerate(POSITIONS):
+        key = reduce(add, [F.shiftleft(_byte(F.col("fp"), p), 8 * i) for i, p in enumerate(chosen)])
         entries.append(F.struct(F.lit(no).alias("positions"), key.alias("bytes")))
     return prints.select("fp", F.inline(F.array(*entries)))
 
 
-def shared_bytes(a: Column, b: Column) -> Column:
-    """At how many positions the two fingerprints hold the same byte."""
-    differing = a.bitwiseXOR(b)
-    return reduce(add, [(_byte(differing, p) == 0).cast("int") for p in range(BYTES)])
-
-
 def fingerprint_links(prints: DataFrame, radius: int = RADIUS, posting_pairs: int = POSTING_PAIRS) -> DataFrame:
     """``(a, b)`` links that connect exactly what the pairs of distinct fingerprints within ``radius`` bits connect.
 
-    Under each index entry the positional bytes that two fingerprints share are
-    tallied; pairs that reach the guaranteed minimum (8 - radius) are verified
-    by their differing bits. Fingerprints in an entry with more than
-    ``posting_pairs`` members are linked without forming pairs: each lists its
-    variants of up to radius / 2 flipped bits, and fingerprints with a common
-    variant, which are at most 65 and lie within the radius of each other, hang
-    on the smallest. That way is exact too, for radius 2.
+    Two fingerprints within two bits differ at two byte positions at most, hence
+    meet in ``GUARANTEED`` entries of the index at least. The entries in which a
+    pair meets are tallied; pairs that reach that number are verified by their
+    differing bits. Entries with more than ``posting_pairs`` members, whose pairs
+    would grow with their square, form none: each of their fingerprints lists its
+    variants of up to one flipped bit, and fingerprints with a common variant,
+    which are at most 65 and lie within the radius of each other, hang on the
+    smallest. That finds every pair that meets in such an entry, so what is not
+    tallied there is not lost. It is exact too, for radius 2.
     """
     if radius != 2:
-        raise ValueError("the exact way for long postings is laid out for a radius of 2")
-    entries = written(postings(prints, radius), "postings")
+        raise ValueError("positions and variants are laid out for a radius of 2")
+    entries = written(postings(prints), "postings")
     sizes = entries.groupBy("positions", "bytes").agg(F.count("*").alias("n")).filter("n > 1")
     sizes = written(sizes, "posting-sizes")
     short = entries.join(sizes.filter(F.col("n") <= posting_pairs).drop("n"), ["positions", "bytes"])
     short = written(short, "short-postings")
     met = short.withColumnRenamed("fp", "a").join(short.withColumnRenamed("fp", "b"), ["positions", "bytes"]).filter("a < b")
-    pairs = (
-        met.filter(shared_bytes(F.col("a"), F.col("b")) >= BYTES - radius)
-        .filter(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)
-        .select("a", "b").distinct()
-    )
+    tally = met.groupBy("a", "b").agg(F.count("*").alias("shared")).filter(F.col("shared") >= GUARANTEED)
+    pairs = tally.filter(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius).select("a", "b")
     long = entries.join(sizes.filter(F.col("n") > posting_pairs).drop("n"), ["positions", "bytes"], "left_semi").select("fp").distinct()
     flips = F.array(F.lit(0).cast("bigint"), *[F.shiftleft(F.lit(1).cast("bigint"), i) for i in range(BITS)])
     variants = long.select("fp", F.explode(flips).alias("flip")).select("fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("variant"))
@@ -128,89 +117,21 @@ def fingerprint_links(prints: DataFrame, radius: int = RADIUS, posting_pairs: in
     return pairs.unionByName(stars)
 
 
-def similar_links(docs: DataFrame, similarity: float, words: int) -> DataFrame:
-    """``(a, b)`` fingerprints that connect all documents whose sets of ``words``-word shingles have a Jaccard similarity of ``similarity``.
+def similar_links(docs: DataFrame, prints: DataFrame, similarity: float, words: int, sketch: SetSketch = SKETCH) -> DataFrame:
+    """``(a, b)`` fingerprints that connect the documents whose sets of ``words``-word shingles have a Jaccard similarity of ``similarity``.
 
-    Exact: two such sets meet in the first n - ceil(similarity n) + 1 shingles of
-    each in any common order, here common ones last. Under each shingle all sets
-    are first checked against one of them; then only pairs that this has not
-    connected are, so a large group of copies costs no pairs of its own. Of a pair
-    that reaches it, all common shingles up to the earlier end of the two prefixes
-    are in both; pairs with too few of them are not read whole.
+    Sets meet in bands of register values and are confirmed on all their
+    elements; see ``setsketch.set_clusters``. Null and empty texts and texts
+    without words have no set and take no part. ``prints`` is ``fingerprints(docs)``, stored.
     """
-    texts = docs.select(whole_text().alias("text"), F.xxhash64(whole_text()).alias("text_key"))
-
-    def all_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
-            for text in part.column("text").to_pylist():
-                yield record(shingle=pa.array(shingle_set(text, words), pa.int64()))
-
-    part = arrow_map(texts.filter(F.pmod(F.xxhash64("text"), F.lit(COMMON_IN)) == 0), all_shingles, "shingle bigint")
-    common = part.groupBy("shingle").agg(F.count("*").alias("n")).filter(F.col("n") >= COMMON_FROM)
-    common = common.orderBy(F.desc("n"), "shingle").limit(MOST_COMMON).collect()
-    order = np.array([r["shingle"] for r in reversed(common)], dtype=np.int64)
-    ascending, place = np.sort(order), np.argsort(order)
-
-    def sets_of(texts: DataFrame, whole: bool) -> DataFrame:
-        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for part in slices(batches):
-                key, text_key, fp, n, shingles = [], [], [], [], []
-                for text, hashed in zip(part.column("text").to_pylist(), part.column("text_key").to_pylist()):
-                    found = shingle_set(text, words)
-                    if not len(found):
-                        continue
-                    key.append(int(np.uint64(_hash(found.tobytes())).view(np.int64)))
-                    text_key.append(hashed)
-                    fp.append(0 if whole else fingerprint(text))
-                    n.append(len(found))
-                    if not whole and len(ascending):
-                        at = np.minimum(np.searchsorted(ascending, found), len(ascending) - 1)
-                        often = ascending[at] == found
-                        found = np.concatenate([found[~often], found[often][np.argsort(place[at[often]])]])
-                    most = len(found) if whole else len(found) - int(np.ceil(similarity * len(found) - 1e-9)) + 1
-                    shingles.append(found[:most])
-                yield record(key=pa.array(key, pa.int64()), text_key=pa.array(text_key, pa.int64()), fp=pa.array(fp, pa.int64()), n=pa.array(n, pa.int32()), shingles=pa.array(shingles, pa.list_(pa.int64())))
-
-        return arrow_map(texts, work, "key bigint, text_key bigint, fp bigint, n int, shingles array<bigint>")
-
-    sets = written(sets_of(texts, False), "shingle-prefixes")
-    named = written(sets.groupBy("key").agg(F.min("fp").alias("fp"), F.min("text_key").alias("text_key")), "set-names")
-    same = sets.select("key", F.col("fp").alias("b")).join(named.select("key", F.col("fp").alias("a")), "key").select("a", "b")
-    entries = written(sets.dropDuplicates(["key"]).select("key", "n", F.explode("shingles").alias("shingle")), "prefix-entries")
-    heads = written(
-        entries.groupBy("shingle").agg(F.count("*").alias("sets"), F.min(F.struct("key", "n")).alias("head")).filter("sets > 1").drop("sets"), "shingle-heads",
-    )
-    met = written(entries.join(heads, "shingle"), "met")
-    may_reach = F.least("n_a", "n_b") >= F.lit(similarity - 1e-9) * F.greatest("n_a", "n_b")
-
-    def enough(pairs: DataFrame) -> DataFrame:
-        needed = F.lit((similarity - 1e-9) / (1 + similarity)) * (F.col("n_a") + F.col("n_b")) - F.ceil(F.lit(similarity) * F.greatest("n_a", "n_b")) + 1
-        return pairs.filter(may_reach).groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("c")).filter(F.col("c") >= needed - 1e-6).select("a", "b")
-
-    def reaching(pairs: DataFrame) -> DataFrame:
-        keys = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-        wanted = texts.join(named.join(keys, "key").select("text_key"), "text_key", "left_semi").dropDuplicates(["text_key"])
-        bodies = written(sets_of(wanted, True).select("key", "shingles").dropDuplicates(["key"]), "shingle-sets")
-        there = pairs.join(bodies.select(F.col("key").alias("a"), F.col("shingles").alias("in_a")), "a")
-        there = there.join(bodies.select(F.col("key").alias("b"), F.col("shingles").alias("in_b")), "b")
-        shared = F.size(F.array_intersect("in_a", "in_b"))
-        return there.filter(shared >= F.lit(similarity - 1e-9) * (F.size("in_a") + F.size("in_b") - shared)).select("a", "b")
-
-    first = met.select(F.col("head.key").alias("a"), F.col("key").alias("b"), F.col("head.n").alias("n_a"), F.col("n").alias("n_b"))
-    first = written(enough(first.filter("a != b")), "pairs-with-heads")
-    linked = written(reaching(first), "links-with-heads")
-    grouped = written(entity_clusters(linked).select(F.col("id").alias("key"), "cluster"), "linked-sets")
-    apart = written(met.select("shingle", "key", "n").join(grouped, "key", "left").withColumn("cluster", F.coalesce("cluster", "key")), "sets-apart")
-    # where all sets under a shingle are connected already there is nothing left to find
-    open_ = apart.groupBy("shingle").agg(F.min("cluster").alias("x"), F.max("cluster").alias("y")).filter("x != y").select("shingle")
-    apart = written(apart.join(open_, "shingle", "left_semi"), "sets-to-compare")
-    one, other = (apart.select("shingle", *(F.col(c).alias(f"{c}_{x}") for c in ("key", "n", "cluster"))) for x in "ab")
-    rest = fragment_join(one, other, ["shingle"], ["key_a"], ["key_b"]).filter((F.col("key_a") < F.col("key_b")) & (F.col("cluster_a") != F.col("cluster_b")) & may_reach)
-    rest = enough(rest.select(F.col("key_a").alias("a"), F.col("key_b").alias("b"), "n_a", "n_b")).join(first, ["a", "b"], "left_anti")
-    links = linked.unionByName(reaching(written(rest, "pairs-apart")))
-    links = links.join(named.select(F.col("key").alias("a"), F.col("fp").alias("fp_a")), "a").join(named.select(F.col("key").alias("b"), F.col("fp").alias("fp_b")), "b")
-    links = links.select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b")).unionByName(same).filter("a != b")
-    return links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    sketched = written(sketches(docs, words, sketch), "shingle-sketches")
+    linked = written(set_clusters(docs, sketched, words, similarity, sketch), "linked-sets")
+    sets = sketched.filter("key IS NOT NULL").groupBy("text_key").agg(F.min("key").alias("key"))
+    named = sets.join(linked, "key", "left").select("text_key", F.coalesce("cluster", "key").alias("cluster"))
+    members = prints.groupBy("text_key").agg(F.min("fp").alias("b")).join(named, "text_key").select("cluster", "b").distinct()
+    members = written(members, "prints-of-sets")
+    least = members.groupBy("cluster").agg(F.min("b").alias("a"))
+    return members.join(least, "cluster").filter("a != b").select("a", "b").distinct()
 
 
 def near_duplicate_groups(docs: DataFrame, radius: int = RADIUS, similarity: float | None = None, words: int = 5) -> DataFrame:
@@ -221,13 +142,14 @@ def near_duplicate_groups(docs: DataFrame, radius: int = RADIUS, similarity: flo
     fingerprints. Null texts count as empty; texts without words share the
     fingerprint zero. Null ids are never smallest; a group of nothing else has
     a null component. Repeated rows are each returned. Extra columns are ignored.
-    With ``similarity``, documents whose sets of ``words``-word shingles reach it are linked too.
+    With ``similarity``, documents whose sets of ``words``-word shingles reach it are
+    linked too; texts without words have no shingles, so that adds nothing to them.
     """
     prints = written(fingerprints(docs), "fingerprints")
     distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
     links = fingerprint_links(distinct.select("fp"), radius)
     if similarity is not None:
-        links = links.unionByName(similar_links(docs, similarity, words))
+        links = links.unionByName(similar_links(docs, prints, similarity, words))
     linked = written(entity_clusters(links).select(F.col("id").alias("fp"), F.col("cluster").alias("root")), "linked-fingerprints")
     least = written(
         distinct.join(linked, "fp").groupBy("root").agg(F.min("least").alias("component_id")), "groups",

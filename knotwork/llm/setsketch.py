@@ -23,7 +23,7 @@ SEED = 42
 #: Pairs are read exactly unless their estimate lies so many standard deviations below the similarity.
 DEVIATIONS = 4
 #: Rounds in which the sets of a bucket are compared with one of them, before the rest is compared in cells.
-HEAD_ROUNDS = 3
+HEAD_ROUNDS = 2
 #: A cell compares at most about so many sets, of so many elements in all, with as many others.
 CELL_SETS, CELL_ELEMENTS = 1024, 1 << 21
 #: Elements hashed at a time; a set of any size is sketched in parts of so many, which are merged.
@@ -300,17 +300,19 @@ def set_clusters(docs: DataFrame, sketched: DataFrame, words: int, similarity: f
     open_ = written(entries.join(shared, "bucket", "left_semi").withColumn("cluster", F.col("key")), "open-buckets")
     wanted = sets.select("key", "text_key").join(open_.select("key").distinct(), "key")
     bodies = written(_sets_of(docs, wanted, words), "set-elements")
-    links = None
-    for number in range(HEAD_ROUNDS):
+    links, number = sets.sparkSession.createDataFrame([], "a bigint, b bigint"), 0
+    while number < HEAD_ROUNDS and not open_.isEmpty():
         head = F.min(F.struct(F.xxhash64("key", F.lit(number)).alias("place"), F.col("key").alias("a"), F.col("cluster").alias("cluster_a"), F.col("n").alias("n_a")))
         heads = open_.groupBy("bucket").agg(head.alias("head")).select("bucket", "head.*")
         met = open_.join(heads, "bucket").filter(F.col("cluster") != F.col("cluster_a")).filter(_sizes_allow("n", "n_a", similarity))
         found = _linked(met.select("a", F.col("key").alias("b")).distinct(), sets, bodies, similarity, sketch)
-        links = found if links is None else links.unionByName(found)
-        clusters = written(entity_clusters(links).select(F.col("id").alias("key"), "cluster"), "set-clusters")
-        open_ = _still_open(open_, clusters)
-    rest = _links_in_cells(open_, sets, bodies, similarity, sketch)
-    return entity_clusters(links.unionByName(rest)).select(F.col("id").alias("key"), "cluster")
+        if found.isEmpty():
+            break
+        links, number = links.unionByName(found), number + 1
+        open_ = _still_open(open_, written(entity_clusters(links).select(F.col("id").alias("key"), "cluster"), "set-clusters"))
+    if not open_.isEmpty():
+        links = links.unionByName(_links_in_cells(open_, sets, bodies, similarity, sketch))
+    return entity_clusters(links).select(F.col("id").alias("key"), "cluster")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, sketch: SetSketch = SetSketch()) -> DataFrame:
