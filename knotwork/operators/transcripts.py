@@ -52,18 +52,21 @@ def code_blocks(messages: DataFrame) -> DataFrame:
 
 
 def executor_outcomes(messages: DataFrame) -> DataFrame:
-    """Exit code of each message that reports one."""
-    code = F.regexp_extract("text", EXIT_CODE_PATTERN, 1).try_cast("int")
-    return messages.select("conv_id", "turn", code.alias("exit_code")).filter(F.col("exit_code").isNotNull()).withColumn(
+    """Every exit code that a message reports, numbered from 0 as ``note``; numbers too large for an int are left out."""
+    notes = messages.select("conv_id", "turn", F.posexplode(F.regexp_extract_all("text", F.lit(EXIT_CODE_PATTERN), F.lit(1))).alias("note", "code"))
+    code = F.col("code").try_cast("int")
+    return notes.select("conv_id", "turn", "note", code.alias("exit_code")).filter(F.col("exit_code").isNotNull()).withColumn(
         "success", F.col("exit_code") == 0
     )
 
 
 def token_usage(messages: DataFrame) -> DataFrame:
-    """Prompt and completion tokens per conversation and speaker, read from the usage notes in the text."""
+    """Prompt and completion tokens per conversation and speaker, from all usage notes of all texts."""
 
     def tokens(pattern: str):
-        return F.coalesce(F.sum(F.regexp_extract("text", pattern, 1).try_cast("bigint")), F.lit(0))
+        notes = F.regexp_extract_all("text", F.lit(pattern), F.lit(1))
+        all_notes = F.aggregate(notes, F.lit(0).cast("bigint"), lambda total, n: total + F.coalesce(n.try_cast("bigint"), F.lit(0)))
+        return F.coalesce(F.sum(all_notes), F.lit(0))
 
     return messages.groupBy("conv_id", "role").agg(
         tokens(PROMPT_TOKENS_PATTERN).alias("prompt_tokens"),

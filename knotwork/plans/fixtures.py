@@ -201,13 +201,14 @@ def customer_links(t: Tables) -> DataFrame:
 
 
 def chat(t: Tables) -> DataFrame:
-    """Conversations with stop words, fenced code, failed runs and usage notes put in by rule."""
+    """Conversations with stop words, fenced code, failed and repeated runs and usage notes, some twice in a message, put in by rule."""
     fence = F.lit(f"\n{FENCE}python\nprint(1)\n{FENCE}\nthen\n{FENCE}sh\nls\n{FENCE}")
     conv, turn = F.col("conv_id"), F.col("turn")
-    code = F.when(conv % 10 == 0, F.lit("1")).otherwise(F.lit("0"))
+    code = F.when(conv % 10 == 0, F.lit("1, again\nexit code: 0")).otherwise(F.lit("0"))
     usage = F.concat(
         F.lit("\nprompt_tokens="), (F.length("text") + conv % 7).cast("string"),
         F.lit(" completion_tokens="), (turn * 10 + conv % 5).cast("string"),
+        F.when(conv % 4 == 0, F.lit("\nprompt_tokens=11 completion_tokens=13")).otherwise(F.lit("")),
     )
     nothing = F.lit("")
     return t.conversations.select(
@@ -318,8 +319,9 @@ SQL_CHAT = """chat AS (
 SELECT conv_id, turn, role, text
   || CASE WHEN turn % 4 = 1 THEN chr(10) || '```python' || chr(10) || 'print(1)' || chr(10) || '```' || chr(10) || 'then'
      || chr(10) || '```sh' || chr(10) || 'ls' || chr(10) || '```' ELSE '' END
-  || CASE WHEN conv_id % 5 = 0 AND turn = 3 THEN chr(10) || 'exit code: ' || CASE WHEN conv_id % 10 = 0 THEN '1' ELSE '0' END ELSE '' END
+  || CASE WHEN conv_id % 5 = 0 AND turn = 3 THEN chr(10) || 'exit code: ' || CASE WHEN conv_id % 10 = 0 THEN '1, again' || chr(10) || 'exit code: 0' ELSE '0' END ELSE '' END
   || CASE WHEN role = 'assistant' THEN chr(10) || 'prompt_tokens=' || (length(text) + conv_id % 7)
-     || ' completion_tokens=' || (turn * 10 + conv_id % 5) ELSE '' END
+     || ' completion_tokens=' || (turn * 10 + conv_id % 5)
+     || CASE WHEN conv_id % 4 = 0 THEN chr(10) || 'prompt_tokens=11 completion_tokens=13' ELSE '' END ELSE '' END
   || CASE WHEN conv_id % 3 = 0 AND turn = 2 THEN ' STOP' ELSE '' END AS text
 FROM conversations)"""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from knotwork.functions.properties import prop_date
 from knotwork.operators import ingest as I
 from knotwork.operators import partitions as R
 from knotwork.operators.graph import partition_scan, range_scan
+from knotwork.operators.property_index import PropertyIndex
 from knotwork.operators.similarity import node_similarity
 from knotwork.plans import fixtures as X
 from knotwork.plans.fixtures import SQL_BAD_E, SQL_ORDER_V, SQL_USER_PROPS, SQL_V
@@ -18,7 +20,8 @@ from knotwork.plans.registry import Tables, query
 from knotwork.session import scratch_path
 from knotwork.sources import readers as S
 from knotwork.sources import writers as W
-from knotwork.streaming.flows import file_feed, reingest_vertices
+from knotwork.sources.snapshots import SnapshotTable
+from knotwork.streaming.flows import file_feed, reingest_edges, reingest_vertices
 
 
 # --- readers --------------------------------------------------------------
@@ -172,17 +175,34 @@ def _(t: Tables) -> DataFrame:
     return t.spark.read.parquet(path).select("label", "part", "id", "props")
 
 
-@query("rewrite_partitioned", f"""SELECT label, CASE WHEN o_key < 500000 THEN 'id_0' WHEN o_key < 1000000 THEN 'id_500000' ELSE 'id_1000000' END AS part,
-id FROM (SELECT *, external_id::BIGINT AS o_key FROM ({SQL_ORDER_V}))""")
+SQL_BY_ID = f"""SELECT label, CASE WHEN o_key < 500000 THEN 'id_0' WHEN o_key < 1000000 THEN 'id_500000' ELSE 'id_1000000' END AS part,
+id FROM (SELECT *, external_id::BIGINT AS o_key FROM ({SQL_ORDER_V}))"""
+
+
+def _rewritten(t: Tables) -> SnapshotTable:
+    """Orders loaded in two parts, then handed over in id partitions."""
+    table = SnapshotTable(t.spark, scratch_path(t.spark, "versions"))
+    first = F.col("external_id").cast("bigint") % 3 == 0
+    table.append(X.order_vertices(t).filter(first))
+    table.append(X.order_vertices(t).filter(~first))
+    table.rewrite(lambda df: R.id_range_partition(df, R.EDGE_ID_BOUNDS, F.col("external_id").cast("bigint")))
+    return table
+
+
+@query("rewrite_partitioned", SQL_BY_ID)
 def _(t: Tables) -> DataFrame:
-    source, target = scratch_path(t.spark, "source"), scratch_path(t.spark, "target")
-    X.order_vertices(t).write.parquet(source)
+    return _rewritten(t).read().select("label", "part", "id")
 
-    def by_id(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-        return R.id_range_partition(df, R.EDGE_ID_BOUNDS, F.col("external_id").cast("bigint"))
 
-    placed, _ = W.rewrite_partitioned(t.spark, source, target, by_id)
-    return placed.select("label", "part", "id")
+@query("snapshot_versions", f"""WITH o AS (SELECT external_id::BIGINT % 3 = 0 AS first, external_id FROM ({SQL_ORDER_V})),
+v AS (SELECT 1 AS version, external_id FROM o WHERE first UNION ALL SELECT 2, external_id FROM o UNION ALL SELECT 3, external_id FROM o)
+SELECT version::BIGINT AS version, ['append', 'append', 'rewrite'][version] AS operation, count(*) AS rows, max(external_id::BIGINT) AS last FROM v GROUP BY version""")
+def _(t: Tables) -> DataFrame:
+    """What readers of each version see."""
+    table = _rewritten(t)
+    seen = [table.read(v).select(F.lit(v).cast("bigint").alias("version"), F.col("external_id").cast("bigint").alias("last")) for v in table.versions()]
+    rows = reduce(DataFrame.unionByName, seen).groupBy("version").agg(F.max("last").alias("last"), F.count("*").alias("n"))
+    return table.history().join(rows, "version").filter("n = rows").select("version", "operation", "rows", "last")
 
 
 @query("table_sizes", f"""WITH {SQL_V} SELECT label, count(*) AS rows, true AS has_bytes, true AS has_files FROM v GROUP BY label""")
@@ -346,19 +366,39 @@ def _(t: Tables) -> DataFrame:
     ).unionByName(done.report.select(F.lit("report").alias("kind"), F.col("outcome").alias("name"), "n"))
 
 
+def _patterns(t: Tables) -> DataFrame:
+    """Every pair of a brand and a size that a product has, and the empty pattern on regions."""
+    wanted = t.part.select("p_brand", "p_size").distinct()
+    patterns = wanted.select(
+        F.concat("p_brand", F.lit("/"), F.col("p_size").cast("string")).alias("pattern_id"), F.lit("Product").alias("label"),
+        F.to_json(F.struct(F.col("p_brand").alias("brand"), F.col("p_size").alias("size"))).alias("props"),
+    )
+    return patterns.unionByName(
+        t.region.select(F.lit("any region").alias("pattern_id"), F.lit("Region").alias("label"), F.lit("{}").alias("props")).distinct()
+    )
+
+
 @query("merge_subset_match", f"""WITH {SQL_V},
 pat AS (SELECT DISTINCT 'Product' AS label, p_brand AS brand, p_size AS size FROM part)
 SELECT pat.brand || '/' || pat.size AS pattern_id, v.id FROM pat JOIN v ON v.label = pat.label
 AND v.props ->> '$.brand' = pat.brand AND (v.props ->> '$.size')::INT = pat.size
 UNION ALL SELECT 'any region', id FROM v WHERE label = 'Region'""")
 def _(t: Tables) -> DataFrame:
-    wanted = t.part.select("p_brand", "p_size").distinct()
-    patterns = wanted.select(
-        F.concat("p_brand", F.lit("/"), F.col("p_size").cast("string")).alias("pattern_id"), F.lit("Product").alias("label"),
-        F.to_json(F.struct(F.col("p_brand").alias("brand"), F.col("p_size").alias("size"))).alias("props"),
-    )
-    empty = t.region.select(F.lit("any region").alias("pattern_id"), F.lit("Region").alias("label"), F.lit("{}").alias("props")).distinct()
-    return I.merge_subset_match(X.vertices(t), patterns.unionByName(empty))
+    return I.merge_subset_match(X.vertices(t), _patterns(t))
+
+
+@query("merge_subset_match_indexed", f"""WITH {SQL_V},
+pat AS (SELECT DISTINCT 'Product' AS label, p_brand AS brand, p_size AS size FROM part)
+SELECT pat.brand || '/' || pat.size AS pattern_id, v.id FROM pat JOIN v ON v.label = pat.label
+AND v.props ->> '$.brand' = pat.brand AND (v.props ->> '$.size')::INT = pat.size
+UNION ALL SELECT 'any region', id FROM v WHERE label = 'Region'""")
+def _(t: Tables) -> DataFrame:
+    """The same patterns from an index that was built from a third of the vertices and kept up to date by two more loads."""
+    index, third = PropertyIndex(t.spark, scratch_path(t.spark, "index")), F.pmod(F.xxhash64("id"), F.lit(3))
+    for part in range(3):
+        index.add(X.vertices(t).filter(third == part))
+    index.compact()
+    return index.match(_patterns(t))
 
 
 @query("merge_triplets", f"""WITH {SQL_V},
@@ -420,3 +460,21 @@ def _(t: Tables) -> DataFrame:
     reingest_vertices(file_feed(t.spark, feed_path, feed.schema), store, state)
     feed.write.mode("append").parquet(feed_path)
     return reingest_vertices(file_feed(t.spark, feed_path, feed.schema), store, state)
+
+
+@query("idempotent_reingest_edges", """SELECT 'PLACED' AS label, o_custkey::VARCHAR AS start_ref, o_orderkey::VARCHAR AS end_ref FROM orders
+UNION ALL SELECT 'PLACED', o_custkey::VARCHAR, o_orderkey::VARCHAR FROM orders WHERE o_orderkey % 3 = 0""")
+def _(t: Tables) -> DataFrame:
+    """All orders by two feeds, delivered twice; then some of them again by a feed of its own."""
+    path, store = scratch_path(t.spark, "feed"), scratch_path(t.spark, "store")
+    k = F.col("o_orderkey")
+    all_orders = t.orders.select(
+        F.concat(F.lit("orders-"), (k % 2).cast("string")).alias("feed_id"), k.alias("row_no"),
+        F.lit("PLACED").alias("label"), F.col("o_custkey").cast("string").alias("start_ref"), k.cast("string").alias("end_ref"),
+    )
+    state = scratch_path(t.spark, "state")
+    all_orders.write.parquet(path)
+    reingest_edges(file_feed(t.spark, path, all_orders.schema), store, state)
+    all_orders.write.mode("append").parquet(path)
+    all_orders.filter(k % 3 == 0).withColumn("feed_id", F.lit("corrections")).write.mode("append").parquet(path)
+    return reingest_edges(file_feed(t.spark, path, all_orders.schema), store, state)

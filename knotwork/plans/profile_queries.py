@@ -156,15 +156,18 @@ def _(t: Tables) -> DataFrame:
     return C.code_blocks(X.chat(t))
 
 
-@query("executor_outcomes", f"""WITH {SQL_CHAT} SELECT conv_id, turn, regexp_extract(text, 'exit code: (\\d+)', 1)::INT AS exit_code,
-regexp_extract(text, 'exit code: (\\d+)', 1) = '0' AS success FROM chat WHERE regexp_matches(text, 'exit code: \\d+')""")
+@query("executor_outcomes", f"""WITH {SQL_CHAT}, c AS (SELECT conv_id, turn, regexp_extract_all(text, 'exit code: (\\d+)', 1) AS codes FROM chat),
+n AS (SELECT conv_id, turn, unnest(range(len(codes))) AS note, codes FROM c)
+SELECT conv_id, turn, note::INT AS note, codes[note + 1]::INT AS exit_code, codes[note + 1]::INT = 0 AS success FROM n""")
 def _(t: Tables) -> DataFrame:
     return C.executor_outcomes(X.chat(t))
 
 
-@query("token_usage", f"""WITH {SQL_CHAT} SELECT conv_id, role,
-coalesce(sum(try_cast(regexp_extract(text, 'prompt_tokens=(\\d+)', 1) AS BIGINT)), 0)::BIGINT AS prompt_tokens,
-coalesce(sum(try_cast(regexp_extract(text, 'completion_tokens=(\\d+)', 1) AS BIGINT)), 0)::BIGINT AS completion_tokens FROM chat GROUP BY ALL""")
+def _all_tokens(kind: str) -> str:
+    return f"coalesce(sum(list_sum(list_transform(regexp_extract_all(text, '{kind}_tokens=(\\d+)', 1), lambda n: try_cast(n AS BIGINT)))), 0)::BIGINT AS {kind}_tokens"
+
+
+@query("token_usage", f"WITH {SQL_CHAT} SELECT conv_id, role, {_all_tokens('prompt')}, {_all_tokens('completion')} FROM chat GROUP BY ALL")
 def _(t: Tables) -> DataFrame:
     return C.token_usage(X.chat(t))
 

@@ -1,86 +1,100 @@
 import datetime as dt
 import json
+import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from knotwork.operators import graph as G
 from knotwork.operators import ingest as I
+from knotwork.operators.property_index import PropertyIndex
 from knotwork.sources import readers as S
 from knotwork.sources import writers as W
-from knotwork.streaming.flows import file_feed, reingest_vertices
+from knotwork.streaming.flows import EdgeStore, file_feed, reingest_edges, reingest_vertices
 
-LINKS = [
-    ("Ines", "WORKS_AT", "Harbour Mill", "Company"), ("Tomas", "WORKS_AT", "Harbour Mill", "Company"),
-    ("Yuki", "WORKS_AT", "Fern & Sons", "Company"), ("Yuki", "KNOWS", "Ines", "Person"), ("Ines", "KNOWS", "Tomas", "Person"),
-]
+WORDS = "amber basalt cobalt dune ember fjord glacier heath islet jetty kelp lagoon".split()
 
 
 def counts(df):
     return {r["label"]: r["n"] for r in G.count_by_label(df).collect()}
 
 
+def dispatches(seed=11, n=90):
+    """Movements between ports: (ship, predicate, port or berth); names repeat across kinds, rows repeat."""
+    chance = random.Random(seed)
+    rows = []
+    for _ in range(n):
+        predicate = chance.choice(["CALLED_AT", "MOORED_AT", "PASSED"])
+        rows.append((f"{chance.choice(WORDS)} {chance.randrange(4)}", predicate, chance.choice(WORDS), "Berth" if predicate == "MOORED_AT" else "Port"))
+    return rows + chance.sample(rows, n // 5)
+
+
 def test_name_triplets(spark):
-    feed = spark.createDataFrame(LINKS, "subject string, predicate string, object string, o_label string")
-    v, e = S.read_triplets3(feed, F.lit("Person"), F.col("o_label"))
-    assert counts(v) == {"Person": 3, "Company": 2} and counts(e) == {"WORKS_AT": 3, "KNOWS": 2}
-    v7, _ = S.read_triplets3(feed, F.lit("Person"), F.lit("Company"))
-    assert counts(v7) == {"Person": 3, "Company": 4}
-    again = I.merge_vertices(v, v)
-    assert again.count() == v.count()
-    assert counts(e.unionByName(e)) == {"WORKS_AT": 6, "KNOWS": 4}
-
-
-TRIPLETS = [
-    ("Person", {"id": "p-7", "name": "Ines"}, "WORKS_AT", {"since": "2019-09-02"}, "Company", {"id": "k-1", "name": "Harbour Mill"}),
-    ("Person", {"id": "p-8", "name": "Tomas"}, "WORKS_AT", {}, "Company", {"id": "k-2", "name": "Fern & Sons"}),
-    ("Person", {"id": "p-9", "name": "Ines"}, "PURCHASED", {"pieces": 3, "paid": False, "day": "2025-02-11"}, "Product", {"id": "a-4", "name": "Lamp"}),
-    ("Person", {"id": "p-9", "name": "Ines"}, "PURCHASED", {"pieces": 3, "paid": False, "day": "2025-02-11"}, "Product", {"id": "a-4", "name": "Lamp"}),
-    ("Company", {"id": "k-2", "name": "Fern & Sons"}, "LOCATED_IN", {"floor": 2.5}, "City", {"id": "c-3", "name": "Tartu"}),
-]
+    rows = dispatches()
+    feed = spark.createDataFrame(rows, "subject string, predicate string, object string, o_label string")
+    v, e = S.read_triplets3(feed, F.lit("Ship"), F.col("o_label"))
+    named = {("Ship", s) for s, *_ in rows} | {(label, o) for *_, o, label in rows}
+    assert counts(v) == Counter(label for label, _ in named) and counts(e) == Counter(p for _, p, *_ in rows)
+    one_kind, _ = S.read_triplets3(feed, F.lit("Ship"), F.lit("Port"))
+    assert counts(one_kind) == {"Ship": len({s for s, *_ in rows}), "Port": len({o for *_, o, _ in rows})}
+    assert I.merge_vertices(v, v).count() == v.count()
+    assert counts(e.unionByName(e)) == {p: 2 * n for p, n in counts(e).items()}
+
+
 TRIPLET_SCHEMA = "s_label string, s_props string, predicate string, e_props string, o_label string, o_props string"
 
 
-def triplet_frame(spark, rows=TRIPLETS):
+def cargo(seed=12, n=60):
+    """Ships that load cargo: the same name under two registry numbers, typed values, repeated rows."""
+    chance = random.Random(seed)
+    ships = [{"id": i, "name": WORDS[i % 5], "ice_class": chance.random() < 0.5} for i in range(8)]
+    goods = [{"id": f"{w[:2]}{i}", "tons": chance.choice([1, 1.5, "1"])} for i, w in enumerate(WORDS)]
+    rows = []
+    for _ in range(n):
+        e = chance.choice([{}, {"holds": chance.randrange(3)}, {"sealed": True, "at": "2024-03-0" + str(chance.randrange(1, 9))}])
+        rows.append(("Ship", chance.choice(ships), chance.choice(["LOADED", "SHED"]), e, "Cargo", chance.choice(goods)))
+    return rows + rows[:7]
+
+
+def triplet_frame(spark, rows):
     return spark.createDataFrame([tuple(json.dumps(x) if isinstance(x, dict) else x for x in r) for r in rows], TRIPLET_SCHEMA)
 
 
+def canonical(props):
+    return json.dumps(props, sort_keys=True, separators=(",", ":"))
+
+
 def test_property_triplets(spark):
-    v, e = S.read_triplets6(triplet_frame(spark))
-    assert counts(v) == {"Person": 3, "Company": 2, "Product": 1, "City": 1}
-    assert counts(e) == {"WORKS_AT": 2, "PURCHASED": 2, "LOCATED_IN": 1}
-    props = {r["label"]: r["props"] for r in e.collect()}
-    assert props["PURCHASED"] == '{"day":"2025-02-11","paid":false,"pieces":3}' and props["LOCATED_IN"] == '{"floor":2.5}'
-    v5, e5 = S.read_triplets5(triplet_frame(spark).drop("e_props"))
-    assert v5.count() == 7 and e5.count() == 5
+    rows = cargo()
+    v, e = S.read_triplets6(triplet_frame(spark, rows))
+    assert counts(v) == Counter(label for label, _ in {(r[i], canonical(r[i + 1])) for r in rows for i in (0, 4)})
+    assert Counter((r["label"], r["props"]) for r in e.collect()) == Counter((r[2], canonical(r[3])) for r in rows)
+    v5, e5 = S.read_triplets5(triplet_frame(spark, rows).drop("e_props"))
+    assert v5.count() == v.count() and e5.count() == len(rows)
     assert I.create_edges(v, e)[1].count() == 0
 
 
 def test_documents(spark, tmp_path):
-    doc = {
-        "vertices": [
-            {"label": "Person", "external_id": "person_1", "properties": {"name": "Old", "age": 1}},
-            {"label": "Person", "external_id": "person_1", "properties": {"name": "Ines", "age": 41}},
-            {"label": "Company", "external_id": "company_1", "properties": {"name": "Harbour Mill"}},
-            {"label": "Product", "external_id": "company_1", "properties": {"weight": 1.5}},
-        ],
-        "edges": [
-            {"label": "WORKS_AT", "start_vertex_id": "person_1", "end_vertex_id": "company_1",
-             "start_vertex_label": "Person", "end_vertex_label": "Company", "properties": {"hours": 30}},
-            {"label": "KNOWS", "start_vertex_id": 0, "end_vertex_id": "person_1"},
-            {"label": "LOST", "start_vertex_id": "person_1", "end_vertex_id": "company_9", "end_vertex_label": "Company", "properties": {}},
-            {"label": "UNSURE", "start_vertex_id": "person_1", "end_vertex_id": "company_1", "properties": {}},
-        ],
-    }
-    path = tmp_path / "doc.json"
-    path.write_text(json.dumps(doc, indent=1))
+    """Berths with the ids of cranes, a crane given twice, links by outer and by inner id, and three that lead nowhere."""
+    cranes = [{"label": "Crane", "external_id": f"#{i % 4}", "properties": {"reach": 10 + i}} for i in range(5)]
+    berths = [{"label": "Berth", "external_id": f"#{i}", "properties": {}} for i in range(2, 6)]
+    ends = [
+        ("SERVES", "#0", "Crane", "#3", "Berth", "accepted"), ("SERVES", 104, "Crane", 106, "Berth", "accepted"),
+        ("NEXT_TO", "#5", None, "#4", None, "accepted"), ("SERVES", "#1", "Crane", "#9", "Berth", "end unresolved"),
+        ("SERVES", "#1", "Crane", "#2", None, "end ambiguous"), ("SERVES", "#7", "Crane", "#2", "Berth", "start unresolved"),
+    ]
+    links = [
+        {k: x for k, x in zip(("label", "start_vertex_id", "start_vertex_label", "end_vertex_id", "end_vertex_label"), r) if x is not None} | {"properties": {}}
+        for r in ends
+    ]
+    path = tmp_path / "quay.json"
+    path.write_text(json.dumps({"vertices": cranes + berths, "edges": links}, indent=1))
     v, e = S.read_graph_document(spark, str(path))
-    v = v.withColumn("id", F.col("pos") * 10)
-    resolved, rejected = I.resolve_endpoints(e, I.last_wins_ids(v))
-    ok = {r["label"]: (r["start_id"], r["end_id"]) for r in resolved.collect()}
-    assert ok == {"WORKS_AT": (10, 20), "KNOWS": (0, 10)}
-    report = {r["outcome"]: r["n"] for r in I.ingest_report(resolved, rejected).collect()}
-    assert report == {"accepted": 2, "end unresolved": 1, "end ambiguous": 1}
+    resolved, rejected = I.resolve_endpoints(e, I.last_wins_ids(v.withColumn("id", F.col("pos") + 100)))
+    found = sorted((r["label"], r["start_id"], r["end_id"]) for r in resolved.collect())
+    assert found == [("NEXT_TO", 108, 107), ("SERVES", 104, 106), ("SERVES", 104, 106)]  # the later crane has the id
+    assert {r["outcome"]: r["n"] for r in I.ingest_report(resolved, rejected).collect()} == Counter(r[-1] for r in ends)
 
 
 def test_csv_files(spark, tmp_path):
@@ -96,27 +110,35 @@ def test_csv_files(spark, tmp_path):
     assert dict(table.dtypes)["since"] == "int"
 
 
-FEED = [
-    ("Person", {"id": "x1", "name": "Ines Kask", "age": 41}), ("Person", {"id": "x2", "name": "Tomas Rebane"}),
-    ("Company", {"id": "y1", "name": "Harbour Mill", "field": "Flour"}), ("Company", {"id": "y2", "name": "Fern & Sons"}),
-    ("City", {"id": "z1", "name": "Tartu"}), ("City", {"id": "z2", "name": "Narva"}),
-]
-PATTERNS = [
-    ("Person", {"id": "Ines Kask"}, "WORKS_AT", {}, "Company", {"name": "Harbour Mill"}),  # nobody has that id
-    ("Company", {"name": "Fern & Sons"}, "LOCATED_IN", {"since": 1990}, "City", {"id": "z1"}),
-    ("Person", {"name": "Tomas Rebane"}, "LOCATED_IN", {}, "City", {}),
-    ("Company", {"field": "Flour", "name": "Harbour Mill"}, "SUPPLIES", {}, "Company", {"name": "Fern & Sons"}),
-]
+def contains(whole, part):
+    return all(k in whole and type(whole[k]) is type(v) and whole[k] == v for k, v in part.items())
 
 
 def test_merge_by_containment(spark):
-    stored = spark.createDataFrame([(l, json.dumps(p, sort_keys=True), f"v{i}") for i, (l, p) in enumerate(FEED)], "label string, props string, id string")
-    grown, edges = I.merge_triplets(stored, triplet_frame(spark, PATTERNS))
-    assert grown.count() == 7
-    ends = sorted((r["label"], r["end_id"]) for r in edges.collect())
-    assert ends == [("LOCATED_IN", "v4"), ("LOCATED_IN", "v4"), ("LOCATED_IN", "v5"), ("SUPPLIES", "v3"), ("WORKS_AT", "v2")]
-    twice, more = I.merge_triplets(grown, triplet_frame(spark, PATTERNS))
-    assert twice.count() == 7 and more.count() == 5
+    """Whole, partial, empty and unmatched patterns bind what plain Python finds; a second load creates nothing."""
+    chance = random.Random(13)
+    stored = [(label, {"no": i, "kind": WORDS[i % 3], "deep": i % 2 == 0}) for i, label in enumerate(chance.choices(["Dock", "Lock", "Canal"], k=24))]
+    patterns = [{"kind": WORDS[0]}, {"kind": WORDS[1], "deep": True}, {"no": 5}, {"no": "5"}, {"kind": "none"}, {}]
+    rows = []
+    for _ in range(25):
+        a, b = chance.choices(["Dock", "Lock", "Canal"], k=2)
+        rows.append((a, chance.choice(patterns), chance.choice(["FEEDS", "DRAINS"]), {"gate": chance.randrange(2)}, b, chance.choice(patterns)))
+    frame = spark.createDataFrame([(label, canonical(p), f"v{i}") for i, (label, p) in enumerate(stored)], "label string, props string, id string")
+    bound = {
+        (label, canonical(p)): [f"v{i}" for i, (other, whole) in enumerate(stored) if other == label and contains(whole, p)]
+        for r in rows for label, p in (r[:2], r[4:])
+    }
+    created = [k for k, ids in bound.items() if not ids]
+    expected = Counter(
+        (r[2], len(bound[r[0], canonical(r[1])]) > 0, len(bound[r[4], canonical(r[5])]) > 0)
+        for r in rows for _ in range(max(1, len(bound[r[0], canonical(r[1])])) * max(1, len(bound[r[4], canonical(r[5])])))
+    )
+    grown, edges = I.merge_triplets(frame, triplet_frame(spark, rows))
+    assert grown.count() == len(stored) + len(created)
+    found = [(r["label"], r["start_id"].startswith("v"), r["end_id"].startswith("v")) for r in edges.collect()]
+    assert Counter(found) == expected
+    twice, more = I.merge_triplets(grown, triplet_frame(spark, rows))
+    assert twice.count() == grown.count() and more.count() >= len(found)
 
 
 def test_typed_values_do_not_match_text(spark):
@@ -185,6 +207,78 @@ def test_reingest_adds_nothing(spark, tmp_path):
         assert out.count() == 2
 
 
+def edge_feed(spark, feed_id, pairs):
+    rows = [(feed_id, i, "E", a, b) for i, (a, b) in enumerate(pairs)]
+    return spark.createDataFrame(rows, "feed_id string, row_no bigint, label string, start_id bigint, end_id bigint")
+
+
+def test_edge_feeds_are_loaded_exactly_once(spark, tmp_path):
+    path, store = str(tmp_path / "feed"), str(tmp_path / "store")
+    first = edge_feed(spark, "a", [(i % 5, i % 3) for i in range(40)])
+    first.write.parquet(path)
+    assert reingest_edges(file_feed(spark, path, first.schema, 1), store, str(tmp_path / "s1")).count() == 40
+    first.filter("row_no < 25").write.mode("append").parquet(path)  # part of it again
+    edge_feed(spark, "b", [(1, 2), (1, 2), (0, 0)]).write.mode("append").parquet(path)  # a new feed with repeats
+    got = reingest_edges(file_feed(spark, path, first.schema, 1), store, str(tmp_path / "s1"))
+    assert got.count() == 43 and got.columns == ["label", "start_id", "end_id"]
+    assert got.filter("start_id = 1 and end_id = 2").count() == 2 + sum(i % 5 == 1 and i % 3 == 2 for i in range(40))
+    again = reingest_edges(file_feed(spark, path, first.schema), store, str(tmp_path / "s2"))  # everything by another stream
+    assert again.count() == 43
+    assert {r["feed_id"]: r["n"] for r in EdgeStore(spark, store, first.schema).ledger().groupBy("feed_id").agg(F.sum("rows").alias("n")).collect()} == {"a": 40, "b": 3}
+
+
+def test_a_batch_that_fails_half_way_is_not_seen_and_replaced(spark, tmp_path, monkeypatch):
+    store, feed = EdgeStore(spark, str(tmp_path / "store"), edge_feed(spark, "a", [(0, 0)]).schema), edge_feed(spark, "a", [(i, i) for i in range(10)])
+    whole = EdgeStore._enter
+
+    def failing(*args):
+        raise OSError("lost")
+
+    monkeypatch.setattr(EdgeStore, "_enter", failing)
+    with pytest.raises(OSError):
+        store.load(feed, "x-0")
+    assert store.edges().count() == 0
+    monkeypatch.setattr(EdgeStore, "_enter", whole)
+    store.load(feed, "y-0")  # another stream brings the feed before the first one is repeated
+    assert store.edges().count() == 10
+    store.load(feed, "x-0")
+    assert store.edges().count() == 10
+
+
+def test_only_the_buckets_of_known_feeds_are_read(spark, tmp_path):
+    store = EdgeStore(spark, str(tmp_path / "store"), edge_feed(spark, "a", [(0, 0)]).schema)
+    for n, name in enumerate("abcdefgh"):
+        store.load(edge_feed(spark, name, [(i, n) for i in range(5)]), f"x-{n}")
+    read = store.known_rows(edge_feed(spark, "c", [(0, 0)]), "x-9").collect()
+    assert len(read) == 5
+    plan = store.known_rows(edge_feed(spark, "c", [(0, 0)]), "x-9")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "bucket#" in plan
+    assert store.known_rows(edge_feed(spark, "new", [(0, 0)]), "x-9").count() == 0
+
+
+def test_index_kept_up_to_date_equals_a_rebuild(spark, tmp_path):
+    chance, index, stored = random.Random(14), PropertyIndex(spark, str(tmp_path / "index")), []
+    for load in range(10):
+        rows = [("T" if chance.random() < 0.7 else "U", 100 * load + i, canonical({k: chance.randrange(3) for k in chance.sample("abcd", chance.randrange(4))})) for i in range(12)]
+        created = index.merge(spark.createDataFrame(rows, "label string, id bigint, props string")).collect()
+        for label, i, props in sorted(rows, key=lambda r: r[1]):
+            fresh = not any(o == label and contains(json.loads(w), json.loads(props)) for o, _, w in stored if _ < 100 * load)
+            if fresh and not any(o == label and w == props for o, _, w in stored):
+                stored.append((label, i, props))
+        assert {(r["label"], r["props"]) for r in created} <= {(o, w) for o, _, w in stored}
+        if load == 6:
+            index.compact()
+            assert len(index.table.entry()["writes"]) == 1
+    frame = spark.createDataFrame(stored, "label string, id bigint, props string")
+    as_rows = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    assert as_rows(index.read()) == as_rows(PropertyIndex.entries_of(frame).select(*index.read().columns))
+    patterns = [(f"p{i}", chance.choice("TU"), canonical({k: chance.choice([0, 1, 2, "1", 9]) for k in chance.sample("abcd", chance.randrange(4))})) for i in range(30)]
+    want = sorted((p, i) for p, label, props in patterns for o, i, w in stored if o == label and contains(json.loads(w), json.loads(props)))
+    found = index.match(spark.createDataFrame(patterns, "pattern_id string, label string, props string"))
+    assert sorted(map(tuple, found.collect())) == want
+    assert "props" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("key", ["props", "name"])
 def test_batch_duplicates(spark, key):
     rows = spark.createDataFrame([("T", "x", 2), ("T", "x", 1), ("T", "y", 3)], f"label string, {key} string, n int")

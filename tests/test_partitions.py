@@ -100,13 +100,6 @@ def test_write_prune_and_rewrite(spark, tmp_path):
     page = G.table_page(stored, "Order", 3, "y2024").collect()
     assert [r["id"] for r in page] == [365, 366, 367] and page[0]["total"] == 366
 
-    new, refused = W.rewrite_partitioned(
-        spark, path, str(tmp_path / "new"), lambda df: R.id_range_partition(df.drop("part"), [(0, 500), (600, None)], F.col("id"))
-    )
-    assert new.count() == 900 and refused.count() == 100 and spark.read.parquet(path).count() == 1000
-    with pytest.raises(RuntimeError):
-        W.rewrite_partitioned(spark, path, str(tmp_path / "bad"), lambda df: (df.filter("id > 5"), df.filter("id < 0")))
-
 
 def test_bucketed_tables_join_without_shuffle(spark, tmp_path):
     v = spark.range(200).select("id", F.lit("T").alias("label"))

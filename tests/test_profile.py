@@ -145,8 +145,8 @@ def test_quantiles_of_a_heavy_tail_take_three_scans(spark, tmp_path):
 CHAT = [
     (1, 0, "user", "primes please"),
     (1, 1, "ProblemSolverExpert", "try\n```python\nprint(2)\n```\nand\n```bash\nls\n```\nprompt_tokens=177 completion_tokens=225"),
-    (1, 2, "CodeExecutorAgent", "exit code: 1\nboom"),
-    (1, 3, "ProblemSolverExpert", "done, stop... STOP prompt_tokens=429 completion_tokens=193"),
+    (1, 2, "CodeExecutorAgent", "exit code: 1\nboom\nexit code: 0 exit code: 99999999999"),
+    (1, 3, "ProblemSolverExpert", "done, stop... STOP prompt_tokens=429 completion_tokens=193; again prompt_tokens=1000 completion_tokens=5"),
     (1, 4, "user", "late"),
     (2, 0, "user", "stop"), (2, 1, "CodeExecutorAgent", "exit code: 0"),
 ]
@@ -160,6 +160,7 @@ def test_conversations(spark):
     assert {r["reason"] for r in C.truncate_conversation(chat, 2).collect() if r["conv_id"] == 1} == {"max turns"}
     blocks = [(r["block"], r["language"], r["body"]) for r in C.code_blocks(chat).orderBy("block").collect()]
     assert blocks == [(0, "python", "print(2)\n"), (1, "bash", "ls\n")]
-    assert {(r["exit_code"], r["success"]) for r in C.executor_outcomes(chat).collect()} == {(1, False), (0, True)}
+    outcomes = sorted((r["conv_id"], r["note"], r["exit_code"], r["success"]) for r in C.executor_outcomes(chat).collect())
+    assert outcomes == [(1, 0, 1, False), (1, 1, 0, True), (2, 0, 0, True)]
     usage = {r["role"]: (r["prompt_tokens"], r["completion_tokens"]) for r in C.token_usage(chat).filter("conv_id = 1").collect()}
-    assert usage["ProblemSolverExpert"] == (606, 418) and usage["user"] == (0, 0)
+    assert usage["ProblemSolverExpert"] == (1606, 423) and usage["user"] == (0, 0)
