@@ -26,6 +26,8 @@ DEVIATIONS = 4
 HEAD_ROUNDS = 2
 #: A cell compares at most about so many sets, of so many elements in all, with as many others.
 CELL_SETS, CELL_ELEMENTS = 1024, 1 << 21
+#: Pairs of a cell that are estimated together.
+CELL_PAIRS = 16_384
 #: Elements hashed at a time; a set of any size is sketched in parts of so many, which are merged.
 ELEMENTS_AT_ONCE = 512
 
@@ -110,7 +112,7 @@ class SetSketch:
         same = np.maximum(1 - more - less, 1e-12)
         return above * np.log(more) + below * np.log(less) + (self.size - above - below) * np.log(same)
 
-    def estimate(self, n_a: np.ndarray, n_b: np.ndarray, a: np.ndarray, b: np.ndarray, steps: int = 30) -> np.ndarray:
+    def estimate(self, n_a: np.ndarray, n_b: np.ndarray, a: np.ndarray, b: np.ndarray, steps: int = 18) -> np.ndarray:
         """Maximum-likelihood Jaccard similarity of pairs of register rows, by golden-section search."""
         n_a, n_b = n_a.astype(np.float64), n_b.astype(np.float64)
         above, below = (a > b).sum(axis=1), (a < b).sum(axis=1)
@@ -212,6 +214,23 @@ def _linked(pairs: DataFrame, sets: DataFrame, bodies: DataFrame, similarity: fl
     return written(arrow_map(with_both(some, bodies, "elements"), exact, "a bigint, b bigint"), "exact-links")
 
 
+def _cell_pairs(cluster: np.ndarray, n: np.ndarray, side: np.ndarray, earlier: np.ndarray, least: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs of a cell that are apart, of fitting sizes, and not brought together by an earlier band; about ``CELL_PAIRS`` at a time."""
+    held, size = [], 0
+    for i in range(len(n) - 1):
+        others = np.arange(i + 1, len(n))
+        others = others[(cluster[others] != cluster[i]) & ((side[others] != side[i]) | (side[i] == 2))]
+        others = others[10_000 * np.minimum(n[others], n[i]) >= least * np.maximum(n[others], n[i])]
+        if len(others):
+            others = others[~(earlier[others] == earlier[i]).any(axis=1)]
+            held.append((np.full(len(others), i), others))
+            size += len(others)
+        if size >= CELL_PAIRS or i == len(n) - 2:
+            if size:
+                yield tuple(np.concatenate(x) for x in zip(*held))
+            held, size = [], 0
+
+
 def cell_links(rows: list[tuple], similarity: float, sketch: SetSketch) -> list[tuple[int, int]]:
     """Links that connect what the pairs of one cell connect; each row is (key, cluster, n, side, band, registers, elements).
 
@@ -223,20 +242,14 @@ def cell_links(rows: list[tuple], similarity: float, sketch: SetSketch) -> list[
     key, cluster, n, side = (np.array([r[i] for r in rows]) for i in range(4))
     band, elements = rows[0][4], [np.frombuffer(r[6], dtype=np.uint64) for r in rows]
     registers = np.frombuffer(b"".join(r[5] for r in rows), dtype=np.uint8).reshape(len(rows), sketch.size)
-    least, found = round(10_000 * similarity), []
-    for i in range(len(rows)):
-        others = np.arange(i + 1, len(rows))
-        others = others[(cluster[others] != cluster[i]) & ((side[others] != side[i]) | (side[i] == 2))]
-        others = others[10_000 * np.minimum(n[others], n[i]) >= least * np.maximum(n[others], n[i])]
-        if not len(others):
-            continue
-        same = (registers[others] == registers[i]).reshape(len(others), sketch.bands, sketch.rows).all(axis=2)
-        others = others[same.argmax(axis=1) == band]
-        if not len(others):
-            continue
-        again = np.broadcast_to(registers[i], (len(others), sketch.size))
-        others = others[_near_enough(sketch, similarity, np.full(len(others), n[i]), n[others], again, registers[others])]
-        for j in others.tolist():
+    bands = registers.reshape(len(rows), sketch.bands, sketch.rows)[:, :band]
+    earlier = np.empty((len(rows), band), dtype=np.int32)  # equal numbers for equal registers
+    for i in range(band):
+        earlier[:, i] = np.unique(bands[:, i], axis=0, return_inverse=True)[1].reshape(-1)
+    found = []
+    for a, b in _cell_pairs(cluster, n, side, earlier, round(10_000 * similarity)):
+        near = _near_enough(sketch, similarity, n[a], n[b], registers[a], registers[b])
+        for i, j in zip(a[near].tolist(), b[near].tolist()):
             if cluster[j] != cluster[i] and reaches(elements[i], elements[j], similarity):
                 found.append((int(key[i]), int(key[j])))
                 cluster[cluster == cluster[j]] = cluster[i]
