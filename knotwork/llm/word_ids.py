@@ -2,15 +2,18 @@
 
 The ids are those of the tokenizers library for the whole text. Texts are cut
 only where no token can cross: at ASCII white space for tokenizers that drop
-white space, before a single space for byte-level ones.
+white space, before a single space for byte-level ones. A text that holds the
+string of a special token goes to the library whole, which gives that token.
 """
 
 from __future__ import annotations
 
+import os
 import re
+import sys
+from array import array
 from functools import lru_cache
 
-import numpy as np
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
@@ -21,12 +24,23 @@ _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!\"#$%&()*+,./:;<=>?@\[\\\]^_`
 
 def byte_letters(text: str) -> str:
     """A text as byte-level vocabularies write it, one letter for each byte."""
-    return _byte_level().pre_tokenize_str(text)[0][0] if text else ""
+    return text.encode("utf-8", "surrogatepass").decode("latin-1").translate(_letters())
 
 
 @lru_cache(maxsize=1)
-def _byte_level() -> ByteLevel:
-    return ByteLevel(add_prefix_space=False, use_regex=False)
+def _letters() -> dict[int, str]:
+    """The letter of each byte that occurs in UTF-8, as the library writes characters that hold it."""
+    level = ByteLevel(add_prefix_space=False, use_regex=False)
+    samples = [*range(0x800), *range(0x800, 0xD000, 0x100), *range(0xE000, 0x110000, 0x1000)]
+    return {b: x for c in samples for b, x in zip(chr(c).encode(), level.pre_tokenize_str(chr(c))[0][0])}
+
+
+def packed(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit numbers."""
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
 
 
 class _Words(dict):
@@ -35,11 +49,20 @@ class _Words(dict):
     def __init__(self, path: str, limit: int) -> None:
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.model, self.limit, self.parts = self.tokenizer.model, limit, {}
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # any case, as some tokenizers look for them after lower-casing; signs that all begin with are sought first
+        self.added = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True))), re.IGNORECASE) if added else None
+        self.signs = re.match(r"[^\w\s]*", os.path.commonprefix(added))[0]
+
+    def ids(self, text: str) -> bytes:
+        """Ids of a whole text."""
+        if self.added is not None and self.signs in text and self.added.search(text):
+            return self.encode(text)
+        return self.plain_ids(text)
 
     def encode(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def part(self, letters: str) -> bytes:
         """Ids of one pre-token."""
@@ -47,7 +70,7 @@ class _Words(dict):
         if found is None:
             if len(self.parts) >= self.limit:
                 self.parts.clear()
-            found = np.array([t.id for t in self.model.tokenize(byte_letters(letters))], dtype="<u4").tobytes()
+            found = packed([t.id for t in self.model.tokenize(byte_letters(letters))])
             self.parts[letters] = found
         return found
 
@@ -67,7 +90,7 @@ class DroppedSpace(_Words):
             return self.part(plain[1].lower()) + (self.part(plain[2]) if plain[2] else b"")
         return self.encode(text)
 
-    def ids(self, text: str) -> bytes:
+    def plain_ids(self, text: str) -> bytes:
         return b"".join(map(self.__getitem__, text.encode("utf-8", "surrogatepass").split()))
 
 
@@ -81,7 +104,7 @@ class LeadingSpace(_Words):
             return self.part(" " + plain[1]) + (self.part(plain[2]) if plain[2] else b"")
         return self.encode(" " + word)
 
-    def ids(self, text: str) -> bytes:
+    def plain_ids(self, text: str) -> bytes:
         if not text:
             return b""
         if self._RUN.search(text):  # runs of white space are tokens of their own

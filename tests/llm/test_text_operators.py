@@ -34,8 +34,9 @@ def odd(spark):
     """Null, empty, blank, repeated, very long and strange texts; null and repeated ids."""
     chance = random.Random(2)
     words = [chance.choice(PROSE.split()) + chance.choice(["", ",", ".", "é", "'s"]) for _ in range(30_000)]
-    texts = [PROSE, None, "", "   \n\t ", PROSE, PROSE, " ".join(words), "Ünï côdé 漢字 ▁ \x00 two  spaces\n\n end ", "<|endoftext|> <s> a", "z", None]
-    ids = [5, 6, 7, 8, 9, 5, 10, 11, None, 12, None]
+    texts = [PROSE, None, "", "   \n\t ", PROSE, PROSE, " ".join(words), "Ünï côdé 漢字 ▁ \x00 two  spaces\n\n end ", "<|endoftext|> <s> a", "z", None,
+        "a <|endoftext|> b", "x<|startoftext|><|endoftext|>  <|ENDOFTEXT|>y <|endoftext|><|endoftext|>", "no <|end of it |> here"]
+    ids = [5, 6, 7, 8, 9, 5, 10, 11, None, 12, None, 13, 14, 15]
     return documents(spark, texts, ids).repartition(3), list(zip(ids, texts))
 
 
@@ -161,7 +162,6 @@ def test_id_files_round_trip(spark, odd, empty):
     manifest = token_files.write_id_files(docs, scratch_path(spark, "test-ids"), path, 2)
     got = sorted(token_files.read_id_files(manifest).collect(), key=lambda r: r.start)
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     want = {}
     for doc_id, text in rows:
         ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [2]
@@ -189,7 +189,6 @@ def test_packing_places_every_token_once(spark, odd, empty):
     path = tokens.path("byte_bpe_50k.json")
     got = packing.pack(docs, path, 2, capacity=64).toPandas()
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     want = []
     for doc_id, text in rows:
         ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [2]
