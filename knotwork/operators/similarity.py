@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from knotwork.operators.skew import fragment_join
 from knotwork.session import written
+from knotwork.sources.bucketed import Bucketed
 
 METRICS = ("jaccard", "overlap", "weighted_jaccard", "cosine")
 EPS = 1e-9
@@ -389,12 +390,22 @@ def similarity_desc(scores: DataFrame) -> DataFrame:
 
 
 class Existing(NamedTuple):
-    """Existing nodes prepared once for any number of new batches."""
+    """Existing nodes prepared once for any number of new batches, and where they are stored by ``store_existing``."""
 
     sets: NeighborSets
     weights: DataFrame
     unseen: float
     metric: str
+    stored: StoredSets | None = None
+
+
+class StoredSets(NamedTuple):
+    """The tables of an existing side by hash: weights and entries of the neighbour, members and entries again of the profile."""
+
+    weights: Bucketed
+    entries: Bucketed
+    members: Bucketed
+    by_profile: Bucketed
 
 
 def prepare_existing(existing: DataFrame, metric: str = "cosine") -> Existing:
@@ -413,6 +424,21 @@ def prepare_existing(existing: DataFrame, metric: str = "cosine") -> Existing:
     return Existing(sets, weights, unseen, metric)
 
 
+def store_existing(existing: Existing, path: str, rows_per_bucket: int | None = None) -> Existing:
+    """Store the existing side so that a batch reads what it meets, not the whole side.
+
+    Buckets keep their size when the side grows, and so does what a batch of a given size reads.
+    """
+    sets = existing.sets
+    stored = StoredSets(
+        Bucketed.store(existing.weights, "neighbor", f"{path}/weights", rows_per_bucket),
+        Bucketed.store(sets.entries, "neighbor", f"{path}/entries", rows_per_bucket),
+        Bucketed.store(sets.members, "profile", f"{path}/members", rows_per_bucket),
+        Bucketed.store(sets.entries, "profile", f"{path}/profiles", rows_per_bucket),
+    )
+    return existing._replace(stored=stored)
+
+
 def best_existing(new: DataFrame, existing: Existing, cutoff: float = 0.45) -> DataFrame:
     """For each new node the most similar existing node ``(node1, node2, score)``, if any reaches the cutoff.
 
@@ -421,17 +447,20 @@ def best_existing(new: DataFrame, existing: Existing, cutoff: float = 0.45) -> D
     if cutoff <= 0:
         raise ValueError("a positive cutoff is needed")
     metric, b = existing.metric, existing.sets
-    a = neighbor_profiles(_weigh(new, existing.weights, existing.unseen), metric)
     # of the existing side only what the batch can meet is moved, and then the whole sets of candidates
-    asked = written(a.entries.select("neighbor").distinct(), "asked")
-    near = b.entries.join(asked, "neighbor", "left_semi")
+    asked, stored = written(new.select("neighbor").distinct(), "asked"), existing.stored
+    weights = existing.weights if stored is None else stored.weights.rows_of(asked)
+    a = neighbor_profiles(_weigh(new, weights, existing.unseen), metric)
+    near = b.entries.join(asked, "neighbor", "left_semi") if stored is None else stored.entries.rows_of(asked)
     new_small = _meet(a.entries, near, metric, cutoff, 1, F.col("my") <= F.col("mx")).select(
         F.col("y").alias("x"), F.col("x").alias("y")
     )
     new_large = _meet(near, a.entries, metric, cutoff, 1, F.col("my") < F.col("mx"))
     candidates = written(new_small.unionByName(new_large), "candidates")
-    whole = b.entries.join(candidates.select(F.col("y").alias("profile")).distinct(), "profile", "left_semi")
-    scored = _scored(candidates, a, NeighborSets(whole, b.members, b.direct), metric, cutoff, 1)
+    found = written(candidates.select(F.col("y").alias("profile")).distinct(), "candidate-profiles")
+    whole = b.entries.join(found, "profile", "left_semi") if stored is None else stored.by_profile.rows_of(found)
+    members = b.members if stored is None else stored.members.rows_of(found)
+    scored = _scored(candidates, a, NeighborSets(whole, members, b.direct), metric, cutoff, 1)
     best = scored.groupBy("x").agg(F.min(F.struct((-F.col("score")).alias("below"), "y")).alias("b"))
     return a.membership.join(best.withColumnRenamed("x", "profile"), "profile").select(
         F.col("node").alias("node1"), F.col("b.y").alias("node2"), (-F.col("b.below")).alias("score")

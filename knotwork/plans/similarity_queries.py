@@ -344,7 +344,8 @@ def _(t: Tables) -> DataFrame:
     links = X.identifiers(new).groupBy(F.col("node").alias("id")).agg(F.collect_list("neighbor").alias("links"))
     links.write.parquet(feed_path)
     feed = file_feed(t.spark, feed_path, links.schema)
-    return _round(score_new_applications(feed, _existing(t), THRESHOLD, out, state), "score")
+    existing = M.store_existing(_existing(t), scratch_path(t.spark, "existing"), rows_per_bucket=2000)
+    return _round(score_new_applications(feed, existing, THRESHOLD, out, state), "score")
 
 
 @query("structural_plus_name", f"""WITH {SQL_JACCARD_UP}, {SQL_PEOPLE} SELECT node1, node2, round(score, 6) AS score FROM jac
@@ -381,6 +382,19 @@ def _(t: Tables) -> DataFrame:
     return _clusters(t)
 
 
+@query("entity_clusters_added", f"WITH RECURSIVE {_CLUSTERS} SELECT id, cluster FROM cl")
+def _(t: Tables) -> DataFrame:
+    """Half of the customers and links in a full run, then the others in two loads; the same clusters as in one run."""
+    k, links = F.col("id"), X.customer_links(t)
+    first = t.customer.select(F.col("c_custkey").alias("id")).filter(k % 8 < 4)
+    both_known = (F.col("a") % 8 < 4) & (F.col("b") % 8 < 4)
+    store = clusters.ClusterStore(clusters.entity_clusters(links.filter(both_known & (F.col("a") % 16 < 8)), first), scratch_path(t.spark, "clusters"), 500)
+    store.add(links.filter(both_known & (F.col("a") % 16 >= 8)))
+    alone = t.customer.select(F.col("c_custkey").alias("a"), F.col("c_custkey").alias("b")).filter(F.col("a") % 8 >= 4)
+    store.add(links.filter(~both_known).unionByName(alone))
+    return store.read()
+
+
 def _profile_sql(field: str) -> str:
     return (f"(SELECT {field} FROM rows r WHERE r.cluster = c.cluster AND {field} IS NOT NULL ORDER BY seen DESC, id LIMIT 1) AS {field}")
 

@@ -136,6 +136,49 @@ def test_best_existing(spark):
     assert got == {1000 + i: i for i in range(10) if i % 2}
 
 
+@pytest.mark.parametrize("metric", ["cosine", "jaccard"])
+def test_a_stored_existing_side_gives_the_same(spark, tmp_path, metric):
+    old = {i: {i % 7, 10 + i % 5, 50 + i, 200 + i // 2} for i in range(80)}
+    new = {1000 + i: {i % 7, 10 + i % 5, 50 + i, 900 + i % 2} for i in range(12)}
+    ready = M.prepare_existing(frame(spark, old), metric)
+    stored = M.store_existing(ready, str(tmp_path / "existing"), rows_per_bucket=30)
+    assert stored.stored.entries.buckets > 8
+    plain, found = (sorted(map(tuple, M.best_existing(frame(spark, new), e, 0.3).collect())) for e in (ready, stored))
+    assert found == plain and len(plain) == 12
+
+
+def test_bytes_read_for_a_batch_do_not_grow_with_the_store(spark, tmp_path):
+    def touched_bytes(people):
+        pairs = spark.range(people * 4).select((F.col("id") % people).alias("node"), (F.col("id") * 7 % (people * 3)).alias("neighbor"))
+        stored = M.store_existing(M.prepare_existing(pairs), str(tmp_path / str(people)), rows_per_bucket=1000).stored
+        batch = spark.createDataFrame([(x,) for x in (21, 84, 700)], "neighbor bigint")
+        files = stored.entries.touched(batch).select("_metadata.file_path", "_metadata.file_size").distinct().collect()
+        plan = stored.entries.touched(batch)._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [bucket" in plan or "PartitionFilters: [isnotnull(bucket" in plan
+        return sum(r["file_size"] for r in files), stored.entries.buckets
+
+    (small, few), (large, many) = touched_bytes(10_000), touched_bytes(20_000)
+    assert many > 1.8 * few and large < 1.3 * small
+
+
+def test_added_links_give_the_clusters_of_a_full_run(spark, tmp_path):
+    chance = random.Random(6)
+    links = [(chance.randrange(n), chance.randrange(n)) for n in [200] * 60 + [300] * 110] + [(5, 5), (7, None)]
+    table = lambda rows: spark.createDataFrame(rows, "a bigint, b bigint")
+    start = clusters.entity_clusters(table(links[:60]), spark.range(0, 200).select("id"))
+    store = clusters.ClusterStore(start, str(tmp_path / "clusters"), rows_per_bucket=10)
+    for part in (links[60:100], links[100:140], [], links[140:]):
+        store.add(table(part))
+    group = {i: i for i in [*range(200), *(x for pair in links[60:] if None not in pair for x in pair)]}
+    for _ in range(300):
+        for a, b in links:
+            if b is not None:
+                group[a] = group[b] = min(group[a], group[b])
+    assert {r["id"]: r["cluster"] for r in store.read().collect()} == group
+    touched = store.stored.touched(spark.createDataFrame([(3,), (4,)], "id bigint"))
+    assert touched.select("bucket").distinct().count() <= 2 and store.renames.count() <= 170
+
+
 def test_neighbor_blocks_are_bounded(spark):
     pairs = frame(spark, {1: set(range(10_000)), 2: set(range(5_000, 10_100))})
     blocks = G.neighbor_sets(pairs)
