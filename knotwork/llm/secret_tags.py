@@ -36,6 +36,7 @@ SAMPLE_DOCUMENTS = 20_000
 PARTS = 5  # feature vectors of a token: itself, as first, second and third before, as next
 _TOKEN = re.compile(r"[\w+/-]+|[^\w\s]")
 _HEXADECIMAL = re.compile(r"[0-9a-f]+")
+_KEYWORD = re.compile(r"password|passwd|secret|token|api|key", re.IGNORECASE)
 
 
 def base_spans(text: str) -> list[tuple[int, str, int]]:
@@ -125,9 +126,13 @@ class Tagger:
         return path[::-1]
 
 
-def training_sequences(text: str, keep_plain: bool) -> list[tuple[list[str], list[int], list[str]]]:
-    """Windows of tokens with tags from the base patterns; one plain window if there are none and ``keep_plain``."""
-    spans = [secret_part(text, s) for s in base_spans(text)]
+def training_sequences(text: str, keep_plain: bool, kinds: tuple[str, ...] = KINDS) -> list[tuple[list[str], list[int], list[str]]]:
+    """Windows of tokens with tags from the base patterns of some kinds; one plain window if there are none and ``keep_plain``.
+
+    A plain window lies around the token that looks most like a secret, the
+    longest that mixes digits with other characters, so that such tokens are learned to be none.
+    """
+    spans = [secret_part(text, s) for s in base_spans(text) if s[1] in kinds]
     if not spans and not keep_plain:
         return []
     at = [m.span() for m in _TOKEN.finditer(text)]
@@ -141,7 +146,10 @@ def training_sequences(text: str, keep_plain: bool) -> list[tuple[list[str], lis
             if tags[i] == OUTSIDE:
                 tags[i] = BEGIN if i == inside[0] else INSIDE
         centres += inside[:1]
-    centres = centres[:3] or [zlib.crc32(text.encode("utf-8", "surrogatepass")) % len(at)]
+    if not centres:
+        mixed = [i for i, (s, e) in enumerate(at) if not text[s:e].isalpha() and any(map(str.isdigit, text[s:e]))]
+        centres = [max(mixed, key=lambda i: at[i][1] - at[i][0])] if mixed else [zlib.crc32(text.encode("utf-8", "surrogatepass")) % len(at)]
+    centres = centres[:3]
     files, out = file_features(text), []
     for centre in centres:
         first = max(0, centre - WINDOW // 2)
@@ -153,18 +161,35 @@ def training_sequences(text: str, keep_plain: bool) -> list[tuple[list[str], lis
 def _varied(tokens: list[str], tags: list[int], chance: random.Random) -> list[str]:
     """The sequence with its secrets rewritten in another alphabet, so that the tagger does not learn one format by heart."""
     alphabet = chance.choice(["0123456789abcdef", "ABCDEFGHJKLMNPQRSTUVWXYZ23456789", "abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ0123456789"])
-    prefix = chance.choice(["", "", "".join(chance.choice("abcdefghijklmnoprstuvwxyz") for _ in range(chance.randint(2, 4))) + "_"])
+    prefix = chance.choice(["", "", "".join(chance.choice("abcdefghijklmnoprstuvwxyz") for _ in range(chance.randint(2, 7))) + chance.choice("_-")])
     return [
-        prefix + "".join(chance.choice(alphabet) for _ in range(chance.randint(16, 44))) if tag == BEGIN else token
+        prefix + "".join(chance.choice(alphabet) for _ in range(chance.randint(16, 56))) if tag == BEGIN else token
         for token, tag in zip(tokens, tags)
     ]
 
 
+def _unnamed(tokens: list[str], tags: list[int], chance: random.Random, ordinary: list[str]) -> list[str]:
+    """The sequence with the keywords and signs before its secrets replaced by ordinary words, so that form alone must tell."""
+    out = list(tokens)
+    for i, tag in enumerate(tags):
+        if tag != BEGIN:
+            continue
+        keep_sign = chance.random() < 0.5
+        for j in range(max(0, i - 4), i):
+            if tags[j] == OUTSIDE and (_KEYWORD.search(tokens[j]) or tokens[j] in "\"':=" and not keep_sign):
+                out[j] = chance.choice(ordinary)
+    return out
+
+
 def fit(sequences: list[tuple[list[str], list[int], list[str]]], rounds: int = 40, rate: float = 0.25, ridge: float = 1e-4) -> Tagger:
     """Maximum likelihood of the tag sequences by gradient steps over all of them; forward and backward run over padded arrays."""
     chance = random.Random(7)
     sequences = sorted(sequences, key=repr)
-    sequences += [(_varied(t, y, chance), y, f) for t, y, f in sequences if BEGIN in y]
+    held = [(t, y, f) for t, y, f in sequences if BEGIN in y]
+    ordinary = sorted({t for tokens, tags, _ in sequences for t, y in zip(tokens, tags) if y == OUTSIDE and t.isalpha() and not _KEYWORD.search(t)}) or ["so"]
+    # other alphabets with the keyword, and without it the same and other ones: neither format nor keyword is learned by heart
+    sequences += [(_varied(t, y, chance), y, f) for t, y, f in held]
+    sequences += [(_unnamed(x, y, chance, ordinary), y, f) for t, y, f in held for x in (t, *(_varied(t, y, chance) for _ in range(3)))]
     n = len(sequences)
     forbidden = np.zeros((3, 3))
     forbidden[OUTSIDE, INSIDE] = -1e4
@@ -202,18 +227,9 @@ def fit(sequences: list[tuple[list[str], list[int], list[str]]], rounds: int = 4
     lengths = mask.sum(axis=1)
     for _ in range(rounds):
         scores = np.stack([np.bincount(row, weights[place, y], n * WINDOW) for y in range(3)], axis=1).reshape(n, WINDOW, 3)
-        ahead, back = np.zeros_like(scores), np.zeros_like(scores)
-        ahead[:, 0] = scores[:, 0] + transitions[OUTSIDE]
-        for t in range(1, WINDOW):
-            ahead[:, t] = _log_sum(ahead[:, t - 1][:, :, None] + transitions, 1) + scores[:, t]
-        for t in range(WINDOW - 2, -1, -1):
-            to = (back[:, t + 1] + scores[:, t + 1])[:, None, :] + transitions
-            back[:, t] = np.where((t + 1 < lengths)[:, None], _log_sum(to, 2), 0.0)
-        total = _log_sum(ahead[np.arange(n), lengths - 1], 1)
-        chance_of = np.exp(ahead + back - total[:, None, None]) * mask[:, :, None]
+        _, chance_of, pair = marginals(scores, transitions, lengths)
         gradient = np.stack([np.bincount(place, (hot - chance_of)[:, :, y].ravel()[row], FEATURES) for y in range(3)], axis=1) - ridge * n * weights
-        pair = np.exp(ahead[:, :-1, :, None] + transitions + (scores[:, 1:] + back[:, 1:])[:, :, None, :] - total[:, None, None, None])
-        expected = (pair * mask[:, 1:, None, None]).sum(axis=(0, 1))
+        expected = pair.sum(axis=(0, 1))
         expected[OUTSIDE] += chance_of[:, 0].sum(axis=0)
         t_gradient = np.where(forbidden < 0, 0.0, moves - expected - ridge * n * transitions)
         squares += gradient**2
@@ -223,6 +239,23 @@ def fit(sequences: list[tuple[list[str], list[int], list[str]]], rounds: int = 4
     return Tagger(weights, transitions, words)
 
 
+def marginals(scores: np.ndarray, transitions: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of padded sequences: log of the sum over all paths, probability of each (place, tag), and of each (place, tag, next tag)."""
+    n, most = scores.shape[:2]
+    mask = np.arange(most) < lengths[:, None]
+    ahead, back = np.zeros_like(scores), np.zeros_like(scores)
+    ahead[:, 0] = scores[:, 0] + transitions[OUTSIDE]
+    for t in range(1, most):
+        ahead[:, t] = _log_sum(ahead[:, t - 1][:, :, None] + transitions, 1) + scores[:, t]
+    for t in range(most - 2, -1, -1):
+        to = (back[:, t + 1] + scores[:, t + 1])[:, None, :] + transitions
+        back[:, t] = np.where((t + 1 < lengths)[:, None], _log_sum(to, 2), 0.0)
+    total = _log_sum(ahead[np.arange(n), lengths - 1], 1)
+    single = np.exp(np.where(mask[:, :, None], ahead + back - total[:, None, None], -np.inf))
+    pair = ahead[:, :-1, :, None] + transitions + (scores[:, 1:] + back[:, 1:])[:, :, None, :] - total[:, None, None, None]
+    return total, single, np.exp(np.where(mask[:, 1:, None, None], pair, -np.inf))
+
+
 def _log_sum(values: np.ndarray, axis: int) -> np.ndarray:
     top = values.max(axis=axis, keepdims=True)
     return (np.log(np.exp(values - top).sum(axis=axis, keepdims=True)) + top).squeeze(axis)
@@ -232,7 +265,7 @@ def train(docs: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS) -> Tagger:
     """Fit the tagger on a bounded sample: the documents with the smallest ``sample_documents`` hashes of their ids.
 
     Each gives at most three windows of 48 tokens around its base spans, one in
-    ten of the others gives one plain window; that is all that comes to the driver.
+    four of the others gives one plain window; that is all that comes to the driver.
     """
     spark = docs.sparkSession
     ids = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NULL_ID)).alias("_id")).distinct()
@@ -245,7 +278,7 @@ def train(docs: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS) -> Tagger:
         for part in slices(batches):
             found = []
             for no, text in zip(part.column("_id").to_pylist(), part.column("text").to_pylist()):
-                found += training_sequences(text, zlib.crc32(str(no).encode()) % 10 == 0)
+                found += training_sequences(text, zlib.crc32(str(no).encode()) % 4 == 0)
             if found:
                 tokens, tags, files = zip(*found)
                 yield record(

@@ -2,8 +2,9 @@
 
 import hashlib
 import random
+import re
 import zlib
-from itertools import combinations
+from itertools import combinations, product
 
 import numpy as np
 import public_tokenizers as tokens
@@ -262,6 +263,81 @@ def test_base_secrets_and_tagged_ones(spark, empty):
     assert secret_tags.scan(empty).count() == 0 and secret_tags.mask(empty).columns == empty.columns
 
 
+def _value(chance, kind):
+    def letters(alphabet, n):
+        return "".join(chance.choice(alphabet) for _ in range(n))
+
+    alnum = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    return {
+        "access": lambda: "AKIA" + letters("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 18),
+        "prefixed": lambda: f"{letters('abcdefgh', 3)}_{letters(alnum, 32)}",
+        "mixed": lambda: letters(alnum, 28),
+        "hex": lambda: letters("0123456789abcdef", 40),
+    }[kind]()
+
+
+def test_kinds_that_were_held_out_are_found_without_a_keyword():
+    """Trained on assignments of hexadecimal values only: other forms, after ordinary words, with precision and recall of 0.9 at least."""
+    chance, words = random.Random(21), [*PROSE.split(), "Paris", "2024", "room", "B12", "v1.2", "order", "10:45", "A4", "item-77", "x86", "ISO9001"]
+
+    def prose(n):
+        return " ".join(chance.choices(words, k=n))
+
+    training = []
+    for i in range(200):
+        text = f"{prose(20)} {chance.choice(['password=', 'token = ', 'api_key: '])}{_value(chance, 'hex')} {prose(20)}"
+        training += secret_tags.training_sequences(text, True, ("assign",)) + secret_tags.training_sequences(prose(50), True)
+    tagger = secret_tags.fit(training)
+    vectors = secret_tags._Vectors(tagger)
+    found = right = planted = 0
+    for kind in ("access", "prefixed", "mixed"):
+        texts, where = [], []
+        for _ in range(60):
+            before, value = f"{prose(15)} {chance.choice(['use', 'Bearer', 'pwd =', 'credential:', 'see'])} ", _value(chance, kind)
+            texts.append(f"{before}{value} {prose(15)}")
+            where.append((len(before), len(before) + len(value)))
+        for spans, at in zip(secret_tags.added_spans(texts, tagger, vectors), where):
+            planted, found, right = planted + 1, found + len(spans), right + (at in spans)
+    assert right >= 0.9 * planted and right >= 0.9 * found
+    assert sum(map(len, secret_tags.added_spans([prose(60) for _ in range(200)], tagger, vectors))) <= 2
+
+
+def test_paths_and_likelihoods_match_enumeration():
+    chance = np.random.default_rng(4)
+    transitions = chance.normal(size=(3, 3))
+    tagger = secret_tags.Tagger(np.zeros((1, 3)), transitions, frozenset())
+    lengths, scores = np.array([1, 4, 6]), chance.normal(size=(3, 6, 3)) * 2
+    total, single, pair = secret_tags.marginals(scores, transitions, lengths)
+    for k, length in enumerate(lengths):
+        worth = {}
+        for path in product(range(3), repeat=int(length)):
+            steps = sum(transitions[a, b] for a, b in zip((secret_tags.OUTSIDE, *path), path))
+            worth[path] = steps + sum(scores[k, i, y] for i, y in enumerate(path))
+        assert tuple(tagger.decode(scores[k, :length])) == max(worth, key=worth.get)
+        weight = {path: np.exp(v - total[k]) for path, v in worth.items()}
+        assert sum(weight.values()) == pytest.approx(1)
+        for i in range(6):
+            for y in range(3):
+                assert single[k, i, y] == pytest.approx(sum(w for p, w in weight.items() if i < length and p[i] == y))
+                for z in range(3):
+                    if i < 5:
+                        assert pair[k, i, y, z] == pytest.approx(sum(w for p, w in weight.items() if i + 1 < length and p[i : i + 2] == (y, z)))
+
+
+def test_base_spans_match_the_plain_patterns():
+    """Against the patterns as they are written, leftmost and without overlap, on random texts of their parts."""
+    chance = random.Random(31)
+    parts = ["password", "Passwd", "api_key", "APIKEY", "token", "secret", '"', "'", " ", "  ", ":", "=", "AKIA", "abc123", "deadbeef" * 3, "0123456789abcdef" * 2, "Z9" * 10, "\n", "\t", "é", "x", "/+_.-"]
+    plain = {
+        "assign": (re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE), 6, 2),
+        "access": (re.compile(r"AKIA[A-Z0-9]+"), 20, 0), "hex": (re.compile(r"[0-9a-f]+"), 24, 0),
+    }
+    for _ in range(2000):
+        text = "".join(chance.choices(parts, k=chance.randrange(14)))
+        want = [(m.start(), kind, m.end()) for kind, (pattern, least, group) in plain.items() for m in pattern.finditer(text) if len(m[group]) >= least]
+        assert secret_tags.base_spans(text) == sorted(want, key=lambda s: (s[0], list(plain).index(s[1])))
+
+
 def test_skipping_texts_without_gain_changes_no_path():
     chance = random.Random(8)
     training = []
