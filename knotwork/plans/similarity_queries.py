@@ -463,3 +463,32 @@ SELECT cp.node, cp.neighbor AS via, count(*) AS flagged, min(f.node) AS first_fl
 def _(t: Tables) -> DataFrame:
     flagged = t.customer.filter(F.col("c_acctbal") < -900).select(F.col("c_custkey").alias("node"))
     return customer.risk_connections(X.customer_parts(t), flagged)
+
+
+_EVERYBODY = f"""{SQL_PEOPLE}, {SQL_APPLICANTS}, {sql_identifiers("pi", "people")}, {sql_identifiers("ai", "applicants")},
+known AS (SELECT DISTINCT node, neighbor FROM (SELECT * FROM pi UNION ALL SELECT * FROM ai))"""
+
+
+def _hop(number: int, before: str) -> str:
+    """Level ``number`` of a search by levels: the first path in order to each node that no earlier level has."""
+    return f"""v{number} AS (SELECT r.source, a.neighbor, min(list_append(r.path, a.neighbor)) AS path
+  FROM h{number - 1} r JOIN known a ON a.node = r.node GROUP BY ALL),
+h{number} AS (SELECT v.source, b.node, min(list_append(v.path, b.node::VARCHAR)) AS path FROM v{number} v JOIN known b ON b.neighbor = v.neighbor
+  WHERE NOT EXISTS (SELECT 1 FROM ({before}) s WHERE s.source = v.source AND s.node = b.node) GROUP BY ALL)"""
+
+
+_LEVELS = [f"SELECT source, node FROM h{i}" for i in range(3)]
+
+
+@query("risk_paths", f"""WITH {_EVERYBODY},
+h0 AS (SELECT id AS source, id AS node, []::VARCHAR[] AS path FROM applicants),
+{", ".join(_hop(i, " UNION ALL ".join(_LEVELS[:i])) for i in (1, 2, 3))},
+reach AS ({" UNION ALL ".join(f"SELECT source, node, {i} AS hops, path FROM h{i}" for i in (1, 2, 3))})
+SELECT source AS node, node AS flagged, hops, array_to_string(path[:-2], ' > ') AS through FROM reach WHERE node % 13 = 0 AND node IN (SELECT id FROM people)""")
+def _(t: Tables) -> DataFrame:
+    """Applicants and the flagged customers they are connected to by up to three shared identifiers."""
+    new, old = X.applicants(t), X.people(t)
+    pairs = X.identifiers(old).unionByName(X.identifiers(new))
+    asked, flagged = new.select(F.col("id").alias("node")), old.select(F.col("id").alias("node")).filter("node % 13 = 0")
+    found = customer.risk_paths(pairs, asked, flagged, 3)
+    return found.select("node", "flagged", "hops", F.array_join("path", " > ").alias("through"))

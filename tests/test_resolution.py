@@ -130,3 +130,45 @@ def test_customer_views(spark):
     assert sorted(tuple(r) for r in customer.risk_connections(pairs, flagged).collect()) == [
         (1, 7, 1, 3), (2, 7, 2, 1), (2, 9, 1, 1), (3, 7, 1, 1)
     ]
+
+
+def plain_paths(pairs, asked, flagged, hops):
+    """Every simple walk, shortest first, then in order of its text."""
+    of_node, of_neighbor, out = {}, {}, {}
+    for node, neighbor in pairs:
+        of_node.setdefault(node, set()).add(neighbor)
+        of_neighbor.setdefault(neighbor, set()).add(node)
+    for source in asked:
+        front, seen = {source: []}, {source}
+        for hop in range(1, hops + 1):
+            after = {}
+            for node, path in front.items():
+                for via in of_node.get(node, ()):
+                    for other in of_neighbor[via] - seen:
+                        after[other] = min(after.get(other, ["~"]), [*path, via, str(other)])
+            seen |= set(after)
+            for node, path in after.items():
+                if node in flagged:
+                    out[source, node] = (hop, path[:-1])
+            front = after
+    return out
+
+
+@pytest.mark.parametrize("hops", [1, 2, 3, 4])
+def test_risk_paths_are_the_first_of_the_shortest(spark, hops):
+    chance = random.Random(hops)
+    pairs = [(chance.randrange(60), f"n{chance.randrange(45)}") for _ in range(110)] + [(i, "hub") for i in range(0, 60, 7)]
+    asked, flagged = set(range(0, 60, 3)), set(range(0, 60, 4))
+    ends = [spark.createDataFrame([(x,) for x in [*nodes, None]], "node bigint") for nodes in (asked, flagged)]
+    frame = spark.createDataFrame([*pairs, pairs[0], (None, "hub"), (3, None)], "node bigint, neighbor string")
+    found = {(r["node"], r["flagged"]): (r["hops"], r["path"]) for r in customer.risk_paths(frame, *ends, hops).collect()}
+    assert found == plain_paths(pairs, asked, flagged, hops) and found
+
+
+def test_risk_paths_over_a_hub(spark, monkeypatch):
+    """3,000 customers at one address: a row per asked and flagged pair, cut into many cells."""
+    monkeypatch.setattr(skew, "ROWS_PER_FRAGMENT", 500)
+    pairs = spark.range(3000).select(F.col("id").alias("node"), F.lit("hub").alias("neighbor"))
+    asked, flagged = (spark.range(a, b).select(F.col("id").alias("node")) for a, b in ((0, 20), (2990, 3000)))
+    found = customer.risk_paths(pairs, asked, flagged, 2)
+    assert found.count() == 200 and found.filter("hops <> 1 or path[0] <> 'hub' or size(path) <> 1").isEmpty()
