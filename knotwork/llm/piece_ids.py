@@ -17,9 +17,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from knotwork.llm.common import arrow_map, record, slices, whole_text
+from knotwork.session import written
 
 MARK = "▁"
 BLOCK_BYTES = 16 << 20
+BYTES_PER_BUCKET, MOST_BUCKETS = 32 << 20, 1 << 16
 CACHED_WORDS = 400_000
 _MARKED = re.compile(f"{MARK}+[^{MARK}]*")
 
@@ -93,15 +95,20 @@ def _named(parts: list[pa.RecordBatch]) -> tuple[int, list[pa.RecordBatch]]:
     return name.intdigest() - (1 << 63), parts
 
 
+def bucket_count(docs: DataFrame) -> int:
+    """Buckets for the words of a table: a task each, more than the session's shuffle partitions if the table is large."""
+    size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(size // BYTES_PER_BUCKET, MOST_BUCKETS))
+
+
 def encode_table(docs: DataFrame, model: str, buckets: int | None = None) -> DataFrame:
     """``(block, kind, bucket, data)`` with kind 0: the ids of the distinct words of each block of documents.
 
-    Words are dealt by hash into ``buckets`` (the session's shuffle partitions
-    by default); each bucket segments every distinct word of the whole input
+    Words are dealt by hash into ``buckets`` (``bucket_count`` by default); each bucket segments every distinct word of the whole input
     once and answers all blocks. A row holds the words of one block and bucket,
     sorted and compressed, and comes back with their ids in the same order.
     """
-    n = buckets or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = buckets or bucket_count(docs)
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, parts in _blocks(batches):
@@ -160,17 +167,22 @@ def _table(rows: Iterable[tuple[bytes, bytes]]) -> tuple[dict[str, str], list[st
     return csv, words_all, ids_all
 
 
-def encode_decode(docs: DataFrame, model: str, buckets: int | None = None) -> DataFrame:
+def encode_decode(docs: DataFrame, model: str, buckets: int | None = None, as_read: bool = False) -> DataFrame:
     """``(doc_id, n_tokens, ids, decoded)`` digests of every whole text; see ``op8``.
 
     Blocks of documents and their answered word tables meet in one task, the
     table first; ids are then joined by each word's position in its text. Null
     texts count as empty and have no ids. Repeated rows, null ids and texts of
     any length are encoded like others; extra columns are ignored.
+
+    The rows are gone through twice and must come in the same order both times.
+    They are stored first for that, unless ``as_read`` says that ``docs`` is read
+    from files as they lie, without a shuffle, which gives the same blocks every time.
     """
     check_model(model)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text"))
-    n = buckets or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows if as_read else written(rows, "texts-in-order")
+    n = buckets or bucket_count(rows)
     table = encode_table(rows, model, n)
 
     def carry(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -52,7 +52,7 @@ def op7_nn_descent_search(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_sentencepiece_words(spark: SparkSession, folder: str) -> DataFrame:
-    return piece_ids.encode_decode(_table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return piece_ids.encode_decode(_table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"), as_read=True)
 
 
 def op9_secret_scan_crf(spark: SparkSession, folder: str) -> DataFrame:
