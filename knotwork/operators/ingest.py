@@ -131,14 +131,20 @@ class Ingested(NamedTuple):
 def bulk_ingest(vertices: DataFrame, edges: DataFrame, as_of: dt.date | None = None) -> Ingested:
     """Vertices and edges of the readers, bound to each other, with refused edges and a report.
 
-    External ids bind to the last row that has them (by ``pos``, or else by id).
-    With ``as_of`` every vertex gets ``created_at``.
+    External ids bind to the last row that has them, by ``pos``. Without that
+    column no row is last, and an external id that several rows of a label have is
+    an error. With ``as_of`` every vertex gets ``created_at``.
     """
     loaded = assign_ids(vertices)
     if as_of is not None:
         loaded = loaded.withColumn("created_at", F.lit(as_of))
     loaded = written(loaded.dropDuplicates(["id"]), "loaded")
-    placed = loaded if "pos" in loaded.columns else loaded.withColumn("pos", F.lit(0).cast("bigint"))
+    placed = loaded
+    if "pos" not in loaded.columns:
+        owners = loaded.filter(F.col("external_id").isNotNull()).groupBy("label", "external_id").agg(F.count("*").alias("n"))
+        if twice := owners.filter("n > 1").first():
+            raise ValueError(f"{twice['n']} rows of {twice['label']} have the external id {twice['external_id']}; name a pos column that tells the last")
+        placed = loaded.withColumn("pos", F.lit(0).cast("bigint"))
     texts = {f"{s}_id": F.col(f"{s}_id").cast("string") for s in ("start", "end") if f"{s}_id" in edges.columns}
     resolved, unresolved = resolve_endpoints(edges.withColumns(texts) if texts else edges, last_wins_ids(placed))
     bound = written(resolved, "bound")

@@ -20,6 +20,7 @@ from knotwork.plans.registry import Tables, query
 from knotwork.session import scratch_path
 from knotwork.sources import readers as S
 from knotwork.sources import writers as W
+from knotwork.sources.clustered import ClusteredTable
 from knotwork.sources.snapshots import SnapshotTable
 from knotwork.streaming.flows import file_feed, reingest_edges, reingest_vertices
 
@@ -244,6 +245,18 @@ def _(t: Tables) -> DataFrame:
 
 
 
+@query("range_scan_clustered", f"""SELECT id, props FROM ({SQL_ORDER_V}) WHERE external_id::BIGINT >= 200 AND external_id::BIGINT < 1100
+AND props ->> '$.created_at' >= '1997-03-01' AND props ->> '$.created_at' < '2000-02-01'""")
+def _(t: Tables) -> DataFrame:
+    """Orders by number and by day at once, from the files of a Z-curve that can hold them."""
+    orders = X.order_vertices(t).select(
+        "id", "props", F.col("external_id").cast("bigint").alias("number"), prop_date(F.col("props"), "created_at").alias("day"),
+    )
+    table = ClusteredTable(t.spark, scratch_path(t.spark, "clustered"))
+    table.write(orders, ["number", "day"], 16)
+    return table.scan({"number": (200, 1100), "day": (dt.date(1997, 3, 1), dt.date(2000, 2, 1))}).select("id", "props")
+
+
 SQL_JACCARD_UP = f"""{SQL_USER_PROPS}, deg AS (SELECT node, count(*) AS d FROM up GROUP BY node),
 sh AS (SELECT a.node AS node1, b.node AS node2, count(*) AS i FROM up a JOIN up b ON a.neighbor = b.neighbor AND a.node < b.node GROUP BY ALL),
 jac AS (SELECT node1, node2, i::DOUBLE / (x.d + y.d - i) AS score FROM sh JOIN deg x ON x.node = node1 JOIN deg y ON y.node = node2)"""

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,9 +49,31 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL_DIRS[context.applicationId]
 
 
+_SCOPES: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder, so that runs never overwrite each other."""
-    return f"{shared_dir(spark)}/knotwork-{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/knotwork-{name}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes what was stored in the shared folder inside the block when it ends.
+
+    Write or collect results before that; tables that are read later do not
+    belong inside. Scopes may be nested; each deletes its own paths only.
+    """
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

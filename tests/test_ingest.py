@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import os
 import random
 from collections import Counter
 
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from knotwork.operators import graph as G
 from knotwork.operators import ingest as I
 from knotwork.operators.property_index import PropertyIndex
+from knotwork.session import scratch_path, scratch_scope, written
 from knotwork.sources import readers as S
 from knotwork.sources import writers as W
 from knotwork.streaming.flows import EdgeStore, file_feed, reingest_edges, reingest_vertices
@@ -177,6 +179,28 @@ def test_bulk_ingest(spark):
     assert sorted(map(tuple, I.bulk_ingest(v, e).vertices.select("id").collect())) == sorted(map(tuple, done.vertices.select("id").collect()))
 
 
+def test_an_external_id_given_twice_needs_a_position(spark):
+    e = spark.createDataFrame([("E", "P", "a", "P", "a", "{}")], "label string, start_label string, start_ref string, end_label string, end_ref string, props string")
+    v = spark.createDataFrame([("P", "a", '{"n":1}'), ("P", "a", '{"n":2}'), ("C", "a", "{}"), ("P", None, "{}")], "label string, external_id string, props string")
+    with pytest.raises(ValueError, match="external id a"):
+        I.bulk_ingest(v, e)
+    assert I.bulk_ingest(v.filter("props <> '{\"n\":1}'"), e).edges.count() == 1
+
+
+def test_stored_intermediates_go_with_their_scope(spark):
+    before = scratch_path(spark, "kept")
+    spark.range(3).write.parquet(before)
+    with scratch_scope(spark):
+        outer = written(spark.range(5), "outer")
+        with scratch_scope(spark):
+            inner = written(outer.filter("id > 1"), "inner")
+            assert inner.count() == 3
+        assert outer.count() == 5
+        paths = outer.inputFiles() + inner.inputFiles()
+    assert paths and not any(os.path.exists(p.removeprefix("file://")) for p in paths)
+    assert spark.read.parquet(before).count() == 3
+
+
 def test_creation_stamp_on_insert_only(spark):
     old = spark.createDataFrame([("T", '{"a":1}', dt.date(2020, 1, 1))], "label string, props string, created_at date")
     new = spark.createDataFrame([("T", '{"a":1}'), ("T", '{"a":2}')], "label string, props string")

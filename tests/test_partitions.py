@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from knotwork.operators import graph as G
 from knotwork.operators import partitions as R
 from knotwork.sources import writers as W
+from knotwork.sources.clustered import ClusteredTable
 
 
 def test_half_open_ranges(spark):
@@ -101,6 +102,37 @@ def test_write_prune_and_rewrite(spark, tmp_path):
     assert [r["id"] for r in page] == [365, 366, 367] and page[0]["total"] == 366
 
 
+def test_clustered_files_are_picked_on_two_keys(spark, tmp_path):
+    rows = spark.range(40_000).select(
+        "id", (F.xxhash64("id") % 1000).cast("int").alias("size"), F.date_add(F.lit("2020-01-01"), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(2000)).cast("int")).alias("day"),
+    ).withColumn("day", F.when(F.col("id") % 50 != 0, F.col("day")))
+    table = ClusteredTable(spark, str(tmp_path / "t"))
+    table.write(rows, ["id", "day"], 64)
+    assert not [p for p in (tmp_path / "t" / "data").iterdir() if p.is_dir()]
+    whole = table.files({})
+    days = dt.date(2021, 3, 1), dt.date(2021, 9, 1)
+    for wanted in ({"id": (1000, 3500), "day": days}, {"id": (None, 700)}, {"day": (days[0], None)}, {"id": (90_000, None)}, {"day": (None, dt.date(2019, 1, 1))}):
+        plain = rows
+        for key, (low, high) in wanted.items():
+            plain = plain.filter(F.lit(True) if low is None else F.col(key) >= F.lit(low)).filter(F.lit(True) if high is None else F.col(key) < F.lit(high))
+        assert sorted(table.scan(wanted).collect()) == sorted(plain.collect())
+    assert len(whole) >= 60 and len(table.files({"id": (1000, 3500), "day": days})) <= 8
+    assert len(table.files({"id": (1000, 3500)})) <= 20 and len(table.files({"day": days})) <= 20 and table.files({"id": (90_000, None)}) == []
+    read = table.scan({"id": (1000, 3500), "day": days}).select("_metadata.file_path").distinct().count()
+    assert read <= 8
+
+
+def test_curve_of_skewed_null_and_few_keys(spark, tmp_path):
+    rows = spark.range(2000).select(F.when(F.col("id") > 1500, F.lit(7)).alias("a"), F.lit(None).cast("date").alias("b"), "id")
+    table = ClusteredTable(spark, str(tmp_path / "t"))
+    table.write(rows, ["a", "b"], 8)
+    assert table.scan({"a": (7, 8)}).count() == 499 and table.scan({"b": (dt.date(2020, 1, 1), None)}).count() == 0
+    assert table.ranges().agg(F.max("rows")).first()[0] < 1000
+    empty = ClusteredTable(spark, str(tmp_path / "e"))
+    empty.write(rows.limit(0), ["a", "b"], 8)
+    assert empty.scan({"a": (None, 3)}).columns == ["a", "b", "id"] and empty.scan({"a": (None, 3)}).isEmpty()
+
+
 def test_bucketed_tables_join_without_shuffle(spark, tmp_path):
     v = spark.range(200).select("id", F.lit("T").alias("label"))
     e = spark.range(400).select((F.col("id") % 200).alias("start_id"), F.lit("E").alias("edge"))
