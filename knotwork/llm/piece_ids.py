@@ -97,7 +97,7 @@ def _named(parts: list[pa.RecordBatch]) -> tuple[int, list[pa.RecordBatch]]:
 
 def bucket_count(docs: DataFrame) -> int:
     """Buckets for the words of a table: a task each, more than the session's shuffle partitions if the table is large."""
-    size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(size // BYTES_PER_BUCKET, MOST_BUCKETS))
 
 
