@@ -294,7 +294,7 @@ def train(docs: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS) -> Tagger:
 class _Vectors(dict):
     """Row of each token in a table of summed weights; row 0 is nothing."""
 
-    def __init__(self, tagger: Tagger, limit: int = 500_000) -> None:
+    def __init__(self, tagger: Tagger, limit: int = 200_000) -> None:
         super().__init__()
         self.tagger, self.limit = tagger, limit
         self.empty()

@@ -17,7 +17,7 @@ from functools import lru_cache
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 250_000
 #: Latin letters that no normalizer changes but for their case, then signs without the apostrophe.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!\"#$%&()*+,./:;<=>?@\[\\\]^_`{|}~-]*)")
 
