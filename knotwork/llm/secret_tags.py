@@ -6,6 +6,7 @@ import hashlib
 import random
 import re
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -200,7 +201,7 @@ def fit(sequences: list[tuple[list[str], list[int], list[str]]], rounds: int = 4
         weights[:, 1:] = -1.0
         return Tagger(weights, transitions, words)
     known: dict[str, list[list[int]]] = {}
-    row, place, gold, mask = [], [], np.zeros((n, WINDOW), np.int64), np.zeros((n, WINDOW), bool)
+    row, place, gold, mask = array("i"), array("i"), np.zeros((n, WINDOW), np.int64), np.zeros((n, WINDOW), bool)
     for s, (tokens, tags, files) in enumerate(sequences):
         places = []
         for token in tokens:
@@ -215,10 +216,10 @@ def fit(sequences: list[tuple[list[str], list[int], list[str]]], rounds: int = 4
                     own += places[i - back][back]
             if i + 1 < len(tokens):
                 own += places[i + 1][4]
-            row += [s * WINDOW + i] * len(own)
-            place += own
+            row.extend([s * WINDOW + i] * len(own))
+            place.extend(own)
         gold[s, : len(tags)], mask[s, : len(tags)] = tags, True
-    row, place = np.array(row), np.array(place)
+    row, place = (np.frombuffer(x, dtype=np.intc) for x in (row, place))
     hot = np.eye(3)[gold] * mask[:, :, None]
     moves = np.zeros((3, 3))
     np.add.at(moves, (gold[:, :-1][mask[:, 1:]], gold[:, 1:][mask[:, 1:]]), 1)
