@@ -95,11 +95,15 @@ def field_weights(params: Mapping[str, tuple[float, float]]) -> dict[str, tuple[
 
 
 def match_weights(compared: DataFrame, params: Mapping[str, tuple[float, float]]) -> DataFrame:
-    """Sum of log2 likelihood ratios over the fields; a missing field adds nothing."""
+    """Sum of log2 likelihood ratios over the fields; a missing field adds nothing.
+
+    Each comparison is named once, and the sum leaves a generator, through which the planner moves no
+    expression: later steps that use it several times would compare the fields as many times.
+    """
     total = F.lit(0.0)
     for f, (yes, no) in field_weights(params).items():
-        total = total + F.coalesce(F.when(F.col(f"agree_{f}"), yes).when(~F.col(f"agree_{f}"), no), F.lit(0.0))
-    return compared.withColumn("weight", total)
+        total = total + F.coalesce(F.get(F.array(F.lit(no), F.lit(yes)), F.col(f"agree_{f}").cast("int")), F.lit(0.0))
+    return compared.drop("weight").select("*", F.inline(F.array(F.struct(total.alias("weight")))))
 
 
 def match_probability(scored: DataFrame, prior: float) -> DataFrame:
@@ -117,8 +121,11 @@ def match_decision(scored: DataFrame, hi: float = 0.9, lo: float = 0.4) -> DataF
 
 
 def review_queue(decided: DataFrame) -> DataFrame:
-    """Undecided pairs, least certain match first."""
-    return decided.filter(F.col("decision") == "review").orderBy("probability", "a_id", "b_id")
+    """Undecided pairs, least certain match first.
+
+    They are stored before they are sorted, as a sort reads its input twice.
+    """
+    return written(decided.filter(F.col("decision") == "review"), "review").orderBy("probability", "a_id", "b_id")
 
 
 def sufficient_keys(params: Mapping[str, tuple[float, float]], prior: float, min_probability: float) -> list[tuple[str, ...]]:
