@@ -62,10 +62,29 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
+#: What frees the caches of a worker process, and the operator that it works for.
+RELEASES: list[Callable[[], None]] = []
+_AT_WORK: list[str] = [""]
+
+
+def start_work(operator: str) -> None:
+    """Worker processes outlive stages; one that gets a task of another operator frees the caches of the last."""
+    if _AT_WORK[0] != operator:
+        _AT_WORK[0] = operator
+        for release in RELEASES:
+            release()
+
+
 def arrow_map(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """``mapInArrow`` with this package on the executors."""
     ship(df.sparkSession)
-    return df.mapInArrow(work, schema)
+    operator = work.__module__
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        start_work(operator)
+        yield from work(batches)
+
+    return df.mapInArrow(run, schema)
 
 
 def record(**columns: pa.Array | list) -> pa.RecordBatch:

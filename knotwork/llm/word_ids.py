@@ -17,6 +17,8 @@ from functools import lru_cache
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
+from knotwork.llm.common import RELEASES
+
 CACHED_WORDS = 250_000
 #: Latin letters that no normalizer changes but for their case, then signs without the apostrophe.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!\"#$%&()*+,./:;<=>?@\[\\\]^_`{|}~-]*)")
@@ -44,12 +46,16 @@ def packed(ids: list[int]) -> bytes:
 
 
 class _Words(dict):
-    """Ids of a word as little-endian unsigned 32-bit numbers, computed at first sight."""
+    """Ids of a word as little-endian unsigned 32-bit numbers, computed at first sight.
+
+    At ``limit`` words the dictionary becomes the former one and an empty one is begun; words
+    that are met again come back from there, so frequent ones are never computed twice.
+    """
 
     def __init__(self, path: str, limit: int) -> None:
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.model, self.limit, self.parts = self.tokenizer.model, limit, {}
+        self.model, self.limit, self.parts, self.former = self.tokenizer.model, limit, {}, {}
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         # any case, as some tokenizers look for them after lower-casing; signs that all begin with are sought first
         self.added = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True))), re.IGNORECASE) if added else None
@@ -75,9 +81,13 @@ class _Words(dict):
         return found
 
     def __missing__(self, key):
+        found = self.former.get(key)
+        if found is None:
+            found = self.compute(key)
         if len(self) >= self.limit:
+            self.former = dict(self)
             self.clear()
-        self[key] = found = self.compute(key)
+        self[key] = found
         return found
 
 
@@ -98,10 +108,15 @@ class LeadingSpace(_Words):
     """For byte-level tokenizers whose words begin with their space; words are what follows a space."""
 
     _RUN = re.compile(r" \s")
+    #: The end of one line and the first word of the next.
+    _LINES = re.compile(rf"{_PLAIN.pattern}\n{_PLAIN.pattern}")
 
     def compute(self, word: str) -> bytes:
         if plain := _PLAIN.fullmatch(word):
             return self.part(" " + plain[1]) + (self.part(plain[2]) if plain[2] else b"")
+        if lines := self._LINES.fullmatch(word):
+            before, signs, after, more = lines.groups()
+            return b"".join(map(self.part, filter(None, (" " + before, signs, "\n", after, more))))
         return self.encode(" " + word)
 
     def plain_ids(self, text: str) -> bytes:
@@ -117,3 +132,6 @@ class LeadingSpace(_Words):
 def word_ids(path: str, kind: type[_Words], limit: int = CACHED_WORDS) -> _Words:
     """The cache of a worker process, kept from task to task."""
     return kind(path, limit)
+
+
+RELEASES.append(word_ids.cache_clear)
