@@ -212,8 +212,7 @@ def _(t: Tables) -> DataFrame:
 @query("undirected", f"""WITH {SQL_E}, u AS (SELECT start_id AS node, end_id AS neighbor FROM e UNION ALL SELECT end_id, start_id FROM e)
        SELECT node, count(*) AS incident, count(DISTINCT neighbor) AS neighbors FROM u GROUP BY node""")
 def _(t: Tables) -> DataFrame:
-    per_pair = G.undirected(X.edges(t)).groupBy("node", "neighbor").agg(F.count("*").alias("n"))
-    return per_pair.groupBy("node").agg(F.sum("n").alias("incident"), F.count("*").alias("neighbors"))
+    return G.incident_counts(X.edges(t))
 
 
 @query("dangling_edges", f"""WITH {SQL_V}, {SQL_BAD_E} SELECT e.label, e.start_id, e.end_id, e.props FROM e
