@@ -1,9 +1,14 @@
 """Tasks hold a bounded number of rows, whatever the session's number of partitions."""
 
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
+from knotwork.operators import customer, skew
 from knotwork.operators import graph as G
-from knotwork.operators import skew
+from knotwork.session import written
+from tests.test_resolution import plain_paths
 
 
 def _edges(spark, text):
@@ -28,7 +33,7 @@ def test_adjacency_and_incident_counts_follow_the_rows(spark, monkeypatch):
         counts = {r["node"]: (r["incident"], r["neighbors"]) for r in G.incident_counts(edges).collect()}
         both = G.undirected(edges).groupBy("node").agg(F.count("*").alias("i"), F.count_distinct("neighbor").alias("n")).collect()
         assert counts == {r["node"]: (r["i"], r["n"]) for r in both}
-        assert f"REPARTITION_BY_NUM" in G.incident_counts(edges)._jdf.queryExecution().executedPlan().toString()
+        assert "REPARTITION_BY_NUM" in G.incident_counts(edges)._jdf.queryExecution().executedPlan().toString()
     assert _tasks(G.neighbor_blocks(_edges(spark, True).toDF("node", "neighbor"))).count() > 40
 
 
@@ -37,3 +42,24 @@ def test_long_lists_of_text_ids_are_cut_and_short_ones_whole(spark):
     sizes = found.groupBy("id").agg(F.count("*").alias("blocks"), F.max(F.size("neighbors")).alias("most"))
     assert sizes.filter("id = 'v7'").first()["blocks"] > 30 and sizes.agg(F.max("most")).first()[0] <= 256
     assert sizes.filter("id <> 'v7' AND blocks > 1").isEmpty()
+
+
+@pytest.mark.parametrize("hops", [1, 3])
+def test_risk_paths_through_hubs_store_no_pairs(spark, monkeypatch, hops):
+    chance, stored = random.Random(hops), []
+    pairs = [(chance.randrange(60), f"n{chance.randrange(45)}") for _ in range(110)] + [(i, f"hub{i % 4}") for i in range(0, 60, 3)]
+    pairs += [(i, "all") for i in range(100, 300)] + [(100, "n1"), (200, "n2")]
+    asked, flagged = {*range(0, 60, 3), *range(100, 300, 2)}, {*range(0, 60, 4), *range(101, 300, 2)}
+    ends = [spark.createDataFrame([(x,) for x in nodes], "node bigint") for nodes in (asked, flagged)]
+    frame = spark.createDataFrame([*pairs, pairs[0], (None, "hub1"), (3, None)], "node bigint, neighbor string")
+    monkeypatch.setattr(customer, "HUB_NODES", 4)
+    monkeypatch.setattr(customer, "RARE_PATHS_PER_ROW", 2)
+
+    def counted(df, name):
+        stored.append((name, (kept := written(df, name)).count()))
+        return kept
+
+    monkeypatch.setattr(customer, "written", counted)
+    found = {(r["node"], r["flagged"]): (r["hops"], r["path"]) for r in customer.risk_paths(frame, *ends, hops).collect()}
+    assert found == plain_paths(pairs, asked, flagged, hops) and len(found) > 10_000
+    assert max(n for _, n in stored) < 4_000
