@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from knotwork.operators.skew import fragment_join, meeting_counts
+from knotwork.operators.skew import fragment_join, meeting_counts, spread
 from knotwork.session import written
 
 Comparator = Callable[[Column, Column], Column]
@@ -45,9 +45,10 @@ def blocking_pairs(a: DataFrame, b: DataFrame, passes: Sequence[Sequence[str]],
     Both tables need ``id`` and the key columns; all columns come along as ``a_``
     and ``b_`` so that fields can be compared without further joins. A pair found
     by an earlier pass is left out of later ones by looking at its keys, so no
-    duplicate removal has to be shuffled.
+    duplicate removal has to be shuffled. Keys are counted in tasks of bounded size.
     """
-    counts = meeting_counts(b, a, passes)
+    keys = ["id", *dict.fromkeys(k for p in passes for k in p if k != "id")]
+    counts = meeting_counts(*(spread(df.select(*keys), df.count() * len(passes), *keys) for df in (b, a)), passes)
     found = None
     for i, keys in enumerate(passes):
         pairs = _equi_pairs(a, b, keys, counts.filter(F.col("set_no") == i).drop("set_no"))

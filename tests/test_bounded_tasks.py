@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from knotwork.operators import customer, skew
+from knotwork.operators import customer, resolution, skew
 from knotwork.operators import graph as G
 from knotwork.session import written
 from tests.test_resolution import plain_paths
@@ -63,3 +63,20 @@ def test_risk_paths_through_hubs_store_no_pairs(spark, monkeypatch, hops):
     found = {(r["node"], r["flagged"]): (r["hops"], r["path"]) for r in customer.risk_paths(frame, *ends, hops).collect()}
     assert found == plain_paths(pairs, asked, flagged, hops) and len(found) > 10_000
     assert max(n for _, n in stored) < 4_000
+
+
+def test_blocking_counts_keys_in_bounded_tasks(spark, monkeypatch):
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", 100)
+    seen = []
+
+    def counted(left, right, key_sets):
+        seen.extend(_tasks(df).agg(F.max("n")).first()[0] * len(key_sets) for df in (left, right))
+        return skew.meeting_counts(left, right, key_sets)
+
+    monkeypatch.setattr(resolution, "meeting_counts", counted)
+    people = spark.range(3000).selectExpr("id", "id % 1000 AS x", "if(id % 7 = 0, null, id DIV 2) AS y").coalesce(1)
+    found = resolution.blocking_pairs(people, people, [["x"], ["y"]], same_table=True).select("a_id", "b_id", "pass_no")
+    rows = [(r["id"], r["x"], r["y"]) for r in people.collect()]
+    expected = {(i, j, 1) for i, x, _ in rows for j in range(i + 1000, 3000, 1000)}
+    expected |= {(i, i + 1, 2) for i, _, y in rows if i % 2 == 0 and y is not None and (i + 1) % 7}
+    assert sorted(map(tuple, found.collect())) == sorted(expected) and max(seen) < 250
