@@ -76,8 +76,12 @@ def _weigh(pairs: DataFrame, weights: DataFrame | None, unseen: float = 0.0) ->
     """Distinct pairs with the degree of the neighbour and its weight ``w`` (1 without weights)."""
     if weights is None:
         return distinct_pairs(pairs).join(degrees(pairs), "neighbor").withColumn("w", F.lit(1.0))
-    weighed = distinct_pairs(pairs).join(weights, "neighbor", "left")
-    return weighed.select(
+    return _weighed(distinct_pairs(pairs), weights, unseen)
+
+
+def _weighed(pairs: DataFrame, weights: DataFrame, unseen: float) -> DataFrame:
+    """Pairs that are distinct already, with degree and weight."""
+    return pairs.join(weights, "neighbor", "left").select(
         "node", "neighbor",
         F.coalesce("degree", F.lit(1)).alias("degree"),
         F.coalesce("weight", F.lit(unseen)).alias("w"),
@@ -190,11 +194,11 @@ def _meet(
         met = met.filter(F.col("my") >= F.lit(cutoff) * F.col("mx") * (1 - EPS) - EPS)
     if low is None and high is None:
         return met.groupBy("x", "y").agg(F.sum("m").alias("s"))
-    return met.select("x", "y").distinct()
+    return met.select("x", "y", "mx", "my").distinct()
 
 
 def _shared_mass(candidates: DataFrame, xs: NeighborSets, ys: NeighborSets, weighted: bool) -> DataFrame:
-    """Exact shared count or mass of each candidate, from whole sets.
+    """Exact shared count or mass of each candidate (x, y and what else is known of the pair), from whole sets.
 
     Sets travel as arrays. A set of more than SET_CHUNK entries is cut by
     neighbour hash into a power of two of chunks, as many as it needs by itself.
@@ -203,6 +207,7 @@ def _shared_mass(candidates: DataFrame, xs: NeighborSets, ys: NeighborSets, weig
     """
     if "s" in candidates.columns:
         return candidates
+    pair = candidates.columns
     limit = SET_CHUNK // 8 if weighted else SET_CHUNK
 
     def large(sets: NeighborSets, name: str) -> DataFrame:
@@ -237,7 +242,7 @@ def _shared_mass(candidates: DataFrame, xs: NeighborSets, ys: NeighborSets, weig
         candidates = candidates.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
     else:
         candidates = candidates.withColumn("_part", F.lit(0).cast("bigint"))
-    candidates = candidates.select("x", "y", part(F.col("_part"), both[0]).alias("chunk_x"), part(F.col("_part"), both[1]).alias("chunk_y"))
+    candidates = candidates.select(*pair, part(F.col("_part"), both[0]).alias("chunk_x"), part(F.col("_part"), both[1]).alias("chunk_y"))
     if weighted:
         shared = F.aggregate(
             F.array_intersect("set_x", F.map_keys("map_y")), F.lit(0.0),
@@ -245,10 +250,10 @@ def _shared_mass(candidates: DataFrame, xs: NeighborSets, ys: NeighborSets, weig
         )
     else:
         shared = F.size(F.array_intersect("set_x", "set_y")).cast("double")
-    return (
-        candidates.join(sets, ["x", "chunk_x"]).join(other, ["y", "chunk_y"])
-        .groupBy("x", "y").agg(F.sum(shared).alias("s"))
-    )
+    compared = candidates.join(sets, ["x", "chunk_x"]).join(other, ["y", "chunk_y"])
+    if not (cut_x or cut_y):
+        return compared.select(*pair, shared.alias("s"))
+    return compared.groupBy(*pair).agg(F.sum(shared).alias("s"))
 
 
 def _score(metric: str) -> Column:
@@ -268,16 +273,21 @@ def _scored(
     candidates: DataFrame, xs: NeighborSets, ys: NeighborSets, metric: str, cutoff: float, min_shared: int
 ) -> DataFrame:
     shared = _shared_mass(candidates, xs, ys, metric in ("weighted_jaccard", "cosine"))
+    floor = float(min_shared) if metric == "shared" else float(cutoff)
+    if metric == "shared":
+        return shared.select("x", "y", F.col("s").alias("score")).filter(F.col("score") >= floor - 1e-12)
 
     def totals(sets: NeighborSets, name: str) -> DataFrame:
         return sets.profiles.select(
             F.col("profile").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in ("size", "total", "squares")]
         )
 
-    scored = shared.join(totals(xs, "x"), "x").join(totals(ys, "y"), "y").select(
-        "x", "y", F.coalesce(_score(metric), F.lit(0.0)).alias("score")
-    )
-    floor = float(min_shared) if metric == "shared" else float(cutoff)
+    if "mx" in shared.columns:  # the mass of a set is the one total that its metric needs
+        facts = [F.col(f"m{name}").alias(f"{name}_{c}") for name in ("x", "y") for c in ("size", "total", "squares")]
+        totalled = shared.select("x", "y", "s", *facts)
+    else:
+        totalled = shared.join(totals(xs, "x"), "x").join(totals(ys, "y"), "y")
+    scored = totalled.select("x", "y", F.coalesce(_score(metric), F.lit(0.0)).alias("score"))
     return scored.filter(F.col("score") >= floor - 1e-12)
 
 
@@ -443,14 +453,17 @@ def prepare_existing(existing: DataFrame, metric: str = "cosine") -> Existing:
 
     A neighbour nobody has yet weighs as if one existing node had it.
     """
+    pairs = written(distinct_pairs(existing), "pairs")
+    counted = pairs.groupBy("neighbor").agg(F.count("*").alias("degree"))
     if metric in ("weighted_jaccard", "cosine"):
-        weights = written(idf_weights(existing), "weights")
-        nodes = existing.select(F.count_distinct("node").alias("n")).first()["n"]
+        nodes, unnamed = pairs.agg(F.count_distinct("node"), F.count_if(F.col("node").isNull())).first()
+        all_nodes = F.lit(nodes + (1 if unnamed else 0))  # the null node counts in the weights, as in idf_weights
+        weights = written(counted.withColumn("weight", F.ln(all_nodes / F.col("degree"))), "weights")
         unseen = math.log(nodes) if nodes else 0.0
     else:
-        weights = written(degrees(existing).withColumn("weight", F.lit(1.0)), "weights")
+        weights = written(counted.withColumn("weight", F.lit(1.0)), "weights")
         unseen = 1.0
-    sets = neighbor_profiles(_weigh(existing, weights, unseen), metric)
+    sets = neighbor_profiles(_weighed(pairs, weights, unseen), metric)
     return Existing(sets, weights, unseen, metric)
 
 
@@ -482,11 +495,14 @@ def best_existing(new: DataFrame, existing: Existing, cutoff: float = 0.45) -> D
     weights = existing.weights if stored is None else stored.weights.rows_of(asked)
     a = neighbor_profiles(_weigh(new, weights, existing.unseen), metric)
     near = b.entries.join(asked, "neighbor", "left_semi") if stored is None else stored.entries.rows_of(asked)
-    new_small = _meet(a.entries, near, metric, cutoff, 1, F.col("my") <= F.col("mx")).select(
-        F.col("y").alias("x"), F.col("x").alias("y")
-    )
-    new_large = _meet(near, a.entries, metric, cutoff, 1, F.col("my") < F.col("mx"))
-    candidates = written(new_small.unionByName(new_large), "candidates")
+    if metric == "cosine":  # its bound is the same for the smaller and the larger set, so one meeting finds both
+        met = _meet(near, a.entries, metric, cutoff, 1, F.lit(True))
+    else:
+        new_small = _meet(a.entries, near, metric, cutoff, 1, F.col("my") <= F.col("mx")).select(
+            F.col("y").alias("x"), F.col("x").alias("y"), F.col("my").alias("mx"), F.col("mx").alias("my")
+        )
+        met = new_small.unionByName(_meet(near, a.entries, metric, cutoff, 1, F.col("my") < F.col("mx")))
+    candidates = written(met, "candidates")
     found = written(candidates.select(F.col("y").alias("profile")).distinct(), "candidate-profiles")
     whole = b.entries.join(found, "profile", "left_semi") if stored is None else stored.by_profile.rows_of(found)
     members = b.members if stored is None else stored.members.rows_of(found)
