@@ -36,6 +36,8 @@ DIRECT_BELOW = 64
 #: Sets are compared in cells if they would meet this often at least, and a meeting stands for no more products than this.
 CELLS_FROM = 1e7
 PRODUCTS_PER_MEETING = 1000
+#: Codes of sets that a neighbour lists, that a set can get, and that a task counts.
+CODES_PER_LIST, CODES_PER_SET, CODES_PER_TASK = 20_000, 5_000_000, 2_000_000
 
 
 # --- degrees and weights --------------------------------------------------
@@ -320,11 +322,48 @@ def _dense(sets: NeighborSets, metric: str, cutoff: float, min_shared: int) -> t
     return (profiles, neighbors) if float(profiles) ** 2 * neighbors <= PRODUCTS_PER_MEETING * meetings else None
 
 
+def _code() -> Column:
+    """A short name of a profile, not always its own."""
+    return F.hash("profile")
+
+
+def _often_met(sets: NeighborSets, least: int) -> DataFrame | None:
+    """``(x, y, s)``: profiles that share at least ``least`` neighbours, with their number, if no set or neighbour is large.
+
+    Where neighbours are rare, most pairs that meet do so once or twice. They are not shuffled as rows: a set gets
+    from each neighbour the 32-bit codes of the other sets there, those below its own code, as one array, and counts
+    the codes. A code that several sets have only brings up candidates, which are compared as whole sets.
+    """
+    met, degree = sets.entries.agg(F.sum("degree"), F.max("degree")).first()
+    size = sets.members.agg(F.max("size")).first()[0]
+    if not met or degree > CODES_PER_LIST or degree * size > CODES_PER_SET:
+        return None
+    code = _code()
+    coded = sets.entries.select("neighbor", F.col("profile").alias("x"), code.alias("code"))
+    lists = coded.groupBy("neighbor").agg(F.sort_array(F.collect_list("code")).alias("codes"))
+    below = F.slice("codes", 1, F.array_position("codes", F.col("code")).cast("int") - 1)
+    tasks = max(int(sets.entries.sparkSession.conf.get("spark.sql.shuffle.partitions")), met // 2 // CODES_PER_TASK + 1)
+    heard = coded.join(lists, "neighbor").select("x", below.alias("codes")).filter(F.size("codes") > 0).repartition(tasks, "x")
+    often = heard.select("x", F.explode("codes").alias("code")).groupBy("x", "code").agg(F.count("*").alias("s")).filter(F.col("s") >= least)
+    named = sets.profiles.select(F.col("profile").alias("y"), code.alias("code"))
+    shared = written(named.groupBy("code").agg(F.count("*").alias("n")).filter("n > 1").select("code"), "shared-codes")
+    if shared.isEmpty():
+        return often.join(named, "code").select("x", "y", F.col("s").cast("double").alias("s"))
+    often = written(often, "often")
+    sure = often.join(shared, "code", "left_anti").join(named, "code").select("x", "y", F.col("s").cast("double").alias("s"))
+    alike = named.join(shared, "code", "left_semi")
+    within = alike.select("code", F.col("y").alias("x")).join(alike, "code").filter(F.col("x") < F.col("y"))
+    doubtful = often.join(alike, "code").select("x", "y").unionByName(within.select("x", "y"))
+    return sure.unionByName(_shared_mass(written(doubtful, "doubtful"), sets, sets, False).filter(F.col("s") >= least))
+
+
 def _profile_scores(sets: NeighborSets, metric: str, cutoff: float, min_shared: int = 1) -> DataFrame:
     """Scores between different profiles."""
     if (size := _dense(sets, metric, cutoff, min_shared)) is not None:
         floor = float(min_shared) if metric == "shared" else float(cutoff)
         return cells.cell_scores(sets.entries, sets.profiles, metric, floor, metric in ("weighted_jaccard", "cosine"), *size)
+    if metric == "shared" and min_shared > 1 and sets.direct and (often := _often_met(sets, min_shared)) is not None:
+        return often.withColumnRenamed("s", "score")
     smaller_first = F.struct("my", "y") < F.struct("mx", "x")
     met = _meet(sets.entries, sets.entries, metric, cutoff, min_shared, smaller_first, sets.direct)
     return _scored(met, sets, sets, metric, cutoff, min_shared)
