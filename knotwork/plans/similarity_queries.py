@@ -82,9 +82,10 @@ def _(t: Tables) -> DataFrame:
 
 # --- node similarity ------------------------------------------------------
 
-@query("jaccard_similarity", f"WITH {SQL_JACCARD_UP} SELECT node1, node2, round(score, 6) AS score FROM jac WHERE score >= 0.45 - 1e-12")
+@query("jaccard_similarity", f"WITH {SQL_JACCARD_UP} SELECT node1, node2, round(score, 6) AS score FROM jac")
 def _(t: Tables) -> DataFrame:
-    return _round(M.node_similarity(X.user_props(t), "jaccard", cutoff=CUTOFF), "score")
+    """Every pair of users that share a value, whatever its score."""
+    return _round(M.node_similarity(X.user_props(t), "jaccard"), "score")
 
 
 @query("overlap_similarity", f"""WITH {SQL_JACCARD_UP} SELECT node1, node2, round(i::DOUBLE / least(x.d, y.d), 6) AS score

@@ -24,6 +24,13 @@ def together(sets):
     return {(a, b): len(sets[a] & sets[b]) for a, b in itertools.combinations(sorted(sets), 2) if sets[a] & sets[b]}
 
 
+def test_jaccard_similarity_gives_low_scores_too(spark, tmp_path):
+    rows = [(n, json.dumps({"k": v})) for n, vs in SETS.items() for v in vs]
+    spark.createDataFrame(rows, "user_id bigint, props string").write.parquet(f"{tmp_path}/events.parquet")
+    found = {(r["node1"], r["node2"]): r["score"] for r in QUERIES["jaccard_similarity"](Tables(spark, str(tmp_path))).collect()}
+    assert found == {(a, b): round(n / len(SETS[a] | SETS[b]), 6) for (a, b), n in together(SETS).items()} and found[1, 2] < 0.2
+
+
 @pytest.mark.parametrize("metric", ["shared", "jaccard"])
 def test_cells_give_pairs_of_nodes(spark, monkeypatch, metric):
     monkeypatch.setattr(M, "_expand_all", lambda *a, **k: pytest.fail("pairs from cells are joined again"))
