@@ -336,19 +336,22 @@ def _often_met(sets: NeighborSets, least: int) -> DataFrame | None:
 
     Where neighbours are rare, most pairs that meet do so once or twice. They are not shuffled as rows: a set gets
     from each neighbour the 32-bit codes of the other sets there, those below its own code, as one array, and counts
-    the codes. A code that several sets have only brings up candidates, which are compared as whole sets.
+    the codes. A code that several sets have only brings up candidates, which are compared as whole sets. Where every
+    pair counts, the arrays hold the names of the sets, so that no code needs to be resolved.
     """
     met, degree = sets.entries.agg(F.sum("degree"), F.max("degree")).first()
     size = sets.members.agg(F.max("size")).first()[0]
     if not met or degree > CODES_PER_LIST or degree * size > CODES_PER_SET:
         return None
-    code = _code()
+    code = _code() if least > 1 else F.col("profile")
     coded = sets.entries.select("neighbor", F.col("profile").alias("x"), code.alias("code"))
     lists = coded.groupBy("neighbor").agg(F.sort_array(F.collect_list("code")).alias("codes"))
     below = F.slice("codes", 1, F.array_position("codes", F.col("code")).cast("int") - 1)
     tasks = max(int(sets.entries.sparkSession.conf.get("spark.sql.shuffle.partitions")), met // 2 // CODES_PER_TASK + 1)
     heard = coded.join(lists, "neighbor").select("x", below.alias("codes")).filter(F.size("codes") > 0).repartition(tasks, "x")
     often = heard.select("x", F.explode("codes").alias("code")).groupBy("x", "code").agg(F.count("*").alias("s")).filter(F.col("s") >= least)
+    if least <= 1:
+        return often.select("x", F.col("code").alias("y"), F.col("s").cast("double").alias("s"))
     named = sets.profiles.select(F.col("profile").alias("y"), code.alias("code"))
     shared = written(named.groupBy("code").agg(F.count("*").alias("n")).filter("n > 1").select("code"), "shared-codes")
     if shared.isEmpty():
@@ -368,7 +371,7 @@ def _in_cells(sets: NeighborSets, metric: str, cutoff: float, min_shared: int, n
 
 def _met_scores(sets: NeighborSets, metric: str, cutoff: float, min_shared: int) -> DataFrame:
     """Scores between different profiles that meet at neighbours."""
-    if metric == "shared" and min_shared > 1 and sets.direct and (often := _often_met(sets, min_shared)) is not None:
+    if metric == "shared" and sets.direct and (often := _often_met(sets, min_shared)) is not None:
         return often.withColumnRenamed("s", "score")
     smaller_first = F.struct("my", "y") < F.struct("mx", "x")
     met = _meet(sets.entries, sets.entries, metric, cutoff, min_shared, smaller_first, sets.direct)

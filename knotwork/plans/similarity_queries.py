@@ -44,9 +44,10 @@ def _(t: Tables) -> DataFrame:
 
 
 @query("shared_neighbor_pairs", f"""WITH {SQL_CUSTOMER_PARTS} SELECT a.node AS node1, b.node AS node2, count(*) AS shared
-FROM cp a JOIN cp b ON a.neighbor = b.neighbor AND a.node < b.node GROUP BY ALL HAVING count(*) >= 4""")
+FROM cp a JOIN cp b ON a.neighbor = b.neighbor AND a.node < b.node GROUP BY ALL""")
 def _(t: Tables) -> DataFrame:
-    return M.shared_neighbor_pairs(X.customer_parts(t), min_shared=4)
+    """Every pair of customers that bought a part in common."""
+    return M.shared_neighbor_pairs(X.customer_parts(t))
 
 
 @query("shared_neighbor_pairs_all", f"""WITH {SQL_USER_PROPS} SELECT a.node AS node1, b.node AS node2, count(*) AS shared

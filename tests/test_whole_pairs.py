@@ -31,6 +31,22 @@ def test_jaccard_similarity_gives_low_scores_too(spark, tmp_path):
     assert found == {(a, b): round(n / len(SETS[a] | SETS[b]), 6) for (a, b), n in together(SETS).items()} and found[1, 2] < 0.2
 
 
+def test_shared_neighbor_pairs_gives_pairs_of_one_part_too(spark, tmp_path):
+    spark.createDataFrame([(n, n) for n in SETS], "o_orderkey bigint, o_custkey bigint").write.parquet(f"{tmp_path}/orders.parquet")
+    lines = [(n, v) for n, vs in SETS.items() for v in vs]
+    spark.createDataFrame(lines, "l_orderkey bigint, l_partkey bigint").write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = {(r["node1"], r["node2"]): r["shared"] for r in QUERIES["shared_neighbor_pairs"](Tables(spark, str(tmp_path))).collect()}
+    assert found == together(SETS) and found[1, 2] == 1
+
+
+def test_all_shared_pairs_move_an_array_per_entry(spark, monkeypatch):
+    monkeypatch.setattr(M, "_meet", lambda *a, **k: pytest.fail("every pair that meets is a row of a shuffle"))
+    named = {f"c{n}": vs for n, vs in SETS.items()}
+    rows = [(n, v) for n, vs in named.items() for v in vs] + [(None, 8), ("c4", None)]
+    found = M.shared_neighbor_pairs(spark.createDataFrame(rows, "node string, neighbor bigint")).collect()
+    assert {(r["node1"], r["node2"]): r["shared"] for r in found} == together(named)
+
+
 @pytest.mark.parametrize("metric", ["shared", "jaccard"])
 def test_cells_give_pairs_of_nodes(spark, monkeypatch, metric):
     monkeypatch.setattr(M, "_expand_all", lambda *a, **k: pytest.fail("pairs from cells are joined again"))
