@@ -228,9 +228,21 @@ def duplicate_or_new(records: DataFrame, likely: DataFrame, hi: float = 0.9, lo:
 
 # --- linking --------------------------------------------------------------
 
+#: More names than this are first reduced to those of scored nodes.
+MANY_NAMES = 100_000
+
+
 def structural_plus_name(scores: DataFrame, names: DataFrame, compare: Comparator, cutoff: float = 0.4) -> DataFrame:
-    """Structurally similar nodes whose names are also compatible. ``names`` is (node, name)."""
+    """Structurally similar nodes whose names are also compatible. ``names`` is (node, name).
+
+    There may be far more scores than nodes. Names are stored first, many of them only for nodes that have scores,
+    so that the planner sees how few they are and need not move the scores; these are then computed twice.
+    """
     strong = scores.filter(F.col("score") >= cutoff - 1e-12)
+    names = written(names.select("node", "name"), "names")
+    if names.count() > MANY_NAMES:
+        asked = written(strong.select(F.explode(F.array("node1", "node2")).alias("node")).distinct(), "scored-nodes")
+        names = written(names.join(asked, "node", "left_semi"), "names")
     one = names.select(F.col("node").alias("node1"), F.col("name").alias("name1"))
     two = names.select(F.col("node").alias("node2"), F.col("name").alias("name2"))
     return strong.join(one, "node1").join(two, "node2").filter(compare(F.col("name1"), F.col("name2")))

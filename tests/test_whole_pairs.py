@@ -65,3 +65,14 @@ def test_without_twins_scores_are_not_joined(spark):
     scores = spark.createDataFrame([(2, 1, 1.0)], "x bigint, y bigint, score double")
     out = M._expand_all(scores, sets, "shared", 1.0)
     assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString() and [tuple(r) for r in out.collect()] == [(1, 2, 1.0)]
+
+
+def test_many_names_are_reduced_to_scored_nodes(spark, monkeypatch):
+    monkeypatch.setattr(E, "MANY_NAMES", 1, raising=False)
+    kept, write = {}, E.written
+    monkeypatch.setattr(E, "written", lambda df, name: kept.setdefault(name, []).append(write(df, name)) or kept[name][-1])
+    names = spark.createDataFrame([(1, "Ann"), (2, "A."), (3, "Bob"), (4, "Cy"), (2, "Ann")], "node bigint, name string")
+    scores = spark.createDataFrame([(1, 2, 0.9), (1, 3, 0.9)], "node1 bigint, node2 bigint, score double")
+    found = E.structural_plus_name(scores, names, initial_match)
+    assert sorted((r["node1"], r["node2"], r["name2"]) for r in found.collect()) == [(1, 2, "A."), (1, 2, "Ann")]
+    assert {r["node"] for r in kept["names"][-1].collect()} == {1, 2, 3}
