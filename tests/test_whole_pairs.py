@@ -67,6 +67,17 @@ def test_without_twins_scores_are_not_joined(spark):
     assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString() and [tuple(r) for r in out.collect()] == [(1, 2, 1.0)]
 
 
+@pytest.mark.parametrize("kind", ["bigint", "string"])
+def test_sets_of_one_list_need_no_search_for_other_lists(spark, kind):
+    rows = [(n, str(v) if kind == "string" else v) for n, vs in SETS.items() for v in vs]
+    asked = spark.createDataFrame([(1, 2), (4, 5), (1, 9), (9, 1), (9, 10), (1, 2)], "node1 bigint, node2 bigint")
+    out = G.neighbor_set_algebra(asked, spark.createDataFrame(rows, f"node bigint, neighbor {kind}"))
+    assert "LeftAnti" not in out._jdf.queryExecution().optimizedPlan().toString()
+    known = {n: {str(v) if kind == "string" else v for v in vs} for n, vs in SETS.items()} | {9: set()}
+    want = [(a, b, 0, sorted(known[a] & known[b]), sorted(known[a] | known[b])) for a, b in [(1, 2), (1, 9), (4, 5), (9, 1)]]
+    assert sorted(tuple(r) for r in out.select("node1", "node2", "block", "shared", "all").collect()) == want
+
+
 def test_many_names_are_reduced_to_scored_nodes(spark, monkeypatch):
     monkeypatch.setattr(E, "MANY_NAMES", 1, raising=False)
     kept, write = {}, E.written
